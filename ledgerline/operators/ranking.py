@@ -86,7 +86,7 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
         w = Window.partitionBy("AgeCategory").orderBy(F.col("_tot").desc_nulls_last())
         ranked = categorized.withColumn("Rank", F.dense_rank().over(w).cast("bigint"))
     else:
-        distinct = categorized.groupBy("AgeCategory", "_tot").agg()
+        distinct = categorized.select("AgeCategory", "_tot").distinct()
         ranks = _position(distinct, ["AgeCategory"], [("_tot", False)], method, "Rank")
         ranks = ranks.select(F.col("AgeCategory").alias("_c"), F.col("_tot").alias("_t"),
                              F.col("Rank").cast("bigint").alias("Rank"))

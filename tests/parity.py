@@ -27,7 +27,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return f"{v:.9g}"
+        return repr(v) if os.environ.get("PARITY_EXACT") else f"{v:.9g}"
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return str(v)
