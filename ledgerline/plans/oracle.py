@@ -164,3 +164,10 @@ def calendar_sql(facts: str, spine: str, period_expr: str, spine_id: str, spine_
 DAYS = ("days AS (SELECT CAST(range AS INTEGER) AS DayID, CAST(range AS VARCHAR) AS DayOfMonth "
         "FROM range(1, 32))")
 LONDON_TS = "timezone('Europe/London', timezone(TimeZone, RepaymentDate))"
+
+
+def sig9(x: str) -> str:
+    """Round a double to 9 significant digits (same steps as the Spark side)."""
+    scale = f"pow(10.0::DOUBLE, floor(log10(abs({x}))) - 8)"
+    return (f"(CASE WHEN ({x}) IS NULL OR isnan({x}) OR ({x}) = 0 OR isinf({x}) THEN ({x}) "
+            f"ELSE round(({x}) / {scale}) * {scale} END)")
