@@ -13,7 +13,7 @@ import os
 import sys
 import time
 
-import duckdb
+import duckdb  # noqa: F401
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
