@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ledgerline.functions.casts import clip, half_even
-from ledgerline.operators.positions import ordered_position
+from ledgerline.operators.positions import position
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
 RECOVERY_RATE = 0.80             # fixed value: expected-loss recovery
@@ -143,11 +143,13 @@ def type2_default_rate(scheduled: DataFrame, balances: DataFrame, key: str = "Lo
 def _median(values: DataFrame, col: str) -> F.Column:
     """Exact median (mean of the two middle values) as a scalar subquery.
 
-    The values are range-sorted and numbered with :func:`ordered_position`,
-    so no task holds more than one partition of values (an exact
-    ``percentile`` would merge every distinct value in one final task)."""
+    The values are numbered with :func:`~ledgerline.operators.positions.position`
+    (range-sorted once there are many), so no task holds more than one
+    partition of values -- an exact ``percentile`` would merge every distinct
+    value in one final task.  The two middle values are averaged as pandas
+    does."""
     v = values.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    pos = ordered_position(v, [], ["_v"], "_pos", "_n")
+    pos = position(v, [], ["_v"], "_pos", "_n")
     lo = F.floor((F.col("_n") + 1) / 2)
     hi = F.ceil((F.col("_n") + 1) / 2)
     mid = pos.filter((F.col("_pos") == lo) | (F.col("_pos") == hi))

@@ -11,8 +11,9 @@ tasks:
    is split over many partitions by its order key;
 2. each row records its partition id and its index inside the partition
    (``monotonically_increasing_id`` is ``partition << 33 | index``), and the
-   layout is frozen with a reliable ``checkpoint`` so that recomputation after
-   a lost executor cannot renumber rows;
+   layout is frozen -- written as a Parquet table in the cluster's reliable
+   checkpoint folder -- so that recomputation after a lost executor cannot
+   renumber rows;
 3. a small table with one row per (partition, group) holds the row count and
    the first index; a window over that table (at most one row per partition
    for each group) turns counts into offsets;
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ordering import sort_spec
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import freeze as freeze_layout
 
 _PID, _RID, _N, _FIRST, _OFF = "_lp_pid", "_lp_rid", "_lp_n", "_lp_first", "_lp_off"
 
@@ -50,8 +51,7 @@ def ordered_position(df: DataFrame, group_cols: list[str], order: list,
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_RID, F.monotonically_increasing_id()))
     if freeze:
-        ensure_checkpoint_dir(df.sparkSession)
-        tagged = tagged.checkpoint(eager=True)
+        tagged = freeze_layout(tagged, "positions")
 
     stats = tagged.groupBy(_PID, *group_cols).agg(
         F.count(F.lit(1)).alias(_N), F.min(_RID).alias(_FIRST))
@@ -83,3 +83,35 @@ def window_position(df: DataFrame, group_cols: list[str], order: list,
     if size_col:
         out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)))
     return out
+
+
+# Largest group a single window task may hold before the scan form is used.
+MAX_WINDOW_ROWS_CONF = "spark.ledgerline.window.maxGroupRows"
+DEFAULT_MAX_WINDOW_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, group_cols: list[str]) -> int:
+    """Row count of the largest group (a partial/final aggregate over the group
+    columns only; one number reaches the driver)."""
+    if not group_cols:
+        return df.count()
+    top = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+           .agg(F.max("_n")).first()[0])
+    return int(top or 0)
+
+
+def position(df: DataFrame, group_cols: list[str], order: list, pos_col: str = "pos",
+             size_col: str | None = None, method: str = "auto") -> DataFrame:
+    """Row positions by ``method``: ``"window"``, ``"scan"``, or ``"auto"`` --
+    measure the largest group and use the window below
+    ``spark.ledgerline.window.maxGroupRows`` rows (default 2,000,000), the
+    range-partitioned scan above it."""
+    if method == "auto":
+        conf = df.sparkSession.conf.get(MAX_WINDOW_ROWS_CONF, None)
+        limit = int(conf) if conf else DEFAULT_MAX_WINDOW_ROWS
+        method = "window" if largest_group(df, group_cols) <= limit else "scan"
+    if method == "window":
+        return window_position(df, group_cols, order, pos_col, size_col)
+    if method == "scan":
+        return ordered_position(df, group_cols, order, pos_col, size_col)
+    raise ValueError(f"unknown method {method!r}")

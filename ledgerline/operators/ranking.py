@@ -1,10 +1,11 @@
 """Window operators over few, large groups (C13-C15).
 
 Gender and age category have a handful of values, so ``PARTITION BY`` them
-would put each group in one task.  The default ``method="scan"`` numbers rows
-with :func:`ordered_position` (range-partitioned, spread over all tasks); the
-``method="window"`` form is the direct SQL shape, kept for small inputs and
-as an independent check.
+would put each group in one task.  ``method="scan"`` numbers rows with
+:func:`~ledgerline.operators.positions.ordered_position` (range-partitioned,
+spread over all tasks);
+``method="window"`` is the direct SQL shape; the default ``"auto"`` measures
+the largest group and picks the window only while it is small.
 """
 
 from __future__ import annotations
@@ -16,20 +17,16 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from ledgerline.functions.casts import sql_int
 from ledgerline.functions.categories import age_category
 from ledgerline.functions.ordering import asc, sort_spec
-from ledgerline.operators.positions import ordered_position, window_position
+from ledgerline.operators.positions import position
 
 
 def _position(df, group_cols, order, method, pos_col, size_col=None):
-    if method == "window":
-        return window_position(df, group_cols, order, pos_col, size_col)
-    if method == "scan":
-        return ordered_position(df, group_cols, order, pos_col, size_col)
-    raise ValueError(f"unknown method {method!r}")
+    return position(df, group_cols, order, pos_col, size_col, method)
 
 
 def cyclic_shift(df: DataFrame, group: str = "Gender", order=("CustomerID",),
                  col: str = "Age", k: int = 2, out: str = "CorrectedAge",
-                 keep=("CustomerID", "Age"), method: str = "scan") -> DataFrame:
+                 keep=("CustomerID", "Age"), method: str = "auto") -> DataFrame:
     """Each row takes ``col`` from the row ``k`` places later in its group
     (wrapping from the end to the start), i.e. row ``rn`` receives row
     ``((rn + k - 1) mod n) + 1``.  ``k < 0`` looks back.  Rows whose group is
@@ -39,7 +36,8 @@ def cyclic_shift(df: DataFrame, group: str = "Gender", order=("CustomerID",),
     a high-cardinality key, so the join shuffle is balanced however few groups
     there are."""
     order = list(order)
-    numbered = _position(df.filter(F.col(group).isNotNull()), [group], order,
+    narrow = df.select(*dict.fromkeys([*keep, group, col, *order]))
+    numbered = _position(narrow.filter(F.col(group).isNotNull()), [group], order,
                          method, "_pos", "_cnt")
     target = F.pmod(F.col("_pos") - F.lit(1) + F.lit(k), F.col("_cnt")) + F.lit(1)
     left = numbered.select(*keep, group, target.alias("_tpos"))
@@ -61,16 +59,17 @@ def _is_fractional(df: DataFrame, col: str) -> bool:
 
 def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "CustomerID",
                      age_col: str = "CorrectedAge", amount: str = "Amount",
-                     metric: str = "sum", method: str = "scan",
+                     metric: str = "sum", method: str = "auto",
                      cols=("CustomerID", "Age", "CorrectedAge", "Gender")) -> DataFrame:
     """Dense rank of each customer's repayment total within its age category
     (highest first, no gaps; customers without repayments count 0; a NULL
     category is its own group).  ``metric="count"`` ranks by the number of
     repayments instead of their amount.
 
-    ``method="scan"`` ranks the distinct (category, total) pairs with
-    :func:`ordered_position` -- the position among distinct values *is* the
-    dense rank -- and joins the rank back null-safely."""
+    Outside ``method="window"`` the distinct (category, total) pairs are
+    numbered (the position among distinct values *is* the dense rank) and the
+    rank is joined back null-safely; a hot total (e.g. the many customers
+    with none) is split by AQE's skew-join handling."""
     if metric == "sum":
         s = F.sum(F.coalesce(F.col(amount), F.lit(0)))
         total = sql_int(s, "bigint") if _is_fractional(repayments, amount) else s.cast("bigint")
@@ -82,7 +81,7 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
     categorized = (with_age_category(corrected, age_col)
                    .join(totals, key, "left")
                    .withColumn("_tot", F.coalesce(F.col("_tot"), F.lit(0).cast("bigint"))))
-    if method == "window":
+    if method == "window":  # the direct form
         w = Window.partitionBy("AgeCategory").orderBy(F.col("_tot").desc_nulls_last())
         ranked = categorized.withColumn("Rank", F.dense_rank().over(w).cast("bigint"))
     else:

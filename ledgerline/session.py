@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every ledgerline job relies on.  ANSI stays on (bad casts raise
 # unless written as try_cast); AQE coalesces small shuffles, splits skewed
@@ -65,3 +66,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="ledgerline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table under the reliable
+    checkpoint folder and reading it back.
+
+    Used where later steps must see *one* fixed layout (values derived from
+    partition ids and row indexes): a lost executor then re-reads the written
+    files instead of recomputing a possibly different layout.  Parquet keeps
+    the copy columnar, so later passes read only the columns they need."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/ledgerline-{label}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

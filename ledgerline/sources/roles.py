@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import half_even
-from ledgerline.operators.positions import ordered_position
+from ledgerline.operators.positions import position
 
 # --- fixed values of the role mapping ---------------------------------------
 MONTHLY_RATE = 0.1 / 12          # 10 % a year, paid monthly (reference model)
@@ -111,34 +111,49 @@ def _annuity(amount) -> F.Column:
     return half_even(amount * factor, 2)
 
 
-def loan_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _loan_terms(loan_id, user, block) -> list:
+    amount = F.lit(500.0) + ((user * 37 + block * 11) % 50).cast("double") * F.lit(40.0)
+    return [loan_id.alias("LoanID"), amount.alias("LoanAmount"),
+            _annuity(amount).alias("ScheduledRepayment")]
+
+
+def loan_months(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
     """Each user's events in (ts, event_id) order, cut into consecutive
-    24-month loans: LoanID, Month (1..24), LoanAmount, ScheduledRepayment,
-    ActualRepayment.  Every event is used; a loan has at most 24 rows however
-    many events one user has, so per-loan state stays bounded."""
+    24-month loans: LoanID, Month (1..24), ActualRepayment.  Every event is
+    used; a loan has at most 24 rows however many events one user has, so
+    per-loan state stays bounded.  The numbering is
+    :func:`~ledgerline.operators.positions.position`: a plain window while
+    every user is small, the range-partitioned scan when one user holds more
+    rows than one task should sort."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    pos = ordered_position(e, ["user_id"], ["ts", "event_id"], pos_col="pos")
+    pos = position(e, ["user_id"], ["ts", "event_id"], pos_col="pos", method=method)
+    user = F.col("user_id")
     block = F.floor((F.col("pos") - 1) / TERM_MONTHS)
     month = ((F.col("pos") - 1) % TERM_MONTHS + 1).cast("int")
-    loan_id = F.col("user_id") * F.lit(LOAN_SHIFT) + block
-    amount = F.lit(500.0) + ((F.col("user_id") * 37 + block * 11) % 50).cast("double") * F.lit(40.0)
-    df = pos.select(loan_id.alias("LoanID"), month.alias("Month"), "value",
-                    amount.alias("LoanAmount"))
-    df = df.withColumn("ScheduledRepayment", _annuity(F.col("LoanAmount")))
+    df = pos.select(*_loan_terms(user * F.lit(LOAN_SHIFT) + block, user, block),
+                    month.alias("Month"), "value")
     sched, v = F.col("ScheduledRepayment"), F.col("value")
     actual = (F.when(v < 3, F.lit(0.0))
                .when((v < 6) & (F.col("LoanID") % 3 == 0), half_even(sched * 0.5, 2))
                .when(v > 300, half_even(sched * 1.5, 2))
                .otherwise(sched))
-    return df.withColumn("ActualRepayment", actual).drop("value")
+    return df.select("LoanID", "Month", actual.alias("ActualRepayment"))
+
+
+def scheduled_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per loan (LoanID, LoanAmount, ScheduledRepayment): a user with
+    n events holds ceil(n / 24) loans.  Needs only a per-user count (a
+    partial/final aggregate), not the event numbering."""
+    e = table(spark, sf_dir, "events")
+    counts = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = counts.select("user_id", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / TERM_MONTHS))).alias("_b"))
+    user, block = F.col("user_id"), F.col("_b")
+    return blocks.select(*_loan_terms(user * F.lit(LOAN_SHIFT) + block, user, block))
 
 
-def scheduled_and_actual(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def scheduled_and_actual(spark: SparkSession, sf_dir: str, method: str = "auto",
+                         ) -> tuple[DataFrame, DataFrame]:
     """The two inputs of the loan model: scheduled (one row per loan) and
-    actual (one row per loan-month).  Both read one frozen numbering."""
-    months = loan_months(spark, sf_dir)
-    scheduled = (months.groupBy("LoanID")
-                 .agg(F.any_value("LoanAmount").alias("LoanAmount"),
-                      F.any_value("ScheduledRepayment").alias("ScheduledRepayment")))
-    actual = months.select("LoanID", "Month", "ActualRepayment")
-    return scheduled, actual
+    actual (one row per loan-month)."""
+    return scheduled_loans(spark, sf_dir), loan_months(spark, sf_dir, method)
