@@ -15,7 +15,7 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
                    amount: str = "Amount", period_of=F.month, hours=(6, 18),
                    zone_col: str | None = None, target_zone: str = "Europe/London",
                    period_name: str = "MonthName", count_name: str = "NumberOfRepayments",
-                   total_name: str = "AmountTotal") -> DataFrame:
+                   total_name: str = "AmountTotal", sort: bool = False) -> DataFrame:
     """One row per entity row and period with the count and sum of its facts.
 
     Semantics of the reference ``timeline``: facts keep hours ``lo..hi``
@@ -31,7 +31,9 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
     entities on the key alone, and only then expanded to the period rows with
     ``inline`` -- the join moves one row per entity instead of one per cell and
     there is no cross join.  ``periods`` is the small fixed dimension
-    ``[(id, name), ...]`` (12 months by default)."""
+    ``[(id, name), ...]`` (12 months by default).  The result is a table (the
+    reference stores it and reads it back without ORDER BY), so it is not
+    globally sorted; ``sort=True`` adds the (entity, period) order."""
     periods = list(periods or month_periods())
     t = F.col(ts)
     if zone_col:
@@ -53,8 +55,9 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
                  F.coalesce(F.col(f"_s{i}"), F.lit(0.0)).alias(total_name))
         for i, (pid, name) in enumerate(periods)])
     out = joined.select(F.col("_k").alias(key), F.inline(cells))
-    return (out.orderBy(asc(key), asc("_pid"))
-               .select(key, period_name, count_name, total_name))
+    if sort:
+        out = out.orderBy(asc(key), asc("_pid"))
+    return out.select(key, period_name, count_name, total_name)
 
 
 def pivot_calendar(timeline: DataFrame, periods=None, key: str = "CustomerID",
@@ -66,17 +69,19 @@ def pivot_calendar(timeline: DataFrame, periods=None, key: str = "CustomerID",
 
     ``Total`` sums per-row integer-rounded amounts (half to even, as the
     reference's cast), so it can differ from the rounded sum.  Repayments are
-    INT, Totals BIGINT.  The timeline arrives partitioned by the key, so the
-    pivot aggregate needs no further shuffle."""
+    INT, Totals BIGINT; a month with no row is NULL.
+
+    Written as one conditional sum per (month, measure) -- the plan Spark's
+    ``pivot()`` itself falls back to -- so it is a single aggregate keyed by
+    the entity: ``pivot()`` with two measures first groups by (entity, month),
+    which costs an extra shuffle."""
     names = [n for _, n in (periods or month_periods())]
-    pv = (timeline.groupBy(key).pivot(period_name, names)
-          .agg(F.sum(F.col(count_col).cast("int")).alias("Repayments"),
-               F.sum(sql_int(F.col(total_col))).alias("Total")))
-    cols = [F.col(key)]
+    aggs = []
     for n in names:
-        cols += [F.col(f"{n}_Repayments").cast("int").alias(f"{n}_Repayments"),
-                 F.col(f"{n}_Total").cast("bigint").alias(f"{n}_Total")]
-    return pv.select(*cols).orderBy(asc(key))
+        hit = F.col(period_name) == F.lit(n)
+        aggs += [F.sum(F.when(hit, F.col(count_col).cast("int"))).cast("int").alias(f"{n}_Repayments"),
+                 F.sum(F.when(hit, sql_int(F.col(total_col)))).cast("bigint").alias(f"{n}_Total")]
+    return timeline.groupBy(key).agg(*aggs).orderBy(asc(key))
 
 
 def conditional_pivot(timeline: DataFrame, periods=None, key: str = "CustomerID",

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.casts import text, try_double
+from ledgerline.functions.casts import text, try_double, try_int
 from ledgerline.functions.categories import normalise_province
 from ledgerline.functions.ordering import asc, desc, sort_spec
+from ledgerline.operators.joins import left_join
 from ledgerline.sources.sinks import update_where
 
 
@@ -97,37 +98,54 @@ def joined_group_mean(credit: DataFrame, customers: DataFrame, key: str = "Custo
                       group: str = "CustomerClass", value: str = "Income",
                       name: str = "AverageIncome") -> DataFrame:
     """Mean of the cleaned value per class over the inner join; values that do
-    not parse are dropped before averaging (duplicates weight the mean)."""
+    not parse are dropped before averaging (duplicates weight the mean).
+
+    The mean over join pairs is computed without materialising the pairs: a
+    key with ``a`` credit rows of a class and ``b`` valid customer rows summing
+    to ``s`` contributes ``a*s`` and ``a*b``.  Both sides are aggregated per
+    key before the join (a hot key is one row on each side), so the join and
+    the final aggregate move one row per key.  For integer-valued inputs this
+    is exact; otherwise it equals the pairwise sum up to rounding."""
     v = try_double(F.col(value))
-    joined = credit.select(key, group).join(
-        customers.select(key, v.alias("_v")).filter(F.col("_v").isNotNull()), key)
-    return (joined.groupBy(group).agg(F.avg("_v").alias(name))
-                  .orderBy(asc(group)))
+    cust = (customers.select(key, v.alias("_v")).filter(F.col("_v").isNotNull())
+            .groupBy(key).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_b")))
+    cred = credit.groupBy(key, group).agg(F.count(F.lit(1)).alias("_a"))
+    pairs = cred.join(cust, key)
+    return (pairs.groupBy(group)
+                 .agg((F.sum(F.col("_a") * F.col("_s")) / F.sum(F.col("_a") * F.col("_b")))
+                      .alias(name))
+                 .orderBy(asc(group)))
 
 
 def normalised_counts(customers: DataFrame, loans: DataFrame, key: str = "CustomerID",
                       region: str = "Region", status: str = "ApprovalStatus",
                       value: str = "REJECTED", name: str = "RejectedApplications") -> DataFrame:
-    """Rejected applications per normalised province.  The status filter is
-    applied to the loans before the join (``UPPER(TRIM(s)) = 'REJECTED'``)."""
-    rejected = loans.filter(F.upper(F.trim(F.col(status))) == F.lit(value)).select(key)
-    joined = customers.select(key, normalise_province(F.col(region)).alias("Province")) \
-        .join(rejected, key)
-    return (joined.groupBy("Province").agg(F.count(F.lit(1)).alias(name))
-                  .orderBy(asc("Province")))
+    """Rejected applications per normalised province (``UPPER(TRIM(s)) =
+    'REJECTED'``), counted over customer x loan pairs like the reference join.
+
+    Rejected loans are counted per key and customers per (key, province)
+    before the join, so a customer with a large share of the loans is one row
+    on each side; the pair count is the product of the two counts."""
+    rejected = (loans.filter(F.upper(F.trim(F.col(status))) == F.lit(value))
+                .groupBy(key).agg(F.count(F.lit(1)).alias("_r")))
+    cust = (customers.select(key, normalise_province(F.col(region)).alias("Province"))
+            .groupBy(key, "Province").agg(F.count(F.lit(1)).alias("_c")))
+    pairs = cust.join(rejected, key)
+    return (pairs.groupBy("Province").agg(F.sum(F.col("_c") * F.col("_r")).alias(name))
+                 .orderBy(asc("Province")))
 
 
 def wide_extract(customers: DataFrame, credit: DataFrame, loans: DataFrame,
                  key: str = "CustomerID") -> DataFrame:
     """The ``financing`` extract: customers LEFT JOIN credit LEFT JOIN loans,
     with every field cleaned through ``TRY_CAST(TRIM(x))``.  Customers without
-    credit or loans keep one row with NULLs; duplicate keys fan out."""
-    from ledgerline.functions.casts import try_int
-
+    credit or loans keep one row with NULLs; duplicate keys fan out.  The LEFT
+    joins are :func:`~ledgerline.operators.joins.left_join`, which stays
+    balanced when one customer holds a large share of the loans."""
     c = customers.select(key, "Income")
     cr = credit.select(key, "CreditScore")
     lo = loans.select(key, "LoanAmount", "LoanTerm", "InterestRate", "ApprovalStatus")
-    j = c.join(cr, key, "left").join(lo, key, "left")
+    j = left_join(left_join(c, cr, key), lo, key)
     return j.select(
         F.col(key).alias("CustomerID"),
         try_double("Income").alias("Income"),
