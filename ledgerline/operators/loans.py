@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ledgerline.functions.casts import clip, half_even
-from ledgerline.operators.positions import position
+from ledgerline.operators.positions import exact_median, largest_group
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
+MAX_FOLD_MONTHS = 10_000         # longest history folded as one array (auto method)
 RECOVERY_RATE = 0.80             # fixed value: expected-loss recovery
 
 
@@ -35,7 +36,7 @@ _STEP_FIELDS = ["Month", "ActualRepayment", "LoanAmount", "ScheduledRepayment"]
 
 
 def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY_RATE,
-                  key: str = "LoanID", method: str = "fold") -> DataFrame:
+                  key: str = "LoanID", method: str = "auto") -> DataFrame:
     """Month-by-month balances of every loan that has actual repayments.
 
     With B0 = LoanAmount, each month in ``Month`` order: interest = B*r,
@@ -48,10 +49,16 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
     ``method="fold"``: ``collect_list`` of the loan's months, sorted, folded
     with ``aggregate`` -- the same floating-point steps as a sequential loop.
     ``method="closed_form"``: running sums and minima over a window
-    (Lindley's reflection formula), agrees to ~1e-10.
+    (Lindley's reflection formula), agrees to ~1e-10; the window streams a
+    loan's rows and spills, so no array of the loan is built.
+    ``method="auto"`` (default): measure the longest history (one aggregate
+    over the key column) and fold while it is at most ``MAX_FOLD_MONTHS``
+    rows -- always, for loans with a term -- else use the closed form.
     Output: key, Month, ActualRepayment, LoanAmount, ScheduledRepayment,
     LoanBalanceStart, LoanBalanceEnd, InterestPayment."""
     merged = natural_join(actual, scheduled)
+    if method == "auto":
+        method = "fold" if largest_group(actual, [key]) <= MAX_FOLD_MONTHS else "closed_form"
     if method == "fold":
         rows = _fold(merged, rate, key)
     elif method == "closed_form":
@@ -140,22 +147,6 @@ def type2_default_rate(scheduled: DataFrame, balances: DataFrame, key: str = "Lo
     return aligned.agg((F.avg(flag.cast("int")) * F.lit(100.0)).alias(name))
 
 
-def _median(values: DataFrame, col: str) -> F.Column:
-    """Exact median (mean of the two middle values) as a scalar subquery.
-
-    The values are numbered with :func:`~ledgerline.operators.positions.position`
-    (range-sorted once there are many), so no task holds more than one
-    partition of values -- an exact ``percentile`` would merge every distinct
-    value in one final task.  The two middle values are averaged as pandas
-    does."""
-    v = values.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    pos = position(v, [], ["_v"], "_pos", "_n")
-    lo = F.floor((F.col("_n") + 1) / 2)
-    hi = F.ceil((F.col("_n") + 1) / 2)
-    mid = pos.filter((F.col("_pos") == lo) | (F.col("_pos") == hi))
-    return mid.agg(F.avg("_v")).scalar()
-
-
 def prepayment_cpr(balances: DataFrame, variant: str = "scheduled",
                    name: str = "cpr_percent") -> DataFrame:
     """Annualised CPR in percent from the geometric-mean SMM over all
@@ -174,7 +165,7 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled",
     elif variant == "gross":
         excess = paid - F.col("ScheduledRepayment")
     elif variant == "median":
-        med = _median(balances.select(
+        med = exact_median(balances.select(
             (F.col("ScheduledRepayment") - F.col("InterestPayment")).alias("_sp")), "_sp")
         excess = paid - med
     else:

@@ -25,7 +25,7 @@ when its measured size is small (few groups) and otherwise joins by shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.ordering import sort_spec
@@ -115,3 +115,57 @@ def position(df: DataFrame, group_cols: list[str], order: list, pos_col: str = "
     if method == "scan":
         return ordered_position(df, group_cols, order, pos_col, size_col)
     raise ValueError(f"unknown method {method!r}")
+
+
+def cumulative_weight(df: DataFrame, order: list, weight: str, out: str = "_cum",
+                      method: str = "auto") -> DataFrame:
+    """Inclusive running sum of ``weight`` over the whole frame in ``order``
+    (a total order), without a single-task window once the frame is large.
+
+    ``scan``: range-sort, freeze (partition id, row index), take each
+    partition's total weight, turn totals into offsets over a table of one row
+    per partition, then add the running sum *inside* each range partition --
+    a window partitioned by the partition id, i.e. balanced by construction."""
+    if method == "auto":
+        conf = df.sparkSession.conf.get(MAX_WINDOW_ROWS_CONF, None)
+        limit = int(conf) if conf else DEFAULT_MAX_WINDOW_ROWS
+        method = "window" if df.count() <= limit else "scan"
+    keys = sort_spec(order)
+    if method == "window":
+        w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(weight).over(w))
+    tagged = freeze_layout(df.orderBy(*keys)
+                           .withColumn(_PID, F.spark_partition_id())
+                           .withColumn(_RID, F.monotonically_increasing_id()), "cumulative")
+    totals = tagged.groupBy(_PID).agg(F.sum(weight).alias(_N))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col(_PID).alias("_s_pid"),
+                            F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    local = Window.partitionBy(_PID).orderBy(_RID).rowsBetween(Window.unboundedPreceding,
+                                                               Window.currentRow)
+    with_local = tagged.withColumn("_lp_local", F.sum(weight).over(local))
+    joined = with_local.join(offsets, with_local[_PID] == offsets["_s_pid"])
+    return joined.select(*df.columns, (F.col(_OFF) + F.col("_lp_local")).alias(out))
+
+
+def exact_median(df: DataFrame, col: str, method: str = "auto") -> Column:
+    """Exact median of ``col`` (NULL and NaN skipped; mean of the two middle
+    values for an even count, as pandas) as a scalar-subquery ``Column``.
+
+    Values are first collapsed to (value, count) by a partial/final aggregate,
+    so repeated values -- one amount held by a third of the rows -- cost one
+    row; that table is written once (it is read three times: total, size
+    check, cumulative counts) and the middle positions are found on
+    cumulative counts."""
+    v = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = freeze_layout(v.groupBy("_v").agg(F.count(F.lit(1)).alias("_w")), "median")
+    cum = cumulative_weight(counts, ["_v"], "_w", "_cum", method)
+    n = counts.agg(F.sum("_w")).scalar()
+    lo = F.floor((n + F.lit(1)) / F.lit(2))
+    hi = F.ceil((n + F.lit(1)) / F.lit(2))
+    start = F.col("_cum") - F.col("_w")          # positions start+1 .. _cum hold this value
+    hit_lo = (start < lo) & (lo <= F.col("_cum"))
+    hit_hi = (start < hi) & (hi <= F.col("_cum"))
+    picked = cum.select(F.when(hit_lo, F.col("_v")).alias("_a"),
+                        F.when(hit_hi, F.col("_v")).alias("_b"))
+    return picked.agg((F.max("_a") + F.max("_b")) / F.lit(2.0)).scalar()

@@ -144,3 +144,10 @@ def test_reference_scheduled_file(spark):
     df = read_csv_inferred(spark, REF_SCHEDULED)
     got = df.agg(F.count(F.lit(1)), F.sum("LoanAmount"), F.round(F.sum("ScheduledRepayment"), 2)).first()
     assert tuple(got) == (1000, 64950000.0, 2997112.72)
+
+
+def test_auto_method_picks_fold_for_term_bounded_loans(spark):
+    sched, act = _frames(spark, [(1, 1200.0, 100.0, [700.0, 600.0, 100.0])])
+    a = rows(ln.loan_balances(sched, act, method="auto").orderBy("Month"))
+    f = rows(ln.loan_balances(sched, act, method="fold").orderBy("Month"))
+    assert a == f

@@ -57,3 +57,23 @@ def test_ordered_position_without_group(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(5)
     out = rows(ordered_position(df, [], ["v"], "pos"), "v", "pos")
     assert sorted(out) == [(i, i + 1) for i in range(1000)]
+
+
+def test_exact_median_with_heavy_repeats(spark):
+    import numpy as np
+    from ledgerline.operators.positions import exact_median
+    rnd = random.Random(9)
+    for n in (1, 2, 7, 1000, 1001):
+        vals = [5.0 if rnd.random() < 0.4 else float(rnd.randint(0, 30)) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double")
+        for method in ("window", "scan"):
+            got = spark.range(1).select(exact_median(df.repartition(4), "x", method)).first()[0]
+            assert got == float(np.median(vals)), (n, method)
+
+
+def test_cumulative_weight_scan_equals_window(spark):
+    from ledgerline.operators.positions import cumulative_weight
+    df = spark.createDataFrame([(i, (i * 7) % 5 + 1) for i in range(500)], "k int, w int").repartition(6)
+    a = rows(cumulative_weight(df, ["k"], "w", "c", "scan"), "k", "c")
+    b = rows(cumulative_weight(df, ["k"], "w", "c", "window"), "k", "c")
+    assert sorted(a) == sorted(b)
