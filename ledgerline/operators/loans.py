@@ -32,7 +32,13 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, common, how)
 
 
-_STEP_FIELDS = ["Month", "ActualRepayment", "LoanAmount", "ScheduledRepayment"]
+_ORDER_FIELDS = ["Month", "ActualRepayment"]     # sort order of a loan's months
+
+
+def _step_fields(merged: DataFrame, key: str) -> list[str]:
+    """Month and payment first (they order the fold), then every other merged
+    column, so extra columns of either input survive as with ``pd.merge``."""
+    return _ORDER_FIELDS + [c for c in merged.columns if c not in _ORDER_FIELDS and c != key]
 
 
 def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY_RATE,
@@ -54,8 +60,9 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
     ``method="auto"`` (default): measure the longest history (one aggregate
     over the key column) and fold while it is at most ``MAX_FOLD_MONTHS``
     rows -- always, for loans with a term -- else use the closed form.
-    Output: key, Month, ActualRepayment, LoanAmount, ScheduledRepayment,
-    LoanBalanceStart, LoanBalanceEnd, InterestPayment."""
+    Output: key, Month, ActualRepayment, the other input columns
+    (LoanAmount, ScheduledRepayment, ...), LoanBalanceStart, LoanBalanceEnd,
+    InterestPayment."""
     merged = natural_join(actual, scheduled)
     if method == "auto":
         method = "fold" if largest_group(actual, [key]) <= MAX_FOLD_MONTHS else "closed_form"
@@ -66,7 +73,7 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
     else:
         raise ValueError(f"unknown method {method!r}")
     return rows.select(
-        key, "Month", "ActualRepayment", "LoanAmount", "ScheduledRepayment",
+        key, *_step_fields(merged, key),
         half_even(F.col("_start"), 2).alias("LoanBalanceStart"),
         half_even(F.col("_end"), 2).alias("LoanBalanceEnd"),
         half_even(F.col("_int"), 2).alias("InterestPayment"))
@@ -74,8 +81,9 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
 
 def _fold(merged: DataFrame, rate: float, key: str) -> DataFrame:
     types = {f.name: f.dataType for f in merged.schema.fields}
+    fields = _step_fields(merged, key)
     out_type = StructType(
-        [StructField(n, types[n]) for n in _STEP_FIELDS]
+        [StructField(n, types[n]) for n in fields]
         + [StructField(n, DoubleType()) for n in ("_start", "_end", "_int")])
     r = F.lit(rate)
 
@@ -85,14 +93,14 @@ def _fold(merged: DataFrame, rate: float, key: str) -> DataFrame:
         interest = start * r
         new = (start + interest) - x["ActualRepayment"]
         end = F.when((new > 0) & ~F.isnan(new), new).otherwise(F.lit(0.0))
-        row = F.struct(*[x[n].alias(n) for n in _STEP_FIELDS],
+        row = F.struct(*[x[n].alias(n) for n in fields],
                        start.alias("_start"), end.alias("_end"), interest.alias("_int"))
         return F.struct(end.alias("b"), F.concat(acc["out"], F.array(row)).alias("out"))
 
     init = F.struct(F.lit(None).cast("double").alias("b"),
                     F.array().cast(ArrayType(out_type)).alias("out"))
     per_loan = merged.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct(*[F.col(n) for n in _STEP_FIELDS]))).alias("_xs"))
+        F.sort_array(F.collect_list(F.struct(*[F.col(n) for n in fields]))).alias("_xs"))
     folded = per_loan.select(key, F.aggregate("_xs", init, step)["out"].alias("_out"))
     return folded.select(key, F.inline("_out"))
 

@@ -9,7 +9,10 @@ from ledgerline.functions.casts import text, try_double, try_int
 from ledgerline.functions.categories import normalise_province
 from ledgerline.functions.ordering import asc, desc, sort_spec
 from ledgerline.operators.joins import left_join
-from ledgerline.sources.sinks import update_where
+from ledgerline.sources.schemas import FINANCING
+from ledgerline.sources.sinks import (
+    append_table, create_table_if_absent, replace_table, update_where,
+)
 
 
 def _cols(df: DataFrame, cols) -> list[str]:
@@ -154,3 +157,21 @@ def wide_extract(customers: DataFrame, credit: DataFrame, loans: DataFrame,
         try_double("InterestRate").alias("InterestRate"),
         text("ApprovalStatus").alias("ApprovalStatus"),
         try_int("CreditScore").alias("CreditScore"))
+
+
+def save_financing(customers: DataFrame, credit: DataFrame, loans: DataFrame,
+                   name: str = "financing", mode: str = "overwrite") -> DataFrame:
+    """Write :func:`wide_extract` as table ``name`` and return the table.
+
+    ``mode="append"`` is the reference's ``CREATE TABLE IF NOT EXISTS`` +
+    ``INSERT INTO`` (each run adds the rows again); the default
+    ``"overwrite"`` makes a re-run idempotent."""
+    spark = customers.sparkSession
+    extract = wide_extract(customers, credit, loans)
+    if mode == "append":
+        create_table_if_absent(spark, name, FINANCING)
+        append_table(extract, name)
+        return spark.table(name)
+    if mode == "overwrite":
+        return replace_table(extract, name)
+    raise ValueError(f"unknown mode {mode!r}")

@@ -7,6 +7,9 @@ from conftest import SF_SMALL
 from parity import digest, duck
 
 NAMES = sorted(E.queries())
+TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+         "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP", "FloatType()": "FLOAT",
+         "BooleanType()": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +29,9 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = {f.name: TYPES.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    duck_types = dict(zip(dcols, [str(t) for t in con.sql(E.oracle_sql()[name]).types]))
+    assert spark_types == duck_types
     assert len(srows) == len(drows)
     assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
 

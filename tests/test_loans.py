@@ -151,3 +151,14 @@ def test_auto_method_picks_fold_for_term_bounded_loans(spark):
     a = rows(ln.loan_balances(sched, act, method="auto").orderBy("Month"))
     f = rows(ln.loan_balances(sched, act, method="fold").orderBy("Month"))
     assert a == f
+
+
+def test_extra_columns_survive_the_merge(spark):
+    sched = spark.createDataFrame([(1, 1200.0, 100.0, "A")],
+                                  "LoanID long, LoanAmount double, ScheduledRepayment double, grade string")
+    act = spark.createDataFrame([(1, 1, 700.0, "web")], "LoanID long, Month int, ActualRepayment double, channel string")
+    out = ln.loan_balances(sched, act, method="fold")
+    assert out.columns == ["LoanID", "Month", "ActualRepayment", "channel", "LoanAmount",
+                           "ScheduledRepayment", "grade", "LoanBalanceStart", "LoanBalanceEnd",
+                           "InterestPayment"]
+    assert rows(out, "channel", "grade", "LoanBalanceEnd") == [("web", "A", 510.0)]

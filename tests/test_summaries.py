@@ -92,3 +92,18 @@ def test_normalised_counts_unknown_spelling_passes_through(spark):
                                   "CustomerID int, ApprovalStatus string")
     got = rows(sm.normalised_counts(cust, loans))
     assert got == [("GP", 1), ("KwaZulu-Natal", 2), (None, 1)]
+
+
+def test_save_financing_append_and_overwrite(spark):
+    cust = spark.createDataFrame([(1, 100)], "CustomerID long, Income int")
+    cred = spark.createDataFrame([(1, 700)], "CustomerID long, CreditScore int")
+    loans = spark.createDataFrame([(1, 10, 12, 4.5, "Approved")],
+                                  "CustomerID long, LoanAmount int, LoanTerm int, "
+                                  "InterestRate float, ApprovalStatus string")
+    name = "ledgerline_financing_ops"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sm.save_financing(cust, cred, loans, name, mode="append")
+    assert sm.save_financing(cust, cred, loans, name, mode="append").count() == 2
+    assert sm.save_financing(cust, cred, loans, name).count() == 1
+    assert rows(spark.table(name)) == [(1, 100.0, 10.0, 12, 4.5, "Approved", 700)]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
