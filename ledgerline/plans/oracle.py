@@ -168,6 +168,9 @@ LONDON_TS = "timezone('Europe/London', timezone(TimeZone, RepaymentDate))"
 
 def sig9(x: str) -> str:
     """Round a double to 9 significant digits (same steps as the Spark side)."""
-    scale = f"pow(10.0::DOUBLE, floor(log10(abs({x}))) - 8)"
+    e = f"(8 - floor(log10(abs({x}))))"
+    up = f"pow(10.0::DOUBLE, {e})"
+    down = f"pow(10.0::DOUBLE, -{e})"
     return (f"(CASE WHEN ({x}) IS NULL OR isnan({x}) OR ({x}) = 0 OR isinf({x}) THEN ({x}) "
-            f"ELSE round(({x}) / {scale}) * {scale} END)")
+            f"WHEN {e} >= 0 THEN round(({x}) * {up}) / {up} "
+            f"ELSE round(({x}) / {down}) * {down} END)")
