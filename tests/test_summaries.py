@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import REF_DATA, rows
 from ledgerline.operators import summaries as sm
