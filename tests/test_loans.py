@@ -162,3 +162,10 @@ def test_extra_columns_survive_the_merge(spark):
                            "ScheduledRepayment", "grade", "LoanBalanceStart", "LoanBalanceEnd",
                            "InterestPayment"]
     assert rows(out, "channel", "grade", "LoanBalanceEnd") == [("web", "A", 510.0)]
+
+
+def test_type1_fixture_one_of_two_loans_short(spark):
+    b = _bal(spark, [(1, m, 100.0, 100.0, 1.0, 1.0, 0.0) for m in range(1, 4)]
+             + [(2, 1, 100.0, 100.0, 1.0, 1.0, 0.0), (2, 2, 60.0, 100.0, 1.0, 1.0, 0.0),
+                (2, 3, 100.0, 100.0, 1.0, 1.0, 0.0)])
+    assert ln.type1_default_rate(b).first()[0] == 50.0
