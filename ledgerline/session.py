@@ -22,6 +22,27 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of Parquet.
+
+    Scans split at ``target_partition_bytes``; the initial shuffle partition
+    count is sized so one partition holds about that much (at least 3 waves
+    of ``total_cores``), and AQE then coalesces small ones and splits skewed
+    join partitions.  Returned as a dict to pass as ``extra`` to
+    :func:`get_session` or to ``spark-submit --conf``."""
+    parts = max(3 * total_cores, int(input_bytes // target_partition_bytes) + 1)
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ledgerline", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the ledgerline defaults.

@@ -78,3 +78,10 @@ def test_zone_conversion_to_london(spark):
     got = [r[0] for r in df.select(to_zone("ts", F.col("z"))).collect()]
     assert got == [dt.datetime(2024, 7, 1, 12, 30), dt.datetime(2024, 7, 1, 7, 30),
                    dt.datetime(2024, 1, 1, 12, 30)]
+
+
+def test_cluster_conf_sizes_partitions():
+    from ledgerline.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1
+    assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 24
