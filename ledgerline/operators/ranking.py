@@ -34,8 +34,9 @@ def cyclic_shift(df: DataFrame, group: str = "Gender", order=("CustomerID",),
 
     Plan: positions (see module doc), then an equi-join on (group, position) --
     a high-cardinality key, so the join shuffle is balanced however few groups
-    there are."""
-    order = list(order)
+    there are.  ``col`` breaks ties of ``order`` (duplicated ids), so the
+    numbering is reproducible."""
+    order = list(order) + ([col] if col not in order else [])
     narrow = df.select(*dict.fromkeys([*keep, group, col, *order]))
     numbered = _position(narrow.filter(F.col(group).isNotNull()), [group], order,
                          method, "_pos", "_cnt")

@@ -49,8 +49,11 @@ def filtered_ranking(customers: DataFrame, gender: str, key: str = "CustomerID",
                      order: list | None = None, value: str = "Income",
                      cols: list[str] | None = None) -> DataFrame:
     """Deduplicate first, then keep one gender (exact, case-sensitive match)
-    with a non-NULL value, highest value first."""
-    order = order or ["Name"]
+    with a non-NULL value, highest value first.  Rows of one key are ordered by
+    ``order`` (Name) and then by every other column, so the kept row is
+    reproducible even when a duplicated key ties on Name."""
+    order = list(order or ["Name"])
+    order += [c for c in customers.columns if c != key and c not in order]
     first = dedup_first(customers, [key], order)
     return (first.filter((F.col("Gender") == F.lit(gender)) & F.col(value).isNotNull())
                  .select(*(cols or ["Name", "Surname", value]))
