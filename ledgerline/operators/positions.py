@@ -79,7 +79,7 @@ def window_position(df: DataFrame, group_cols: list[str], order: list,
     """The direct form: ``row_number`` (and ``count``) over ``PARTITION BY``.
     Right when the group key has many values and none is hot."""
     w = Window.partitionBy(*group_cols).orderBy(*sort_spec(order))
-    out = df.withColumn(pos_col, F.row_number().over(w))
+    out = df.withColumn(pos_col, F.row_number().over(w).cast("bigint"))
     if size_col:
         out = out.withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*group_cols)))
     return out

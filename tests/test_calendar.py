@@ -64,3 +64,13 @@ def test_pivot_totals_equal_timeline_totals(spark):
     total_pv = pv.agg(sum(F.sum(f"{m}_Total") for m in cal.month_periods.__globals__["MONTH_NAMES"])).first()[0]
     assert total_tl == total_pv   # integer amounts: per-row rounding is exact
     assert pv.count() == roles.customers(spark, SF_SMALL).count()
+
+
+def test_null_keys_never_match_but_entities_keep_their_rows(spark):
+    ents = spark.createDataFrame([(None,), (1,)], "CustomerID int")
+    facts = _facts(spark, [(None, dt.datetime(2024, 1, 1, 9), 5, "UTC"),
+                           (1, dt.datetime(2024, 1, 1, 9), 7, "UTC")])
+    out = rows(cal.dense_calendar(ents, facts))
+    assert len(out) == 24
+    jan = sorted([r for r in out if r[1] == "January"], key=repr)
+    assert jan == [(1, "January", 1, 7.0), (None, "January", 0, 0.0)]
