@@ -144,20 +144,23 @@ def age_case(x: str) -> str:
 
 def calendar_sql(facts: str, spine: str, period_expr: str, spine_id: str, spine_name: str,
                  hours: tuple | None, ts_expr: str = "RepaymentDate") -> tuple[list[str], str]:
-    hour_filter = f"WHERE EXTRACT(HOUR FROM {ts_expr}) BETWEEN {hours[0]} AND {hours[1]}" if hours else ""
+    """CTEs ``cell_totals`` (facts summed per entity and period) and
+    ``timeline`` (every entity row x every period, zero-filled)."""
+    keep = f"WHERE hour({ts_expr}) >= {hours[0]} AND hour({ts_expr}) <= {hours[1]}" if hours else ""
+    spine_name_tbl = spine.split(' AS ')[0]
     extra = [
         spine,
-        f"""filtered AS (
-    SELECT CustomerID, {period_expr.format(ts=ts_expr)} AS PeriodID, COUNT(*) AS NumberOfRepayments,
-           SUM({try_double('Amount')}) AS AmountTotal
-    FROM {facts} {hour_filter}
-    GROUP BY 1, 2)""",
+        f"""cell_totals AS (
+    SELECT CustomerID, {period_expr.format(ts=ts_expr)} AS period, COUNT(*) AS n,
+           SUM({try_double('Amount')}) AS amount
+    FROM {facts} {keep}
+    GROUP BY CustomerID, period)""",
         f"""timeline AS (
-    SELECT c.CustomerID, m.{spine_name}, m.{spine_id} AS _pid,
-           COALESCE(f.NumberOfRepayments, 0) AS NumberOfRepayments,
-           CAST(COALESCE(f.AmountTotal, 0) AS DOUBLE) AS AmountTotal
-    FROM customers c CROSS JOIN {spine.split(' AS ')[0]} m
-    LEFT JOIN filtered f ON f.CustomerID = c.CustomerID AND f.PeriodID = m.{spine_id})"""]
+    SELECT g.CustomerID, g.{spine_name},
+           COALESCE(t.n, 0) AS NumberOfRepayments,
+           CAST(COALESCE(t.amount, 0) AS DOUBLE) AS AmountTotal
+    FROM (SELECT e.CustomerID, p.* FROM customers e, {spine_name_tbl} p) g
+    LEFT JOIN cell_totals t ON t.CustomerID = g.CustomerID AND t.period = g.{spine_id})"""]
     return extra, f"SELECT CustomerID, {spine_name}, NumberOfRepayments, AmountTotal FROM timeline"
 
 
