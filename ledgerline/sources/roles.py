@@ -29,6 +29,7 @@ from ledgerline.operators.positions import position
 # --- fixed values of the role mapping ---------------------------------------
 MONTHLY_RATE = 0.1 / 12          # 10 % a year, paid monthly (reference model)
 TERM_MONTHS = 24                 # every loan runs two years
+LOAN_CHUNK = 65536               # loans generated per row when expanding a user
 LOAN_SHIFT = 4294967296          # LoanID = user_id * 2^32 + loan number of the user
 STATUS_MAP = {"F": "Approved", "O": "Rejected", "P": " rejected"}
 ZONES = ["America/New_York", "Asia/Kolkata", "UTC"]   # by user_id % 3
@@ -143,11 +144,20 @@ def loan_months(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataF
 def scheduled_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per loan (LoanID, LoanAmount, ScheduledRepayment): a user with
     n events holds ceil(n / 24) loans.  Needs only a per-user count (a
-    partial/final aggregate), not the event numbering."""
+    partial/final aggregate), not the event numbering.
+
+    The loans are generated in two steps -- chunks of ``LOAN_CHUNK`` loan
+    numbers, redistributed by (user, chunk), then expanded -- so a user with a
+    large share of the events never becomes one huge array in one task."""
     e = table(spark, sf_dir, "events")
     counts = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = counts.select("user_id", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / TERM_MONTHS))).alias("_b"))
+    last = F.floor((F.col("_n") - 1) / TERM_MONTHS)            # last loan number of the user
+    chunks = (counts.select("user_id", last.alias("_last"), F.explode(F.sequence(
+                  F.lit(0).cast("bigint"), F.floor(last / LOAN_CHUNK))).alias("_c"))
+              .repartition("user_id", "_c"))
+    first = F.col("_c") * LOAN_CHUNK
+    blocks = chunks.select("user_id", F.explode(F.sequence(
+        first, F.least(first + (LOAN_CHUNK - 1), F.col("_last")))).alias("_b"))
     user, block = F.col("user_id"), F.col("_b")
     return blocks.select(*_loan_terms(user * F.lit(LOAN_SHIFT) + block, user, block))
 

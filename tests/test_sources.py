@@ -75,3 +75,11 @@ def test_role_views_have_reference_shapes(spark):
     assert act.count() == events                                  # every event is used
     assert act.groupBy("LoanID").count().agg(F.max("count")).first()[0] <= 24
     assert sched.count() == act.select("LoanID").distinct().count()
+
+
+def test_scheduled_loans_chunked_expansion(spark, monkeypatch):
+    monkeypatch.setattr(roles, "LOAN_CHUNK", 2)
+    sched, act = roles.scheduled_and_actual(spark, SF_SMALL)
+    ids = act.select("LoanID").distinct()
+    assert sched.count() == ids.count()
+    assert sched.select("LoanID").exceptAll(ids).count() == 0
