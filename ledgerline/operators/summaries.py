@@ -28,9 +28,12 @@ def duplicate_rows(df: DataFrame, keys: list[str], cols: list[str] | None = None
     key is skewed, or becomes a broadcast when the duplicate-key set is small."""
     dup_keys = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                 .filter(F.col("_n") > 1).select(*keys))
+    out_cols = _cols(df, cols)
+    # the other output columns break ties, so a hot key's rows can still be
+    # spread over several range partitions of the final sort
     return (df.join(dup_keys, keys, "left_semi")
-              .select(*_cols(df, cols))
-              .orderBy(*sort_spec(keys)))
+              .select(*out_cols)
+              .orderBy(*sort_spec(keys + [c for c in out_cols if c not in keys])))
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -55,9 +58,10 @@ def filtered_ranking(customers: DataFrame, gender: str, key: str = "CustomerID",
     order = list(order or ["Name"])
     order += [c for c in customers.columns if c != key and c not in order]
     first = dedup_first(customers, [key], order)
+    out_cols = list(cols or ["Name", "Surname", value])
     return (first.filter((F.col("Gender") == F.lit(gender)) & F.col(value).isNotNull())
-                 .select(*(cols or ["Name", "Surname", value]))
-                 .orderBy(desc(value)))
+                 .select(*out_cols)
+                 .orderBy(desc(value), *sort_spec([c for c in out_cols if c != value])))
 
 
 def guarded_percent(part: Column, whole: Column, digits: int = 2) -> Column:
