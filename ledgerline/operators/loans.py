@@ -59,7 +59,10 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
     loan's rows and spills, so no array of the loan is built.
     ``method="auto"`` (default): measure the longest history (one aggregate
     over the key column) and fold while it is at most ``MAX_FOLD_MONTHS``
-    rows -- always, for loans with a term -- else use the closed form.
+    rows -- always, for loans with a term -- else use the closed form.  The
+    closed form scales by (1 + r)^t, finite for t up to about 85 000 months at
+    10 % a year; longer single histories have no meaningful double result in
+    either form.
     Output: key, Month, ActualRepayment, the other input columns
     (LoanAmount, ScheduledRepayment, ...), LoanBalanceStart, LoanBalanceEnd,
     InterestPayment."""
