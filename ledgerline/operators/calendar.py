@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.casts import sql_int, try_double
 from ledgerline.functions.ordering import asc
 from ledgerline.functions.time import month_periods, to_zone
+from ledgerline.sources.sinks import write_if_absent
 
 
 def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
@@ -96,3 +97,11 @@ def conditional_pivot(timeline: DataFrame, periods=None, key: str = "CustomerID"
         aggs += [F.sum(F.when(hit, F.col(count_col))).cast("int").alias(f"{n}Repayments"),
                  F.sum(F.when(hit, F.col(total_col))).alias(f"{n}Total")]
     return timeline.groupBy(key).agg(*aggs).orderBy(asc(key))
+
+
+def save_timeline(entities: DataFrame, facts: DataFrame, name: str = "timeline",
+                  **options) -> DataFrame:
+    """``CREATE TABLE IF NOT EXISTS timeline AS ...``: write the dense calendar
+    once; later calls return the stored table unchanged (as in the
+    reference, a stale table is kept).  ``options`` go to :func:`dense_calendar`."""
+    return write_if_absent(dense_calendar(entities, facts, **options), name)

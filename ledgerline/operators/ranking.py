@@ -18,6 +18,7 @@ from ledgerline.functions.casts import sql_int
 from ledgerline.functions.categories import age_category
 from ledgerline.functions.ordering import asc, sort_spec
 from ledgerline.operators.positions import position
+from ledgerline.sources.sinks import replace_table
 
 
 def _position(df, group_cols, order, method, pos_col, size_col=None):
@@ -95,3 +96,10 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
             & (categorized["_tot"] == ranks["_t"]))
     return (ranked.select(*cols, "AgeCategory", "Rank")
                   .orderBy(asc("Gender"), asc("AgeCategory"), asc(key)))
+
+
+def save_corrected_customers(customers: DataFrame, name: str = "corrected_customers",
+                             **options) -> DataFrame:
+    """``CREATE OR REPLACE TABLE corrected_customers AS ...`` for
+    :func:`cyclic_shift`; returns the stored table."""
+    return replace_table(cyclic_shift(customers, **options), name)

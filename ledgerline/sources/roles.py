@@ -167,3 +167,24 @@ def scheduled_and_actual(spark: SparkSession, sf_dir: str, method: str = "auto",
     """The two inputs of the loan model: scheduled (one row per loan) and
     actual (one row per loan-month)."""
     return scheduled_loans(spark, sf_dir), loan_months(spark, sf_dir, method)
+
+
+def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[str]:
+    """Register the role views as temporary views (``customers``, ``loans``,
+    ``credit``, ``repayments``, ``monthly_repayments``, ``months``,
+    ``scheduled``, ``actual``) so the lending questions can also be asked in
+    SQL through ``spark.sql``.  Views are lazy -- only the loan numbering's
+    group-size probe runs at registration.  Returns the registered names."""
+    from ledgerline.functions.time import month_periods
+
+    scheduled, actual = scheduled_and_actual(spark, sf_dir)
+    views = {
+        "customers": customers(spark, sf_dir), "loans": loans(spark, sf_dir),
+        "credit": credit(spark, sf_dir), "repayments": repayments(spark, sf_dir),
+        "monthly_repayments": monthly_repayments(spark, sf_dir),
+        "months": spark.createDataFrame(month_periods(), "MonthID int, MonthName string"),
+        "scheduled": scheduled, "actual": actual,
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in views]

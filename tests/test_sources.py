@@ -83,3 +83,34 @@ def test_scheduled_loans_chunked_expansion(spark, monkeypatch):
     ids = act.select("LoanID").distinct()
     assert sched.count() == ids.count()
     assert sched.select("LoanID").exceptAll(ids).count() == 0
+
+
+def test_register_views_supports_sql(spark):
+    names = roles.register_views(spark, SF_SMALL, prefix="ll_")
+    assert "ll_customers" in names and "ll_actual" in names
+    got = spark.sql("""
+        SELECT LoanTerm, count(*) AS n FROM ll_loans WHERE ApprovalStatus IS NOT NULL
+        GROUP BY LoanTerm ORDER BY LoanTerm""").collect()
+    assert [r.LoanTerm for r in got] == [12, 24, 36, 48, 60]
+    assert spark.sql("SELECT count(*) FROM ll_months").first()[0] == 12
+
+
+def test_saved_derived_tables(spark):
+    from ledgerline.operators import calendar as cal
+    from ledgerline.operators import ranking as rk
+    for t in ("ll_timeline", "ll_corrected"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    cust = roles.customers(spark, SF_SMALL)
+    first = cal.save_timeline(cust, roles.monthly_repayments(spark, SF_SMALL), "ll_timeline",
+                              hours=None)
+    n = first.count()
+    # IF NOT EXISTS: a second call with other input keeps the stored table
+    again = cal.save_timeline(cust.limit(1), roles.monthly_repayments(spark, SF_SMALL),
+                              "ll_timeline", hours=None)
+    assert again.count() == n == 12 * cust.count()
+    assert cal.pivot_calendar(spark.table("ll_timeline")).count() == cust.count()
+    corrected = rk.save_corrected_customers(cust, "ll_corrected")
+    assert corrected.columns == ["CustomerID", "Age", "CorrectedAge", "Gender"]
+    assert rk.save_corrected_customers(cust.limit(10), "ll_corrected").count() == 10
+    for t in ("ll_timeline", "ll_corrected"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
