@@ -7,7 +7,7 @@ collected to the driver.  Sub-packages:
 * ``functions`` – column-level helpers (safe casts, rounding, category maps)
 * ``operators`` – the lending operators (summaries, calendars, ranking, loans)
 * ``plans``     – named query catalog with the equivalent DuckDB SQL
-* ``streaming`` – incremental (Structured Streaming) form of the calendar
+* ``streaming`` – intentionally empty (the reference has no streams)
 """
 
 from ledgerline.session import ensure_checkpoint_dir, get_session

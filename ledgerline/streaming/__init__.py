@@ -1 +1,6 @@
-"""Incremental forms of the batch operators (Structured Streaming)."""
+"""Streaming: intentionally empty.
+
+The reference reads every input whole; it has no stream, event-time window,
+watermark or stateful operator, so there is nothing to express with
+Structured Streaming.  The package exists to keep the layout uniform.
+"""
