@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.casts import half_even
 from ledgerline.operators.positions import position
+from ledgerline.sources.schemas import SOURCE_SCHEMAS
 
 # --- fixed values of the role mapping ---------------------------------------
 MONTHLY_RATE = 0.1 / 12          # 10 % a year, paid monthly (reference model)
@@ -37,7 +38,11 @@ ZONES = ["America/New_York", "Asia/Kolkata", "UTC"]   # by user_id % 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One parquet table of ``sf_dir``, read with its declared schema."""
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,3 +114,10 @@ def test_saved_derived_tables(spark):
     assert rk.save_corrected_customers(cust.limit(10), "ll_corrected").count() == 10
     for t in ("ll_timeline", "ll_corrected"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_declared_source_schemas_match_files(spark):
+    from ledgerline.sources.schemas import SOURCE_SCHEMAS
+    for name in SOURCE_SCHEMAS:
+        inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        assert roles.table(spark, SF_SMALL, name).schema == inferred, name
