@@ -39,7 +39,10 @@ def cluster_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        # planner estimates come from compressed file sizes: keep them small;
+        # AQE decides from measured shuffle output, which may go higher
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 ** 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
     }
 
 
