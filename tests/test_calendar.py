@@ -74,3 +74,13 @@ def test_null_keys_never_match_but_entities_keep_their_rows(spark):
     assert len(out) == 24
     jan = sorted([r for r in out if r[1] == "January"], key=repr)
     assert jan == [(1, "January", 1, 7.0), (None, "January", 0, 0.0)]
+
+
+def test_pivot_methods_agree(spark):
+    tl = spark.createDataFrame([(1, "January", 1, 0.5), (1, "February", 2, 1.5),
+                                (2, "March", 1, 2.5), (2, "March", 1, 3.5)],
+                               "CustomerID int, MonthName string, NumberOfRepayments long, "
+                               "AmountTotal double")
+    a = cal.pivot_calendar(tl)
+    b = cal.pivot_calendar(tl, method="pivot")
+    assert a.schema == b.schema and rows(a) == rows(b)
