@@ -1,8 +1,9 @@
 """Spark vs DuckDB parity for every catalog query (the driver's check, locally).
 
 Usage: python tests/parity.py [sf_dir] [name ...]
-Compares row count, column names and an order-insensitive value hash (doubles
-rounded to 9 significant digits); prints one line per query.
+Compares row count, column names, column types and an order-insensitive value
+hash (doubles at 9 significant digits, or exact with PARITY_EXACT=1); prints
+one line per query.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ import duckdb  # noqa: F401
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+TYPES = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+         "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP", "FloatType()": "FLOAT",
+         "BooleanType()": "BOOLEAN"}
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -75,19 +80,24 @@ def main():
             res = con.execute(sql[name])
             dcols = [d[0] for d in res.description]
             drows = res.fetchall()
+            dtypes = dict(zip(dcols, [str(t) for t in con.sql(sql[name]).types]))
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e)[:300]}")
             bad += 1
             continue
         hs, ls = digest(scols, srows)
         hd, ld = digest(dcols, drows)
-        ok = (len(srows) == len(drows) and sorted(scols) == sorted(dcols) and hs == hd)
+        stypes = {f.name: TYPES.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+        ok = (len(srows) == len(drows) and sorted(scols) == sorted(dcols) and hs == hd
+              and stypes == dtypes)
         tag = "ok  " if ok else "FAIL"
         print(f"{tag} {name}: spark {len(srows)} rows, duckdb {len(drows)} rows ({ts:.1f}s)")
         if not ok:
             bad += 1
             if sorted(scols) != sorted(dcols):
                 print("   cols", sorted(scols), sorted(dcols))
+            if stypes != dtypes:
+                print("   types", {k: (v, dtypes.get(k)) for k, v in stypes.items() if v != dtypes.get(k)})
             diff_s = [x for x in ls if x not in set(ld)][:3]
             diff_d = [x for x in ld if x not in set(ls)][:3]
             print("   spark-only", diff_s)
