@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REF_SCHEDULED, rows
+from conftest import rows, sample_csv
 from ledgerline.operators import loans as ln
 from ledgerline.sources import read_csv_inferred
 
@@ -140,8 +140,8 @@ def test_natural_join_needs_a_common_column(spark):
         ln.natural_join(a, b)
 
 
-def test_reference_scheduled_file(spark):
-    df = read_csv_inferred(spark, REF_SCHEDULED)
+def test_sample_scheduled_file(spark):
+    df = read_csv_inferred(spark, sample_csv("scheduled"))
     got = df.agg(F.count(F.lit(1)), F.sum("LoanAmount"), F.round(F.sum("ScheduledRepayment"), 2)).first()
     assert tuple(got) == (1000, 64950000.0, 2997112.72)
 

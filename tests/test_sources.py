@@ -4,7 +4,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import REF_DATA, SF_SMALL, rows
+from conftest import SF_SMALL, rows, sample_csv
 from ledgerline.sources import (
     SCHEMAS, append_table, create_table_if_absent, load_tables, read_csv_strict, replace_table,
     update_where, write_if_absent,
@@ -33,9 +33,8 @@ def test_strict_reader_rejects_reordered_header(spark):
         read_csv_strict(spark, p, "months").collect()
 
 
-def test_load_reference_tables(spark):
-    paths = {"loans": f"{REF_DATA}/loan_dataset.csv", "credit": f"{REF_DATA}/credit_data.csv",
-             "months": f"{REF_DATA}/Months.csv"}
+def test_load_sample_tables(spark):
+    paths = {name: sample_csv(name) for name in ("loans", "credit", "months")}
     out = tempfile.mkdtemp(prefix="ledgerline-load-")
     t = load_tables(spark, paths, out)
     assert {k: v.count() for k, v in t.items()} == {"loans": 1014, "credit": 1014, "months": 12}
@@ -65,7 +64,7 @@ def test_table_statements(spark):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
-def test_role_views_have_reference_shapes(spark):
+def test_role_views_have_lending_shapes(spark):
     c = roles.customers(spark, SF_SMALL)
     assert c.columns == ["CustomerID", "Name", "Surname", "Age", "Gender", "Income", "Region"]
     lo = roles.loans(spark, SF_SMALL)

@@ -1,18 +1,18 @@
 import pytest
 
-from conftest import REF_DATA, rows
+from conftest import rows, sample_csv
 from ledgerline.operators import summaries as sm
 from ledgerline.sources import read_csv_strict
 
 
 @pytest.fixture(scope="module")
-def ref_loans(spark):
-    return read_csv_strict(spark, f"{REF_DATA}/loan_dataset.csv", "loans")
+def sample_loans(spark):
+    return read_csv_strict(spark, sample_csv("loans"), "loans")
 
 
 @pytest.fixture(scope="module")
-def ref_credit(spark):
-    return read_csv_strict(spark, f"{REF_DATA}/credit_data.csv", "credit")
+def sample_credit(spark):
+    return read_csv_strict(spark, sample_csv("credit"), "credit")
 
 
 def test_duplicate_rows_null_keys_never_match(spark):
@@ -55,29 +55,29 @@ def test_wide_extract_fans_out_and_keeps_unmatched(spark):
     assert {r[5] for r in got if r[0] == 1} == {"Approved"}
 
 
-def test_reference_loans_duplicates(ref_loans, ref_credit):
-    assert sm.duplicate_rows(ref_loans, ["CustomerID"]).count() == 28
-    assert sm.duplicate_rows(ref_credit, ["CustomerID"]).count() == 28
+def test_sample_loans_duplicates(sample_loans, sample_credit):
+    assert sm.duplicate_rows(sample_loans, ["CustomerID"]).count() == 28
+    assert sm.duplicate_rows(sample_credit, ["CustomerID"]).count() == 28
 
 
-def test_reference_approval_rates(ref_loans):
-    got = rows(sm.conditional_rate(ref_loans))
+def test_sample_approval_rates(sample_loans):
+    got = rows(sm.conditional_rate(sample_loans))
     assert got == [(12, 199, 96, 48.24), (24, 204, 97, 47.55), (36, 186, 85, 45.7),
                    (48, 221, 118, 53.39), (60, 204, 95, 46.57)]
-    dedup = rows(sm.conditional_rate(ref_loans, dedup_key="CustomerID"), "LoanTerm", "TotalLoans",
+    dedup = rows(sm.conditional_rate(sample_loans, dedup_key="CustomerID"), "LoanTerm", "TotalLoans",
                  "ApprovedLoans")
     assert dedup == [(12, 197, 95), (24, 201, 96), (36, 184, 83), (48, 217, 116), (60, 201, 92)]
 
 
-def test_reference_class_counts(ref_credit):
-    assert rows(sm.category_counts(ref_credit)) == [("B", 521), ("A", 487), ("A+", 6)]
-    assert rows(sm.conditional_update(ref_credit)) == [("A", 487), ("C", 275), ("B", 246), ("A+", 6)]
+def test_sample_class_counts(sample_credit):
+    assert rows(sm.category_counts(sample_credit)) == [("B", 521), ("A", 487), ("A+", 6)]
+    assert rows(sm.conditional_update(sample_credit)) == [("A", 487), ("C", 275), ("B", 246), ("A+", 6)]
 
 
-def test_reference_join_mean(ref_loans, ref_credit):
-    joined = ref_loans.join(ref_credit, "CustomerID")
+def test_sample_join_mean(sample_loans, sample_credit):
+    joined = sample_loans.join(sample_credit, "CustomerID")
     assert joined.count() == 1042
-    means = dict(rows(sm.joined_group_mean(ref_credit, ref_loans, value="LoanAmount")))
+    means = dict(rows(sm.joined_group_mean(sample_credit, sample_loans, value="LoanAmount")))
     assert means["A"] == pytest.approx(19105.30139720559, rel=1e-12)
     assert means["A+"] == 16267.5
     assert means["B"] == pytest.approx(19122.78504672897, rel=1e-12)
