@@ -171,6 +171,7 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled",
     the global median scheduled principal (taken over all months) and clips
     SMM to [0, 1]."""
     paid = F.col("LoanBalanceStart") - F.col("LoanBalanceEnd")
+    rows = balances
     if variant == "scheduled":
         excess = paid - (F.col("ScheduledRepayment") - F.col("InterestPayment"))
     elif variant == "gross":
@@ -178,15 +179,17 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled",
     elif variant == "median":
         med = exact_median(balances.select(
             (F.col("ScheduledRepayment") - F.col("InterestPayment")).alias("_sp")), "_sp")
-        excess = paid - med
+        rows = balances.withColumn("_med", med)       # the scalar is bound once
+        excess = paid - F.col("_med")
     else:
         raise ValueError(f"unknown variant {variant!r}")
-    smm = clip(excess, lower=0) / F.col("LoanBalanceStart")
+    # each step is its own column so clip() refers to it by name
+    months = (rows.filter(F.col("LoanBalanceStart") > 0)
+              .select(excess.alias("_x"), F.col("LoanBalanceStart").alias("_b"))
+              .select((clip("_x", lower=0) / F.col("_b")).alias("_smm")))
     if variant == "median":
-        smm = clip(smm, lower=0, upper=1)
-    months = (balances.filter(F.col("LoanBalanceStart") > 0)
-              .select(smm.alias("_smm"))
-              .filter(F.col("_smm").isNotNull() & ~F.isnan("_smm")))
+        months = months.select(clip("_smm", lower=0, upper=1).alias("_smm"))
+    months = months.filter(F.col("_smm").isNotNull() & ~F.isnan("_smm"))
     agg = months.agg(F.sum(F.log1p("_smm")).alias("_s"), F.count(F.lit(1)).alias("_n"))
     smm_mean = F.expm1(F.col("_s") / F.lit(12.0))
     cpr = (F.lit(1.0) - F.pow(F.lit(1.0) - smm_mean, F.lit(12.0))) * F.lit(100.0)

@@ -159,10 +159,10 @@ def exact_median(df: DataFrame, col: str, method: str = "auto") -> Column:
     cumulative counts."""
     v = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = freeze_layout(v.groupBy("_v").agg(F.count(F.lit(1)).alias("_w")), "median")
-    cum = cumulative_weight(counts, ["_v"], "_w", "_cum", method)
     n = counts.agg(F.sum("_w")).scalar()
-    lo = F.floor((n + F.lit(1)) / F.lit(2))
-    hi = F.ceil((n + F.lit(1)) / F.lit(2))
+    cum = cumulative_weight(counts, ["_v"], "_w", "_cum", method).withColumn("_n", n)
+    lo = F.floor((F.col("_n") + F.lit(1)) / F.lit(2))
+    hi = F.ceil((F.col("_n") + F.lit(1)) / F.lit(2))
     start = F.col("_cum") - F.col("_w")          # positions start+1 .. _cum hold this value
     hit_lo = (start < lo) & (lo <= F.col("_cum"))
     hit_hi = (start < hi) & (hi <= F.col("_cum"))

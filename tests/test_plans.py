@@ -39,9 +39,14 @@ def test_pivot_is_one_aggregate_over_the_timeline(spark):
     assert "pivotfirst" not in p.lower()
 
 
-def test_left_join_is_inner_plus_anti(spark):
-    p = q(spark, "wide_extract")
-    assert "LeftAnti" in p and "LeftOuter" not in p.split("Join")[0]
+def _left_joins_on_key(p):
+    return [ln for ln in p.splitlines() if "LeftOuter" in ln and "[CustomerID" in ln]
+
+
+def test_left_join_split_form_is_inner_plus_anti(spark):
+    p = q(spark, "wide_extract_split")
+    assert "LeftAnti" in p and not _left_joins_on_key(p)
+    assert len(_left_joins_on_key(q(spark, "wide_extract"))) == 2   # no hot key: plain joins
 
 
 def test_pair_counts_aggregate_before_join(spark):
