@@ -17,7 +17,9 @@ from ledgerline.functions.casts import clip, half_even
 from ledgerline.operators.positions import exact_median, largest_group
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
-MAX_FOLD_MONTHS = 10_000         # longest history folded as one array (auto method)
+MAX_FOLD_MONTHS = 2_400          # longest history folded as one array (auto method);
+                                 # the fold appends per month, so its cost grows
+                                 # with the square of the history length
 RECOVERY_RATE = 0.80             # fixed value: expected-loss recovery
 
 
