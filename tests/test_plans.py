@@ -81,3 +81,28 @@ def test_hot_group_is_spread_over_partitions(spark):
         assert tagged.filter(F.col("g") == "hot").agg(F.max("pos")).first()[0] == 10000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_scan_positions_balance_a_hot_user(spark):
+    """One user holds a third of the events: the window (hash) layout gives
+    that user's task >= 1/3 of the rows, the range scan spreads them."""
+    from ledgerline.functions.ordering import sort_spec
+    from ledgerline.operators.positions import window_position
+    from ledgerline.sources import roles
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        e = roles.table(spark, SF_SMALL, "events").select("event_id", "ts", "user_id", "value")
+        hot = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0))
+                           .otherwise(F.col("user_id")))
+        total = hot.count()
+
+        def largest(df):
+            return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] / total
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert largest(hot.repartition(parts, "user_id")) >= 1 / 3
+        assert largest(hot.orderBy(*sort_spec(["user_id", "ts", "event_id"]))) < 0.25
+        a = ordered_position(hot, ["user_id"], ["ts", "event_id"], "pos")
+        b = window_position(hot, ["user_id"], ["ts", "event_id"], "pos")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
