@@ -100,16 +100,22 @@ def largest_group(df: DataFrame, group_cols: list[str]) -> int:
     return int(top or 0)
 
 
+def window_fits(df: DataFrame, group_cols: list[str]) -> bool:
+    """True when the largest group has at most
+    ``spark.ledgerline.window.maxGroupRows`` rows (default 2,000,000), i.e. one
+    window task per group is acceptable."""
+    conf = df.sparkSession.conf.get(MAX_WINDOW_ROWS_CONF, None)
+    limit = int(conf) if conf else DEFAULT_MAX_WINDOW_ROWS
+    return largest_group(df, group_cols) <= limit
+
+
 def position(df: DataFrame, group_cols: list[str], order: list, pos_col: str = "pos",
              size_col: str | None = None, method: str = "auto") -> DataFrame:
     """Row positions by ``method``: ``"window"``, ``"scan"``, or ``"auto"`` --
-    measure the largest group and use the window below
-    ``spark.ledgerline.window.maxGroupRows`` rows (default 2,000,000), the
-    range-partitioned scan above it."""
+    measure the largest group and use the window while :func:`window_fits`,
+    the range-partitioned scan otherwise."""
     if method == "auto":
-        conf = df.sparkSession.conf.get(MAX_WINDOW_ROWS_CONF, None)
-        limit = int(conf) if conf else DEFAULT_MAX_WINDOW_ROWS
-        method = "window" if largest_group(df, group_cols) <= limit else "scan"
+        method = "window" if window_fits(df, group_cols) else "scan"
     if method == "window":
         return window_position(df, group_cols, order, pos_col, size_col)
     if method == "scan":
@@ -127,9 +133,7 @@ def cumulative_weight(df: DataFrame, order: list, weight: str, out: str = "_cum"
     per partition, then add the running sum *inside* each range partition --
     a window partitioned by the partition id, i.e. balanced by construction."""
     if method == "auto":
-        conf = df.sparkSession.conf.get(MAX_WINDOW_ROWS_CONF, None)
-        limit = int(conf) if conf else DEFAULT_MAX_WINDOW_ROWS
-        method = "window" if df.count() <= limit else "scan"
+        method = "window" if window_fits(df, []) else "scan"
     keys = sort_spec(order)
     if method == "window":
         w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)

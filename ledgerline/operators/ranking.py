@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from ledgerline.functions.casts import sql_int
 from ledgerline.functions.categories import age_category
 from ledgerline.functions.ordering import asc, sort_spec
-from ledgerline.operators.positions import position
+from ledgerline.operators.positions import position, window_fits
 from ledgerline.sources.sinks import replace_table
 
 
@@ -68,10 +68,12 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
     category is its own group).  ``metric="count"`` ranks by the number of
     repayments instead of their amount.
 
-    Outside ``method="window"`` the distinct (category, total) pairs are
-    numbered (the position among distinct values *is* the dense rank) and the
-    rank is joined back null-safely; a hot total (e.g. the many customers
-    with none) is split by AQE's skew-join handling."""
+    ``method="window"`` is ``dense_rank`` over ``PARTITION BY`` category.
+    ``method="scan"`` numbers the distinct (category, total) pairs with the
+    range scan (the position among distinct values *is* the dense rank) and
+    joins the rank back null-safely; a hot total (e.g. the many customers
+    with none) is split by AQE's skew-join handling.  ``"auto"`` measures the
+    largest category and uses the window only while it fits one task."""
     if metric == "sum":
         s = F.sum(F.coalesce(F.col(amount), F.lit(0)))
         total = sql_int(s, "bigint") if _is_fractional(repayments, amount) else s.cast("bigint")
@@ -83,10 +85,12 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
     categorized = (with_age_category(corrected, age_col)
                    .join(totals, key, "left")
                    .withColumn("_tot", F.coalesce(F.col("_tot"), F.lit(0).cast("bigint"))))
+    if method == "auto":
+        method = "window" if window_fits(categorized, ["AgeCategory"]) else "scan"
     if method == "window":  # the direct form
         w = Window.partitionBy("AgeCategory").orderBy(F.col("_tot").desc_nulls_last())
         ranked = categorized.withColumn("Rank", F.dense_rank().over(w).cast("bigint"))
-    else:
+    elif method == "scan":
         distinct = categorized.select("AgeCategory", "_tot").distinct()
         ranks = _position(distinct, ["AgeCategory"], [("_tot", False)], method, "Rank")
         ranks = ranks.select(F.col("AgeCategory").alias("_c"), F.col("_tot").alias("_t"),
@@ -94,6 +98,8 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
         ranked = categorized.join(
             ranks, categorized["AgeCategory"].eqNullSafe(ranks["_c"])
             & (categorized["_tot"] == ranks["_t"]))
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return (ranked.select(*cols, "AgeCategory", "Rank")
                   .orderBy(asc("Gender"), asc("AgeCategory"), asc(key)))
 
