@@ -85,3 +85,44 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1
     assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 24
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _Context:
+    def __init__(self, master, conf, current=None):
+        self.master, self._conf, self._dir = master, _Conf(conf), current
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def getConf(self):
+        return self._conf
+
+    def setCheckpointDir(self, path):
+        self._dir = path
+
+
+class _Session:
+    def __init__(self, sc):
+        self.sparkContext = sc
+
+
+def test_checkpoint_folder_policy():
+    import pytest
+    from ledgerline.session import ensure_checkpoint_dir
+    configured = _Session(_Context("spark://cluster:7077", {"spark.checkpoint.dir": "hdfs:///ckpt"}))
+    assert ensure_checkpoint_dir(configured) == "hdfs:///ckpt"
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session(_Context("yarn", {})))
+    local = _Session(_Context("local[4]", {}))
+    path = ensure_checkpoint_dir(local)
+    assert "ledgerline-ckpt-" in path
+    already = _Session(_Context("yarn", {}, current="s3a://bucket-of-the-cluster/ckpt"))
+    assert ensure_checkpoint_dir(already) == "s3a://bucket-of-the-cluster/ckpt"
