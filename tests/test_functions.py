@@ -124,5 +124,5 @@ def test_checkpoint_folder_policy():
     local = _Session(_Context("local[4]", {}))
     path = ensure_checkpoint_dir(local)
     assert "ledgerline-ckpt-" in path
-    already = _Session(_Context("yarn", {}, current="s3a://bucket-of-the-cluster/ckpt"))
-    assert ensure_checkpoint_dir(already) == "s3a://bucket-of-the-cluster/ckpt"
+    already = _Session(_Context("yarn", {}, current="hdfs:///shared/ckpt"))
+    assert ensure_checkpoint_dir(already) == "hdfs:///shared/ckpt"
