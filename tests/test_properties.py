@@ -81,3 +81,49 @@ def test_dense_rank_matches_brute_force(spark, data):
         got = {r[0]: r[1] for r in rows(rk.rank_in_category(corrected, reps, method=method),
                                         "CustomerID", "Rank")}
         assert got == want
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(1, 12), st.integers(0, 23),
+                          st.one_of(st.none(), st.integers(0, 500))), max_size=40),
+       st.lists(st.sampled_from([1, 2, 4, None]), min_size=1, max_size=5))
+def test_dense_calendar_matches_brute_force(spark, facts, entities):
+    import datetime as dt
+    from ledgerline.functions.time import MONTH_NAMES
+    ents = spark.createDataFrame([(e,) for e in entities], "CustomerID int")
+    fdf = spark.createDataFrame(
+        [(k, dt.datetime(2023, m, 1, h, 30), a, "UTC") for k, m, h, a in facts],
+        "CustomerID int, RepaymentDate timestamp_ntz, Amount int, TimeZone string")
+    got = sorted(rows(cal.dense_calendar(ents, fdf)), key=repr)
+    want = []
+    for e in entities:
+        for m, name in enumerate(MONTH_NAMES, 1):
+            hits = [a for k, mm, h, a in facts if e is not None and k == e and mm == m and 6 <= h <= 18]
+            want.append((e, name, len(hits), float(sum(a for a in hits if a is not None))))
+    assert got == sorted(want, key=repr)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 4), st.floats(100, 5000, allow_nan=False),
+                          st.lists(st.one_of(st.none(), st.floats(0, 800, allow_nan=False)),
+                                   min_size=1, max_size=8)),
+                min_size=1, max_size=4, unique_by=lambda t: t[0]))
+def test_balance_fold_matches_sequential_loop(spark, loans):
+    import numpy as np
+    r = ln.MONTHLY_RATE
+    sched = spark.createDataFrame([(lid, amt, 1.0) for lid, amt, _ in loans],
+                                  "LoanID long, LoanAmount double, ScheduledRepayment double")
+    act = spark.createDataFrame([(lid, m, p) for lid, _, pays in loans for m, p in enumerate(pays, 1)],
+                                "LoanID long, Month int, ActualRepayment double")
+    got = {(x[0], x[1]): x[2:] for x in rows(ln.loan_balances(sched, act, method="fold"),
+                                             "LoanID", "Month", "LoanBalanceStart",
+                                             "LoanBalanceEnd", "InterestPayment")}
+    for lid, amt, pays in loans:
+        b = None
+        for m, p in enumerate(pays, 1):
+            start = amt if b is None else b
+            interest = start * r
+            new = (start + interest) - (float("nan") if p is None else p)
+            b = new if new > 0 else 0.0          # max(0, NaN) is 0 in the pandas model
+            want = tuple(float(np.round(v, 2)) for v in (start, b, interest))
+            assert got[(lid, m)] == want
