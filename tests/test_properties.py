@@ -46,7 +46,7 @@ def _brute_shift(data, k):
     return out
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 90), st.sampled_from(["A", "B", "C", None])),
                 min_size=1, max_size=40),
        st.integers(-5, 5))
@@ -59,7 +59,7 @@ def test_cyclic_shift_matches_brute_force(spark, data, k):
         assert got == want
 
 
-@settings(max_examples=15, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 80), st.integers(0, 5)), min_size=1, max_size=40))
 def test_dense_rank_matches_brute_force(spark, data):
     corrected = spark.createDataFrame([(i, a, a, "F") for i, (a, _) in enumerate(data)],
@@ -83,7 +83,7 @@ def test_dense_rank_matches_brute_force(spark, data):
         assert got == want
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(1, 12), st.integers(0, 23),
                           st.one_of(st.none(), st.integers(0, 500))), max_size=40),
        st.lists(st.sampled_from([1, 2, 4, None]), min_size=1, max_size=5))
@@ -103,7 +103,7 @@ def test_dense_calendar_matches_brute_force(spark, facts, entities):
     assert got == sorted(want, key=repr)
 
 
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 4), st.floats(100, 5000, allow_nan=False),
                           st.lists(st.one_of(st.none(), st.floats(0, 800, allow_nan=False)),
                                    min_size=1, max_size=8)),
