@@ -1,4 +1,4 @@
-"""Cleaning and summary operators over one or two tables (C1-C8)."""
+"""Cleaning, summary and extract operators over one to three tables (C1-C9)."""
 
 from __future__ import annotations
 
