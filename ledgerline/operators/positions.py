@@ -34,9 +34,16 @@ from ledgerline.session import freeze as freeze_layout
 _PID, _RID, _N, _FIRST, _OFF = "_lp_pid", "_lp_rid", "_lp_n", "_lp_first", "_lp_off"
 
 
+FREEZE_CONF = "spark.ledgerline.positions.freeze"
+
+
+def _freeze_default(df: DataFrame) -> bool:
+    return str(df.sparkSession.conf.get(FREEZE_CONF, "true")).lower() != "false"
+
+
 def ordered_position(df: DataFrame, group_cols: list[str], order: list,
                      pos_col: str = "pos", size_col: str | None = None,
-                     freeze: bool = True) -> DataFrame:
+                     freeze: bool | None = None) -> DataFrame:
     """Add ``pos_col`` = 1-based position of the row in its group under
     ``order`` (NULLS LAST, like the reference engine; ``("c", False)`` is DESC)
     and optionally ``size_col`` = number of rows in the group.
@@ -44,8 +51,16 @@ def ordered_position(df: DataFrame, group_cols: list[str], order: list,
     NULL group values form one group, as in ``PARTITION BY``.  ``order`` should
     be a total order (add tie-breaker columns) for reproducible numbering;
     exact duplicate rows may be numbered either way round, which cannot be
-    observed."""
+    observed.
+
+    ``freeze`` (default: ``spark.ledgerline.positions.freeze``, true) writes
+    the tagged layout before it is read twice.  Without it the numbering
+    relies on Spark reusing the one range exchange and on ``order`` being a
+    total order -- cheaper (no extra write), but a recomputed layout after a
+    lost shuffle file is only guaranteed identical under those conditions."""
     group_cols = list(group_cols)
+    if freeze is None:
+        freeze = _freeze_default(df)
     keys = sort_spec(group_cols) + sort_spec(order)
     tagged = (df.orderBy(*keys)
               .withColumn(_PID, F.spark_partition_id())

@@ -77,3 +77,15 @@ def test_cumulative_weight_scan_equals_window(spark):
     a = rows(cumulative_weight(df, ["k"], "w", "c", "scan"), "k", "c")
     b = rows(cumulative_weight(df, ["k"], "w", "c", "window"), "k", "c")
     assert sorted(a) == sorted(b)
+
+
+def test_unfrozen_positions_equal_frozen(spark):
+    df = spark.createDataFrame([(i % 3, (i * 37) % 101, i) for i in range(600)],
+                               "g int, o int, t int").repartition(5)
+    spark.conf.set("spark.ledgerline.positions.freeze", "false")
+    try:
+        a = rows(ordered_position(df, ["g"], ["o", "t"], "pos"))
+    finally:
+        spark.conf.unset("spark.ledgerline.positions.freeze")
+    b = rows(ordered_position(df, ["g"], ["o", "t"], "pos"))
+    assert sorted(a) == sorted(b)
