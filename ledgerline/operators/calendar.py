@@ -32,10 +32,12 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
     entities on the key alone, and only then expanded to the period rows with
     ``inline`` -- the join moves one row per entity instead of one per cell and
     there is no cross join.  ``periods`` is the small fixed dimension
-    ``[(id, name), ...]`` (12 months by default).  The result is a table (the
+    ``[(id, name), ...]`` (12 months by default) or a two-column DataFrame such
+    as the ``months`` table (read to the driver only if it has at most
+    ``MAX_PERIODS`` rows).  The result is a table (the
     reference stores it and reads it back without ORDER BY), so it is not
     globally sorted; ``sort=True`` adds the (entity, period) order."""
-    periods = list(periods or month_periods())
+    periods = _period_list(periods)
     t = F.col(ts)
     if zone_col:
         t = to_zone(t, F.col(zone_col), target_zone)
@@ -62,6 +64,20 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
     return out.select(key, period_name, count_name, total_name)
 
 
+MAX_PERIODS = 1000      # a period spine is a small dimension (months, days)
+
+
+def _period_list(periods) -> list[tuple[int, str]]:
+    if periods is None:
+        return month_periods()
+    if isinstance(periods, DataFrame):
+        head = periods.limit(MAX_PERIODS + 1).collect()
+        if len(head) > MAX_PERIODS:
+            raise ValueError(f"period spine has more than {MAX_PERIODS} rows")
+        return sorted((int(r[0]), str(r[1])) for r in head)
+    return list(periods)
+
+
 def _q(text: str) -> str:
     """SQL string literal."""
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -87,7 +103,7 @@ def pivot_calendar(timeline: DataFrame, periods=None, key: str = "CustomerID",
     the entity: ``pivot()`` with two measures first groups by (entity, month),
     which costs an extra shuffle.  ``method="pivot"`` uses ``pivot()`` itself
     (same result)."""
-    names = [n for _, n in (periods or month_periods())]
+    names = [n for _, n in _period_list(periods)]
     if method == "pivot":
         pv = (timeline.groupBy(key).pivot(period_name, names)
               .agg(F.sum(F.col(count_col).cast("int")).alias("Repayments"),
@@ -114,7 +130,7 @@ def conditional_pivot(timeline: DataFrame, periods=None, key: str = "CustomerID"
                       total_col: str = "AmountTotal") -> DataFrame:
     """The pivot written as conditional aggregation, with the column names the
     task text asks for: ``JanuaryRepayments`` (INT), ``JanuaryTotal`` (DOUBLE)."""
-    names = [n for _, n in (periods or month_periods())]
+    names = [n for _, n in _period_list(periods)]
     p, c, t = _ident(period_name), _ident(count_col), _ident(total_col)
     aggs = []
     for n in names:

@@ -84,3 +84,11 @@ def test_pivot_methods_agree(spark):
     a = cal.pivot_calendar(tl)
     b = cal.pivot_calendar(tl, method="pivot")
     assert a.schema == b.schema and rows(a) == rows(b)
+
+
+def test_months_table_as_spine(spark):
+    from ledgerline.functions.time import month_periods
+    months = spark.createDataFrame(month_periods(), "MonthID int, MonthName string")
+    ents = spark.createDataFrame([(1,)], "CustomerID int")
+    facts = _facts(spark, [(1, dt.datetime(2024, 3, 1, 9), 5, "UTC")])
+    assert sorted(rows(cal.dense_calendar(ents, facts, months))) == sorted(rows(cal.dense_calendar(ents, facts)))
