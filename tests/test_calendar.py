@@ -15,7 +15,7 @@ def test_hours_inclusive_and_null_amount_counted(spark):
     facts = _facts(spark, [(1, d(2024, 3, 1, 5, 59), 1, "UTC"), (1, d(2024, 3, 1, 6, 0), 2, "UTC"),
                            (1, d(2024, 3, 1, 18, 59), 3, "UTC"), (1, d(2024, 3, 1, 19, 0), 4, "UTC"),
                            (1, d(2024, 3, 2, 12, 0), None, "UTC")])
-    out = rows(cal.dense_calendar(ents, facts))
+    out = rows(cal.dense_calendar(ents, facts, sort=True))
     assert len(out) == 12
     assert out[2] == (1, "March", 3, 5.0)
     assert all(r[2] == 0 and r[3] == 0.0 for i, r in enumerate(out) if i != 2)
@@ -25,7 +25,7 @@ def test_months_merge_across_years_and_duplicate_entities_repeat(spark):
     ents = spark.createDataFrame([(1,), (1,), (2,)], "CustomerID int")
     d = dt.datetime
     facts = _facts(spark, [(1, d(2023, 5, 1, 9), 10, "UTC"), (1, d(2024, 5, 1, 9), 5, "UTC")])
-    out = rows(cal.dense_calendar(ents, facts))
+    out = rows(cal.dense_calendar(ents, facts, sort=True))
     assert len(out) == 36
     may = [r for r in out if r[1] == "May"]
     assert may == [(1, "May", 2, 15.0), (1, "May", 2, 15.0), (2, "May", 0, 0.0)]
@@ -35,8 +35,8 @@ def test_zone_shift_moves_hour(spark):
     ents = spark.createDataFrame([(1,)], "CustomerID int")
     facts = _facts(spark, [(1, dt.datetime(2024, 7, 1, 7, 30), 5, "America/New_York"),
                            (1, dt.datetime(2024, 7, 1, 2, 30), 7, "America/New_York")])
-    plain = rows(cal.dense_calendar(ents, facts))
-    london = rows(cal.dense_calendar(ents, facts, zone_col="TimeZone"))
+    plain = rows(cal.dense_calendar(ents, facts, sort=True))
+    london = rows(cal.dense_calendar(ents, facts, zone_col="TimeZone", sort=True))
     assert plain[6] == (1, "July", 1, 5.0)      # 02:30 is outside 6..18 in its own zone
     assert london[6] == (1, "July", 2, 12.0)    # 12:30 and 07:30 in London
 
@@ -70,7 +70,7 @@ def test_null_keys_never_match_but_entities_keep_their_rows(spark):
     ents = spark.createDataFrame([(None,), (1,)], "CustomerID int")
     facts = _facts(spark, [(None, dt.datetime(2024, 1, 1, 9), 5, "UTC"),
                            (1, dt.datetime(2024, 1, 1, 9), 7, "UTC")])
-    out = rows(cal.dense_calendar(ents, facts))
+    out = rows(cal.dense_calendar(ents, facts, sort=True))
     assert len(out) == 24
     jan = sorted([r for r in out if r[1] == "January"], key=repr)
     assert jan == [(1, "January", 1, 7.0), (None, "January", 0, 0.0)]
