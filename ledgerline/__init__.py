@@ -10,6 +10,6 @@ collected to the driver.  Sub-packages:
 * ``streaming`` – intentionally empty (the reference has no streams)
 """
 
-from ledgerline.session import ensure_checkpoint_dir, get_session
+from ledgerline.session import cluster_conf, ensure_checkpoint_dir, freeze, get_session
 
-__all__ = ["get_session", "ensure_checkpoint_dir"]
+__all__ = ["get_session", "ensure_checkpoint_dir", "cluster_conf", "freeze"]
