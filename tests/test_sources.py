@@ -120,3 +120,15 @@ def test_declared_source_schemas_match_files(spark):
     for name in SOURCE_SCHEMAS:
         inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
         assert roles.table(spark, SF_SMALL, name).schema == inferred, name
+
+
+def test_sql_over_views_equals_operator(spark):
+    from ledgerline.operators import summaries as sm
+    roles.register_views(spark, SF_SMALL, prefix="v_")
+    via_sql = spark.sql("""
+        SELECT k.CustomerClass, avg(try_cast(trim(cast(c.Income AS STRING)) AS DOUBLE)) AS AverageIncome
+        FROM v_credit k JOIN v_customers c ON c.CustomerID = k.CustomerID
+        WHERE try_cast(trim(cast(c.Income AS STRING)) AS DOUBLE) IS NOT NULL
+        GROUP BY k.CustomerClass""")
+    via_op = sm.joined_group_mean(roles.credit(spark, SF_SMALL), roles.customers(spark, SF_SMALL))
+    assert sorted(rows(via_sql)) == sorted(rows(via_op))
