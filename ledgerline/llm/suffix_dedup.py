@@ -38,6 +38,8 @@ from ledgerline.session import freeze
 THRESHOLD, ANCHOR = 50, 24
 #: Bytes of text in a chunk (a longer document is a chunk of its own) and for each bucket.
 CHUNK_BYTES, BUCKET_BYTES = 4 * 1024 * 1024, 12 * 1024 * 1024
+#: Windows that a bucket sorts at once.
+PART_WINDOWS = 1_000_000
 NO_ID = np.iinfo(np.int64).max  # rows without an id come last
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -109,14 +111,13 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def equal_groups(data: bytes, at: np.ndarray, depth: int, group: np.ndarray) -> np.ndarray:
-    """For each position of ``at`` the index of one among those with the same ``group``
-    and the same ``depth`` bytes: digit by digit, without the groups of one."""
+def equal_groups(eight: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """For each position of ``at`` the index of one among those with the same ``depth``
+    bytes: digit by digit (``eight``: the digit at each position), without the groups of one."""
     out = np.arange(len(at))
     if len(at) < 2:
         return out
-    eight = eight_bytes(data)
-    active = out.copy()
+    active, group = out, np.zeros(len(at), np.int32)
     for off in [*range(0, depth - 8, 8), depth - 8]:
         digit = eight[at[active] + off]
         order = np.lexsort((digit, group))
@@ -124,7 +125,7 @@ def equal_groups(data: bytes, at: np.ndarray, depth: int, group: np.ndarray) ->
         new = np.concatenate([[True], (g[1:] != g[:-1]) | (d[1:] != d[:-1])])
         number = np.cumsum(new) - 1
         keep = np.bincount(number)[number] > 1
-        active, group = active[order][keep], number[keep]
+        active, group = active[order[keep]], number[keep].astype(np.int32)
         if not len(active):
             return out
     begins = np.concatenate([[True], group[1:] != group[:-1]])
@@ -255,10 +256,12 @@ class Stretches:
         self.of_run = number
         if not len(number):
             self.bucket = self.low = self.high = np.zeros(0, np.int64)
+            self.part = np.zeros(0, np.uint8)
             return
         order = np.argsort(number, kind="stable")
         starts, self.low, self.high = _extremes(order, number, chunk.ids[found.doc[self.runs]])
-        self.bucket = bucket_of(found.hash[self.runs][order][starts], buckets)
+        hashes = found.hash[self.runs][order][starts]
+        self.bucket, self.part = bucket_of(hashes, buckets), hashes.astype(np.uint8)
 
     def by_bucket(self):
         """(bucket, numbers of its stretches)."""
@@ -267,52 +270,73 @@ class Stretches:
             yield b, order[s:e]
 
 
-def windows_in_bucket(table: pa.Table, threshold: int) -> pa.Table:
-    """Per chunk, the windows whose least id is below the largest id that has them there:
-    (stretch, first and last window, least id)."""
-    codec = pa.Codec("zstd")
-    sizes = [np.frombuffer(x, "<u2").astype(np.int64) for x in table["sizes"].to_pylist()]
-    data = b"".join(codec.decompress(x, int(s.sum())).to_pybytes() for x, s in zip(table["texts"].to_pylist(), sizes))
-    low, high = (np.concatenate([np.frombuffer(x, "<i8") for x in table[c].to_pylist()]) for c in ("low", "high"))
-    owner = np.repeat(np.arange(len(sizes)), [len(s) for s in sizes])
-    local = np.concatenate([np.arange(len(s)) for s in sizes])
-    size = np.concatenate(sizes)
-    at = np.concatenate([[0], np.cumsum(size)])[:-1]
+def windows_of(texts: list[bytes], low: np.ndarray, high: np.ndarray, threshold: int) -> tuple[np.ndarray, ...]:
+    """(stretch, first and last window, least id) of the windows of some stretches whose least
+    id is below the stretch's largest."""
+    size = np.array([len(t) for t in texts], np.int64)
+    at = np.cumsum(size) - size
+    eight = eight_bytes(b"".join(texts))
     # whole stretches first: equal ones are one from here on
     same = np.arange(len(size))
     for n in np.unique(size):
         of = np.flatnonzero(size == n)
-        same[of] = of[equal_groups(data, at[of], int(n), np.zeros(len(of), np.int64))]
+        same[of] = of[equal_groups(eight, at[of], int(n))]
     least = np.full(len(size), NO_ID)
     np.minimum.at(least, same, low)
     distinct = np.flatnonzero(same == np.arange(len(size)))
     # their windows
     count = size[distinct] - threshold + 1
-    begin = np.concatenate([[0], np.cumsum(count)])
+    begin = np.cumsum(count) - count
     of_window = np.repeat(np.arange(len(distinct)), count)
-    place = np.arange(begin[-1]) - begin[of_window]
-    groups = equal_groups(data, at[distinct][of_window] + place, threshold, np.zeros(len(place), np.int64))
+    place = np.arange(len(of_window)) - begin[of_window]
+    groups = equal_groups(eight, at[distinct][of_window] + place, threshold)
     lowest = least_by_group(groups, least[distinct][of_window])
+    del eight, groups, place, of_window
     # the answer to each stretch, in runs of windows with one least id
     slot = np.zeros(len(size), np.int64)
     slot[distinct] = np.arange(len(distinct))
-    mine = slot[same]
     n = size - threshold + 1
-    start = np.concatenate([[0], np.cumsum(n)])
     rec = np.repeat(np.arange(len(size)), n)
-    offset = np.arange(start[-1]) - start[rec]
-    value = lowest[begin[mine][rec] + offset]
+    offset = np.arange(len(rec)) - (np.cumsum(n) - n)[rec]
+    value = lowest[begin[slot[same]][rec] + offset]
     need = value < high[rec]
     edge = np.concatenate([[True], (rec[1:] != rec[:-1]) | (value[1:] != value[:-1]) | (need[1:] != need[:-1])])
     first = np.flatnonzero(edge)
     last = np.concatenate([first[1:], [len(rec)]]) - 1
     first, last = first[need[first]], last[need[first]]
+    return rec[first], offset[first], offset[last], value[first]
+
+
+def windows_in_bucket(table: pa.Table, threshold: int) -> pa.Table:
+    """The answer to each chunk's stretches.  Equal windows have equal anchors and so equal
+    ``part``: parts are gone through in turn, about ``PART_WINDOWS`` windows at once."""
+    codec = pa.Codec("zstd")
+    sizes = [np.frombuffer(x, "<u2").astype(np.int64) for x in table["sizes"].to_pylist()]
+    texts: list[bytes] = []
+    for x, s in zip(table["texts"].to_pylist(), sizes):
+        data, ends = codec.decompress(x, int(s.sum())).to_pybytes(), np.cumsum(s)
+        texts += [data[a:b] for a, b in zip((ends - s).tolist(), ends.tolist())]
+    low, high = (np.concatenate([np.frombuffer(x, "<i8") for x in table[c].to_pylist()]) for c in ("low", "high"))
+    part = np.concatenate([np.frombuffer(x, np.uint8) for x in table["parts"].to_pylist()]).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), [len(s) for s in sizes])
+    local = np.concatenate([np.arange(len(s)) for s in sizes])
+    windows = sum(int((s - threshold + 1).sum()) for s in sizes)
+    turns = min(256, -(-windows // PART_WINDOWS))
+    turn = part * turns >> 8
+    found = []
+    for i in range(turns):
+        of = np.flatnonzero(turn == i)
+        if len(of):
+            rec, first, last, least = windows_of([texts[j] for j in of.tolist()], low[of], high[of], threshold)
+            found.append((of[rec], first, last, least))
+    rec, first, last, least = (np.concatenate(c) for c in zip(*found))
+    order = np.argsort(owner[rec], kind="stable")
+    rec, first, last, least = rec[order], first[order], last[order], least[order]
     out: dict = {"chunk": [], "bucket": [], "answer": []}
     chunks, bucket = table["chunk"].to_pylist(), table["bucket"][0].as_py()
-    for o, s, e in _by_bucket(owner[rec[first]]):
-        f, z = first[s:e], last[s:e]
+    for o, s, e in _by_bucket(owner[rec]):
         answer = np.empty(e - s, ANSWER)
-        answer["stretch"], answer["first"], answer["last"], answer["least"] = local[rec[f]], offset[f], offset[z], value[f]
+        answer["stretch"], answer["first"], answer["last"], answer["least"] = local[rec[s:e]], first[s:e], last[s:e], least[s:e]
         out["chunk"].append(chunks[o])
         out["bucket"].append(bucket)
         out["answer"].append(answer.tobytes())
@@ -385,12 +409,13 @@ def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_byte
                 for k, members in s.by_bucket():
                     texts = [s.texts[i] for i in members.tolist()]
                     out.append((k, chunk, np.array([len(t) for t in texts], "<u2").tobytes(), codec.compress(b"".join(texts), asbytes=True),
-                                s.low[members].astype("<i8").tobytes(), s.high[members].astype("<i8").tobytes()))
+                                s.low[members].astype("<i8").tobytes(), s.high[members].astype("<i8").tobytes(),
+                                s.part[members].tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int64(), *[pa.binary()] * 4))],
-                    ["bucket", "chunk", "sizes", "texts", "low", "high"])
+                    [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int64(), *[pa.binary()] * 5))],
+                    ["bucket", "chunk", "sizes", "texts", "low", "high", "parts"])
     answers = freeze(chunks.select("chunk", "rows").join(by_chunk, "chunk")
-                     .mapInArrow(send_stretches, "bucket int, chunk bigint, sizes binary, texts binary, low binary, high binary")
+                     .mapInArrow(send_stretches, "bucket int, chunk bigint, sizes binary, texts binary, low binary, high binary, parts binary")
                      .groupBy("bucket").applyInArrow(lambda t: windows_in_bucket(t, threshold), "chunk bigint, bucket int, answer binary"),
                      "answers")
     to_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
