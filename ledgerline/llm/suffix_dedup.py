@@ -39,7 +39,9 @@ THRESHOLD, ANCHOR = 50, 24
 #: Bytes of text in a chunk (a longer document is a chunk of its own) and for each bucket.
 CHUNK_BYTES, BUCKET_BYTES = 4 * 1024 * 1024, 12 * 1024 * 1024
 #: Windows that a bucket sorts at once.
-PART_WINDOWS = 1_000_000
+PART_WINDOWS = 500_000
+#: Bytes of text whose anchors are looked for at once.
+BLOCK_BYTES = 512 * 1024
 NO_ID = np.iinfo(np.int64).max  # rows without an id come last
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 LOW32 = np.uint64(0xFFFFFFFF)
@@ -59,53 +61,58 @@ class Anchored:
     """The stretches of consecutive windows with one anchor in some documents.
 
     ``first``, ``last``: a stretch's first and last window start; ``hash``: its anchor's
-    hash; ``doc``: number of its document."""
+    hash; ``doc``: number of its document.  Documents are gone through in blocks of about
+    ``BLOCK_BYTES``, which bounds the working memory."""
 
     def __init__(self, texts: list[bytes], threshold: int = THRESHOLD, anchor: int = ANCHOR):
         self.data = b"".join(texts)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        n, w = len(self.data), threshold - anchor + 1
-        self.first = self.last = self.doc = np.zeros(0, np.int64)
-        self.hash = np.zeros(0, np.uint64)
-        if n < threshold:
-            return
-        eight = eight_bytes(self.data)
-        h = np.zeros(n - anchor + 1, np.uint64)
+        self.starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
         at = 0
-        while at < anchor:  # digits of 8 bytes; the last may overlap its neighbour
-            d = min(at, anchor - 8)
-            h = (h ^ (h >> np.uint64(31))) * MIX[at // 8 % 4] + eight[d:d + len(h)] * MIX[(at // 8 + 1) % 4]
-            at += 8
-        del eight
-        h ^= h >> np.uint64(32)
-        h *= MIX[3]
-        h ^= h >> np.uint64(29)
-        least = (h & ~LOW32) | np.arange(len(h), dtype=np.uint64)
-        span = 1
-        while span * 2 <= w:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if span < w:
-            least = np.minimum(least[:span - w], least[w - span:])
-        place = (least & LOW32).astype(np.int64)  # the anchor of each window
-        valid = np.ones(n - threshold + 1, bool)
-        change = np.zeros(len(valid) + 1, np.int32)
-        ends = self.starts[1:]
-        lo, hi = np.maximum(ends - threshold + 1, self.starts[:-1]), np.minimum(ends, len(valid))
-        some = lo < hi
-        np.add.at(change, lo[some], 1)
-        np.add.at(change, hi[some], -1)
-        valid = np.cumsum(change[:-1]) == 0
-        begins = valid.copy()
-        begins[1:] &= ~valid[:-1] | (place[1:] != place[:-1])
-        closes = valid.copy()
-        closes[:-1] &= ~valid[1:] | (place[1:] != place[:-1])
-        self.first, self.last = np.flatnonzero(begins), np.flatnonzero(closes)
-        self.hash = h[place[self.first]]
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(self.starts, self.starts[at] + BLOCK_BYTES, "right")) - 1)
+            low, high = int(self.starts[at]), int(self.starts[end])
+            if high - low >= threshold:
+                first, last, h = stretches(self.data[low:high], self.starts[at:end + 1] - low, threshold, anchor)
+                found.append((first + low, last + low, h))
+            at = end
+        self.first, self.last, self.hash = (np.concatenate(c) for c in zip(*found))
         self.doc = np.searchsorted(self.starts, self.first, "right") - 1
 
 
+def stretches(data: bytes, starts: np.ndarray, threshold: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, last window, hash of the anchor) of each stretch of a block of
+    documents, of which ``starts`` holds the starts and the last one's end."""
+    n, w = len(data), threshold - anchor + 1
+    eight = eight_bytes(data)
+    h = np.zeros(n - anchor + 1, np.uint64)
+    for i, at in enumerate(range(0, anchor, 8)):  # digits of 8 bytes; the last may overlap its neighbour
+        d = min(at, anchor - 8)
+        h ^= h >> np.uint64(31)
+        h *= MIX[i % 4]
+        h += eight[d:d + len(h)] * MIX[(i + 1) % 4]
+    h ^= h >> np.uint64(32)
+    h *= MIX[3]
+    h ^= h >> np.uint64(29)
+    least = (h & ~LOW32) | np.arange(len(h), dtype=np.uint64)
+    span = 1
+    while span * 2 <= w:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < w:
+        least = np.minimum(least[:span - w], least[w - span:])
+    place = (least & LOW32).astype(np.int64)  # the anchor of each window
+    valid = np.ones(n - threshold + 1, bool)
+    for e in starts[1:].tolist():  # windows that would cross the end of a document
+        valid[max(0, e - threshold + 1):e] = False
+    begins = valid.copy()
+    begins[1:] &= ~valid[:-1] | (place[1:] != place[:-1])
+    closes = valid.copy()
+    closes[:-1] &= ~valid[1:] | (place[1:] != place[:-1])
+    first = np.flatnonzero(begins)
+    return first, np.flatnonzero(closes), h[place[first]]
+
+
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket by the upper half of the hash; it rises with the hash."""
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -173,6 +180,12 @@ def make_chunks(df: DataFrame, text_col: str, chunk_bytes: int) -> DataFrame:
     return df.mapInArrow(task, "chunk bigint, size bigint, rows binary")
 
 
+def one_by_one(b: pa.RecordBatch):
+    """The rows of a batch, turned into Python values one at a time."""
+    for i in range(b.num_rows):
+        yield [c[i].as_py() for c in b.columns]
+
+
 class Chunk:
     def __init__(self, rows: bytes, id_at: int, text_at: int, threshold: int, anchor: int):
         self.batch = _unpack(rows)
@@ -384,7 +397,7 @@ def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_byte
 
     def send_hashes(batches):
         for b in batches:
-            for chunk, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for chunk, rows in one_by_one(b):
                 hashes, many = anchor_hashes(opened(rows))
                 out = [(k, chunk, _low40(hashes[s:e]), np.packbits(many[s:e]).tobytes())
                        for k, s, e in _by_bucket(bucket_of(hashes, buckets))]
@@ -403,7 +416,7 @@ def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_byte
     def send_stretches(batches):
         codec = pa.Codec("zstd")
         for b in batches:
-            for chunk, rows, entries in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for chunk, rows, entries in one_by_one(b):
                 s = Stretches(opened(rows), as_dict(entries, "mask"), buckets, threshold)
                 out = []
                 for k, members in s.by_bucket():
@@ -422,7 +435,7 @@ def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_byte
 
     def remove(batches):
         for b in batches:
-            for rows, entries, said in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for rows, entries, said in one_by_one(b):
                 chunk = opened(rows)
                 gone = (covered(chunk, Stretches(chunk, as_dict(entries, "mask"), buckets, threshold), as_dict(said, "answer"), threshold)
                         if said else np.zeros(len(chunk.found.data), bool))
