@@ -110,7 +110,13 @@ def stretches(data: bytes, starts: np.ndarray, threshold: int, anchor: int) -> t
     closes = valid.copy()
     closes[:-1] &= ~valid[1:] | (place[1:] != place[:-1])
     first = np.flatnonzero(begins)
-    return first, np.flatnonzero(closes), h[place[first]]
+    chosen = h[place[first]]
+    # least hashes are small ones; mixed again (one to one) they fill all buckets alike
+    chosen *= MIX[1]
+    chosen ^= chosen >> np.uint64(32)
+    chosen *= MIX[2]
+    chosen ^= chosen >> np.uint64(32)
+    return first, np.flatnonzero(closes), chosen
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
