@@ -33,11 +33,10 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
     ``inline`` -- the join moves one row per entity instead of one per cell and
     there is no cross join.  ``periods`` is the small fixed dimension
     ``[(id, name), ...]`` (12 months by default) or a two-column DataFrame such
-    as the ``months`` table (read to the driver only if it has at most
-    ``MAX_PERIODS`` rows).  The result is a table (the
+    as the ``months`` table; a table of any length is joined as (entity, period)
+    cells, without a column per period.  The result is a table (the
     reference stores it and reads it back without ORDER BY), so it is not
     globally sorted; ``sort=True`` adds the (entity, period) order."""
-    periods = _period_list(periods)
     t = F.col(ts)
     if zone_col:
         t = to_zone(t, F.col(zone_col), target_zone)
@@ -45,6 +44,9 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
                            try_double(amount).alias("_a"), F.hour(t).alias("_h"))
     if hours is not None:
         cleaned = cleaned.filter(F.col("_h").between(hours[0], hours[1]))
+    if isinstance(periods, DataFrame):
+        return _calendar_by_cell(entities, cleaned, periods, key, period_name, count_name, total_name, sort)
+    periods = _period_list(periods)
     # The per-period aggregates and the cell array are generated; each is one
     # SQL expression (one JVM call) rather than a tree of Column objects.
     aggs = []
@@ -64,17 +66,28 @@ def dense_calendar(entities: DataFrame, facts: DataFrame, periods=None, *,
     return out.select(key, period_name, count_name, total_name)
 
 
-MAX_PERIODS = 1000      # a period spine is a small dimension (months, days)
+def _calendar_by_cell(entities, cleaned, periods, key, period_name, count_name, total_name, sort) -> DataFrame:
+    """The calendar over a period table: facts are reduced to one row per (entity,
+    period); the period table rides along as one array, expanded per entity."""
+    pid, name = (F.col(c) for c in periods.columns[:2])
+    spine = periods.agg(F.sort_array(F.collect_list(F.struct(
+        pid.cast("int").alias("_pid"), name.cast("string").alias(period_name)))).alias("_all")).scalar()
+    cells = cleaned.groupBy(F.col("_k").alias("_ck"), "_p").agg(F.count(F.lit(1)).alias("_n"), F.sum("_a").alias("_s"))
+    slots = entities.select(F.col(key), F.explode(spine).alias("_e")).select(key, "_e.*")
+    out = slots.join(cells, (F.col(key) == F.col("_ck")) & (F.col("_pid") == F.col("_p")), "left").select(
+        key, "_pid", period_name, F.coalesce("_n", F.lit(0).cast("bigint")).alias(count_name),
+        F.coalesce("_s", F.lit(0.0)).alias(total_name))
+    if sort:
+        out = out.orderBy(asc(key), asc("_pid"))
+    return out.select(key, period_name, count_name, total_name)
 
 
 def _period_list(periods) -> list[tuple[int, str]]:
+    """(id, name) of each period; each becomes columns of the result."""
     if periods is None:
         return month_periods()
     if isinstance(periods, DataFrame):
-        head = periods.limit(MAX_PERIODS + 1).collect()
-        if len(head) > MAX_PERIODS:
-            raise ValueError(f"period spine has more than {MAX_PERIODS} rows")
-        return sorted((int(r[0]), str(r[1])) for r in head)
+        return sorted((int(r[0]), str(r[1])) for r in periods.collect())
     return list(periods)
 
 
@@ -107,7 +120,7 @@ def pivot_calendar(timeline: DataFrame, periods=None, key: str = "CustomerID",
     if method == "pivot":
         pv = (timeline.groupBy(key).pivot(period_name, names)
               .agg(F.sum(F.col(count_col).cast("int")).alias("Repayments"),
-                   F.sum(F.rint(F.col(total_col)).cast("int")).alias("Total")))
+                   F.sum(F.rint(F.col(total_col)).cast("bigint")).alias("Total")))
         cols = [F.col(key)]
         for n in names:
             cols += [F.col(f"{n}_Repayments").cast("int").alias(f"{n}_Repayments"),
@@ -120,7 +133,7 @@ def pivot_calendar(timeline: DataFrame, periods=None, key: str = "CustomerID",
     for n in names:
         aggs += [F.expr(f"CAST(sum(CASE WHEN {p} = {_q(n)} THEN CAST({c} AS INT) END) AS INT)"
                         f" AS {_ident(n + '_Repayments')}"),
-                 F.expr(f"CAST(sum(CASE WHEN {p} = {_q(n)} THEN CAST(rint({t}) AS INT) END)"
+                 F.expr(f"CAST(sum(CASE WHEN {p} = {_q(n)} THEN CAST(rint({t}) AS BIGINT) END)"
                         f" AS BIGINT) AS {_ident(n + '_Total')}")]
     return timeline.groupBy(key).agg(*aggs).orderBy(asc(key))
 

@@ -13,10 +13,7 @@ reads only the distinct right keys (a partial/final aggregate collapses a hot
 key to one row before the shuffle).  Rows with a NULL key find no partner and
 come out once, NULL-padded, exactly as in a LEFT join.
 
-The split form reads the left input twice, so ``method="auto"`` (default)
-first measures the largest right-side key group (a narrow aggregate over the
-key columns) and keeps the plain LEFT join unless one key holds more than
-``spark.ledgerline.join.maxKeyRows`` rows (default 2,000,000).
+The split form is the only default: it holds at every size and needs no probe of the data.
 """
 
 from __future__ import annotations
@@ -25,23 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_KEY_ROWS_CONF = "spark.ledgerline.join.maxKeyRows"
-DEFAULT_MAX_KEY_ROWS = 2_000_000
-
-
 def left_join(left: DataFrame, right: DataFrame, on: list[str] | str,
-              method: str = "auto") -> DataFrame:
-    """``left LEFT JOIN right USING (on)``; ``method`` is ``"plain"``,
-    ``"split"`` (inner + anti, skew-splittable) or ``"auto"``.
+              method: str = "split") -> DataFrame:
+    """``left LEFT JOIN right USING (on)``; ``method`` is ``"split"``
+    (inner + anti, skew-splittable) or ``"plain"``.
 
     Output columns: the ``on`` columns, then left's other columns, then
     right's other columns (the order of ``DataFrame.join(..., "left")``)."""
     on = [on] if isinstance(on, str) else list(on)
-    if method == "auto":
-        from ledgerline.operators.positions import largest_group
-        conf = left.sparkSession.conf.get(MAX_KEY_ROWS_CONF, None)
-        limit = int(conf) if conf else DEFAULT_MAX_KEY_ROWS
-        method = "plain" if largest_group(right.select(*on), on) <= limit else "split"
     if method == "plain":
         return left.join(right, on, "left")
     if method != "split":

@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ledgerline.functions.casts import clip, half_even
-from ledgerline.operators.positions import exact_median, largest_group
+from ledgerline.operators.positions import exact_median
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
-MAX_FOLD_MONTHS = 2_400          # longest history folded as one array (auto method);
-                                 # the fold appends per month, so its cost grows
-                                 # with the square of the history length
+FOLD_BLOCK = 64                  # months that the fold gathers before it sets them aside
+CLOSED_FORM_GROWTH = 1e6         # largest (1 + r)^t that the closed form accepts
 RECOVERY_RATE = 0.80             # fixed value: expected-loss recovery
 
 
@@ -44,33 +43,29 @@ def _step_fields(merged: DataFrame, key: str) -> list[str]:
 
 
 def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY_RATE,
-                  key: str = "LoanID", method: str = "auto") -> DataFrame:
+                  key: str = "LoanID", method: str = "fold") -> DataFrame:
     """Month-by-month balances of every loan that has actual repayments.
 
-    With B0 = LoanAmount, each month in ``Month`` order: interest = B*r,
+    With B0 = LoanAmount, each month in ``Month`` order (NULLs last): interest = B*r,
     end = max(0, B + interest - paid), start = previous end.  A missing
     payment makes the end balance 0 (``max(0, NaN)`` in the pandas model).
     Start, end and interest are rounded to cents half-to-even *after* the
     whole roll-forward (interest accrues on the unrounded balance).  Ties on
     ``Month`` are broken by the paid amount.
 
-    ``method="fold"``: ``collect_list`` of the loan's months, sorted, folded
-    with ``aggregate`` -- the same floating-point steps as a sequential loop.
+    ``method="fold"`` (default, at every history length): ``collect_list`` of the
+    loan's months, sorted, folded with ``aggregate`` -- the same floating-point
+    steps as a sequential loop.  Rows are gathered in blocks of ``FOLD_BLOCK``,
+    so a long history is not copied once a month.
     ``method="closed_form"``: running sums and minima over a window
-    (Lindley's reflection formula), agrees to ~1e-10; the window streams a
-    loan's rows and spills, so no array of the loan is built.
-    ``method="auto"`` (default): measure the longest history (one aggregate
-    over the key column) and fold while it is at most ``MAX_FOLD_MONTHS``
-    rows -- always, for loans with a term -- else use the closed form.  The
-    closed form scales by (1 + r)^t, finite for t up to about 85 000 months at
-    10 % a year; longer single histories have no meaningful double result in
-    either form.
+    (Lindley's reflection formula), a check of the fold on short, complete
+    histories.  It has another answer for a missing payment and loses digits as
+    (1 + r)^t grows, so it raises on NULL or NaN payments and where (1 + r)^t
+    exceeds ``CLOSED_FORM_GROWTH``.
     Output: key, Month, ActualRepayment, the other input columns
     (LoanAmount, ScheduledRepayment, ...), LoanBalanceStart, LoanBalanceEnd,
     InterestPayment."""
     merged = natural_join(actual, scheduled)
-    if method == "auto":
-        method = "fold" if largest_group(actual, [key]) <= MAX_FOLD_MONTHS else "closed_form"
     if method == "fold":
         rows = _fold(merged, rate, key)
     elif method == "closed_form":
@@ -84,29 +79,46 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
         half_even(F.col("_int"), 2).alias("InterestPayment"))
 
 
+def _bind(value, body):
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _fold(merged: DataFrame, rate: float, key: str) -> DataFrame:
     types = {f.name: f.dataType for f in merged.schema.fields}
     fields = _step_fields(merged, key)
-    out_type = StructType(
+    out_type = ArrayType(StructType(
         [StructField(n, types[n]) for n in fields]
-        + [StructField(n, DoubleType()) for n in ("_start", "_end", "_int")])
+        + [StructField(n, DoubleType()) for n in ("_start", "_end", "_int")]))
     r = F.lit(rate)
 
+    def grow(acc, x, end, interest):
+        row = F.array(F.struct(*[x[n].alias(n) for n in fields], acc["b"].alias("_start"),
+                               end.alias("_end"), interest.alias("_int")))
+        full = F.size(acc["block"]) >= FOLD_BLOCK
+        return F.struct(
+            end.alias("b"),
+            F.when(full, row).otherwise(F.concat(acc["block"], row)).alias("block"),
+            F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"))
+
     def step(acc, x):
-        first = F.size(acc["out"]) == 0
-        start = F.when(first, x["LoanAmount"].cast("double")).otherwise(acc["b"])
-        interest = start * r
-        new = (start + interest) - x["ActualRepayment"]
-        end = F.when((new > 0) & ~F.isnan(new), new).otherwise(F.lit(0.0))
-        row = F.struct(*[x[n].alias(n) for n in fields],
-                       start.alias("_start"), end.alias("_end"), interest.alias("_int"))
-        return F.struct(end.alias("b"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    init = F.struct(F.lit(None).cast("double").alias("b"),
-                    F.array().cast(ArrayType(out_type)).alias("out"))
-    per_loan = merged.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct(*[F.col(n) for n in fields]))).alias("_xs"))
-    folded = per_loan.select(key, F.aggregate("_xs", init, step)["out"].alias("_out"))
+        def paid(interest):
+            new = (acc["b"] + interest) - x["ActualRepayment"]
+            return _bind(new, lambda n: _bind(F.when((n > 0) & ~F.isnan(n), n).otherwise(F.lit(0.0)),
+                                              lambda end: grow(acc, x, end, interest)))
+        return _bind(acc["b"] * r, paid)
+
+    # NULLs last: each sort key is led by whether it is missing
+    sort_key = [f(F.col(c)) for c in _ORDER_FIELDS for f in (lambda c: c.isNull(), lambda c: c)]
+    entry = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(sort_key)],
+                     F.struct(*[F.col(n) for n in fields]).alias("x"))
+    per_loan = merged.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_s")).select(
+        key, F.transform("_s", lambda e: e["x"]).alias("_xs"))
+    init = F.struct(F.col("_xs")[0]["LoanAmount"].cast("double").alias("b"),
+                    F.array().cast(out_type).alias("block"),
+                    F.array().cast(ArrayType(out_type)).alias("done"))
+    folded = per_loan.select(key, F.aggregate(
+        "_xs", init, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["block"])).alias("_out"))
     return folded.select(key, F.inline("_out"))
 
 
@@ -115,8 +127,12 @@ def _closed_form(merged: DataFrame, rate: float, key: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.col("Month").asc_nulls_last(),
                                         F.col("ActualRepayment").asc_nulls_last())
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = F.row_number().over(w)
-    df = merged.withColumn("_t", t)
+    missing = F.col("ActualRepayment").isNull() | F.isnan(F.col("ActualRepayment").cast("double"))
+    df = merged.withColumn("_t", F.row_number().over(w))
+    df = df.withColumn("_t", F.when(missing, F.raise_error("closed form: missing payment").cast("int"))
+                       .when(F.pow(F.lit(g), F.col("_t")) > CLOSED_FORM_GROWTH,
+                             F.raise_error("closed form: history too long").cast("int"))
+                       .otherwise(F.col("_t")))
     b0 = F.first("LoanAmount").over(w.rowsBetween(Window.unboundedPreceding,
                                                   Window.unboundedFollowing))
     df = df.withColumn("_b0", b0.cast("double"))
@@ -160,18 +176,24 @@ def type2_default_rate(scheduled: DataFrame, balances: DataFrame, key: str = "Lo
     return aligned.agg((F.avg(flag.cast("int")) * F.lit(100.0)).alias(name))
 
 
-def prepayment_cpr(balances: DataFrame, variant: str = "scheduled",
+def prepayment_cpr(balances: DataFrame, variant: str = "scheduled", scope: str = "loan_month",
                    name: str = "cpr_percent") -> DataFrame:
     """Annualised CPR in percent from the geometric-mean SMM over all
     loan-months with a positive start balance.
 
     SMM = max(0, principal paid - scheduled principal) / start balance;
     SMM_mean = (prod(1 + SMM))^(1/12) - 1; CPR = 1 - (1 - SMM_mean)^12; 0.0
-    when no month qualifies.  The product is taken as ``exp(sum(log1p))`` so it
-    cannot overflow part-way.  Variants of the exploratory drafts:
+    when no month qualifies.  With ``scope="loan_month"`` (the literal formula) the
+    product has a factor for every loan-month but the root stays the 12th, so the
+    answer depends on the portfolio's size and runs to minus infinity for a large
+    one.  ``scope="month"`` is the form for portfolios: a month's SMM is the total
+    excess over the total start balance of all loans, the mean is taken over the
+    portfolio's months, and the answer is finite at any size.  Variants of the exploratory drafts:
     ``"gross"`` subtracts the whole scheduled payment; ``"median"`` subtracts
     the global median scheduled principal (taken over all months) and clips
     SMM to [0, 1]."""
+    if scope not in ("loan_month", "month"):
+        raise ValueError(f"unknown scope {scope!r}")
     paid = F.col("LoanBalanceStart") - F.col("LoanBalanceEnd")
     rows = balances
     if variant == "scheduled":
@@ -185,6 +207,17 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled",
         excess = paid - F.col("_med")
     else:
         raise ValueError(f"unknown variant {variant!r}")
+    if scope == "month":
+        by_month = (rows.filter(F.col("LoanBalanceStart") > 0)
+                    .select("Month", excess.alias("_x"), F.col("LoanBalanceStart").alias("_b"))
+                    .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+                    .select("Month", clip("_x", lower=0).alias("_x"), "_b").groupBy("Month")
+                    .agg((F.sum("_x") / F.sum("_b")).alias("_smm")))
+        if variant == "median":
+            by_month = by_month.select(clip("_smm", lower=0, upper=1).alias("_smm"))
+        mean = by_month.agg(F.expm1(F.avg(F.log1p("_smm"))).alias("_mean"))
+        yearly = (F.lit(1.0) - F.pow(F.lit(1.0) - F.col("_mean"), F.lit(12.0))) * F.lit(100.0)
+        return mean.select(F.coalesce(yearly, F.lit(0.0)).alias(name))
     # each step is its own column so clip() refers to it by name
     months = (rows.filter(F.col("LoanBalanceStart") > 0)
               .select(excess.alias("_x"), F.col("LoanBalanceStart").alias("_b"))

@@ -34,16 +34,8 @@ from ledgerline.session import freeze as freeze_layout
 _PID, _RID, _N, _FIRST, _OFF = "_lp_pid", "_lp_rid", "_lp_n", "_lp_first", "_lp_off"
 
 
-FREEZE_CONF = "spark.ledgerline.positions.freeze"
-
-
-def _freeze_default(df: DataFrame) -> bool:
-    return str(df.sparkSession.conf.get(FREEZE_CONF, "true")).lower() != "false"
-
-
 def ordered_position(df: DataFrame, group_cols: list[str], order: list,
-                     pos_col: str = "pos", size_col: str | None = None,
-                     freeze: bool | None = None) -> DataFrame:
+                     pos_col: str = "pos", size_col: str | None = None) -> DataFrame:
     """Add ``pos_col`` = 1-based position of the row in its group under
     ``order`` (NULLS LAST, like the reference engine; ``("c", False)`` is DESC)
     and optionally ``size_col`` = number of rows in the group.
@@ -51,22 +43,12 @@ def ordered_position(df: DataFrame, group_cols: list[str], order: list,
     NULL group values form one group, as in ``PARTITION BY``.  ``order`` should
     be a total order (add tie-breaker columns) for reproducible numbering;
     exact duplicate rows may be numbered either way round, which cannot be
-    observed.
-
-    ``freeze`` (default: ``spark.ledgerline.positions.freeze``, true) writes
-    the tagged layout before it is read twice.  Without it the numbering
-    relies on Spark reusing the one range exchange and on ``order`` being a
-    total order -- cheaper (no extra write), but a recomputed layout after a
-    lost shuffle file is only guaranteed identical under those conditions."""
+    observed."""
     group_cols = list(group_cols)
-    if freeze is None:
-        freeze = _freeze_default(df)
     keys = sort_spec(group_cols) + sort_spec(order)
-    tagged = (df.orderBy(*keys)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_RID, F.monotonically_increasing_id()))
-    if freeze:
-        tagged = freeze_layout(tagged, "positions")
+    tagged = freeze_layout(df.orderBy(*keys)
+                           .withColumn(_PID, F.spark_partition_id())
+                           .withColumn(_RID, F.monotonically_increasing_id()), "positions")
 
     stats = tagged.groupBy(_PID, *group_cols).agg(
         F.count(F.lit(1)).alias(_N), F.min(_RID).alias(_FIRST))
@@ -100,59 +82,25 @@ def window_position(df: DataFrame, group_cols: list[str], order: list,
     return out
 
 
-# Largest group a single window task may hold before the scan form is used.
-MAX_WINDOW_ROWS_CONF = "spark.ledgerline.window.maxGroupRows"
-DEFAULT_MAX_WINDOW_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the largest group (a partial/final aggregate over the group
-    columns only; one number reaches the driver)."""
-    if not group_cols:
-        return df.count()
-    top = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.max("_n")).first()[0])
-    return int(top or 0)
-
-
-def window_fits(df: DataFrame, group_cols: list[str]) -> bool:
-    """True when the largest group has at most
-    ``spark.ledgerline.window.maxGroupRows`` rows (default 2,000,000), i.e. one
-    window task per group is acceptable."""
-    conf = df.sparkSession.conf.get(MAX_WINDOW_ROWS_CONF, None)
-    limit = int(conf) if conf else DEFAULT_MAX_WINDOW_ROWS
-    return largest_group(df, group_cols) <= limit
+def position(df: DataFrame, group_cols: list[str], order: list, pos_col: str = "pos",
+             size_col: str | None = None, method: str = "scan") -> DataFrame:
+    """Row positions by ``"scan"`` (:func:`ordered_position`) or ``"window"``
+    (:func:`window_position`, for groups known to be small)."""
+    if method not in ("scan", "window"):
+        raise ValueError(f"unknown method {method!r}")
+    of = ordered_position if method == "scan" else window_position
+    return of(df, group_cols, order, pos_col, size_col)
 
 
-def position(df: DataFrame, group_cols: list[str], order: list, pos_col: str = "pos",
-             size_col: str | None = None, method: str = "auto") -> DataFrame:
-    """Row positions by ``method``: ``"window"``, ``"scan"``, or ``"auto"`` --
-    measure the largest group and use the window while :func:`window_fits`,
-    the range-partitioned scan otherwise."""
-    if method == "auto":
-        method = "window" if window_fits(df, group_cols) else "scan"
-    if method == "window":
-        return window_position(df, group_cols, order, pos_col, size_col)
-    if method == "scan":
-        return ordered_position(df, group_cols, order, pos_col, size_col)
-    raise ValueError(f"unknown method {method!r}")
-
-
-def cumulative_weight(df: DataFrame, order: list, weight: str, out: str = "_cum",
-                      method: str = "auto") -> DataFrame:
+def cumulative_weight(df: DataFrame, order: list, weight: str, out: str = "_cum") -> DataFrame:
     """Inclusive running sum of ``weight`` over the whole frame in ``order``
-    (a total order), without a single-task window once the frame is large.
+    (a total order), without a single-task window over the data.
 
-    ``scan``: range-sort, freeze (partition id, row index), take each
+    Range-sort, freeze (partition id, row index), take each
     partition's total weight, turn totals into offsets over a table of one row
     per partition, then add the running sum *inside* each range partition --
     a window partitioned by the partition id, i.e. balanced by construction."""
-    if method == "auto":
-        method = "window" if window_fits(df, []) else "scan"
     keys = sort_spec(order)
-    if method == "window":
-        w = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.sum(weight).over(w))
     tagged = freeze_layout(df.orderBy(*keys)
                            .withColumn(_PID, F.spark_partition_id())
                            .withColumn(_RID, F.monotonically_increasing_id()), "cumulative")
@@ -167,9 +115,10 @@ def cumulative_weight(df: DataFrame, order: list, weight: str, out: str = "_cum"
     return joined.select(*df.columns, (F.col(_OFF) + F.col("_lp_local")).alias(out))
 
 
-def exact_median(df: DataFrame, col: str, method: str = "auto") -> Column:
+def exact_median(df: DataFrame, col: str) -> Column:
     """Exact median of ``col`` (NULL and NaN skipped; mean of the two middle
-    values for an even count, as pandas) as a scalar-subquery ``Column``.
+    values for an even count, as pandas) as a ``Column``: a scalar subquery over
+    cumulative counts.
 
     Values are first collapsed to (value, count) by a partial/final aggregate,
     so repeated values -- one amount held by a third of the rows -- cost one
@@ -178,10 +127,9 @@ def exact_median(df: DataFrame, col: str, method: str = "auto") -> Column:
     cumulative counts."""
     v = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = freeze_layout(v.groupBy("_v").agg(F.count(F.lit(1)).alias("_w")), "median")
-    n = counts.agg(F.sum("_w")).scalar()
-    cum = cumulative_weight(counts, ["_v"], "_w", "_cum", method).withColumn("_n", n)
-    lo = F.floor((F.col("_n") + F.lit(1)) / F.lit(2))
-    hi = F.ceil((F.col("_n") + F.lit(1)) / F.lit(2))
+    n = counts.agg(F.sum("_w")).first()[0] or 0      # one number of a table already written
+    cum = cumulative_weight(counts, ["_v"], "_w", "_cum")
+    lo, hi = F.lit((n + 1) // 2), F.lit(n // 2 + 1)
     start = F.col("_cum") - F.col("_w")          # positions start+1 .. _cum hold this value
     hit_lo = (start < lo) & (lo <= F.col("_cum"))
     hit_hi = (start < hi) & (hi <= F.col("_cum"))

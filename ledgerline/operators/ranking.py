@@ -4,8 +4,8 @@ Gender and age category have a handful of values, so ``PARTITION BY`` them
 would put each group in one task.  ``method="scan"`` numbers rows with
 :func:`~ledgerline.operators.positions.ordered_position` (range-partitioned,
 spread over all tasks);
-``method="window"`` is the direct SQL shape; the default ``"auto"`` measures
-the largest group and picks the window only while it is small.
+that is the default at every size.  ``method="window"`` is the direct SQL shape, one task
+per group, for comparison.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from ledgerline.functions.casts import sql_int
 from ledgerline.functions.categories import age_category
 from ledgerline.functions.ordering import asc, sort_spec
-from ledgerline.operators.positions import position, window_fits
+from ledgerline.operators.positions import position
+from ledgerline.session import freeze
 from ledgerline.sources.sinks import replace_table
 
 
@@ -27,7 +28,7 @@ def _position(df, group_cols, order, method, pos_col, size_col=None):
 
 def cyclic_shift(df: DataFrame, group: str = "Gender", order=("CustomerID",),
                  col: str = "Age", k: int = 2, out: str = "CorrectedAge",
-                 keep=("CustomerID", "Age"), method: str = "auto") -> DataFrame:
+                 keep=("CustomerID", "Age"), method: str = "scan") -> DataFrame:
     """Each row takes ``col`` from the row ``k`` places later in its group
     (wrapping from the end to the start), i.e. row ``rn`` receives row
     ``((rn + k - 1) mod n) + 1``.  ``k < 0`` looks back.  Rows whose group is
@@ -61,7 +62,7 @@ def _is_fractional(df: DataFrame, col: str) -> bool:
 
 def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "CustomerID",
                      age_col: str = "CorrectedAge", amount: str = "Amount",
-                     metric: str = "sum", method: str = "auto",
+                     metric: str = "sum", method: str = "scan",
                      cols=("CustomerID", "Age", "CorrectedAge", "Gender")) -> DataFrame:
     """Dense rank of each customer's repayment total within its age category
     (highest first, no gaps; customers without repayments count 0; a NULL
@@ -72,8 +73,8 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
     ``method="scan"`` numbers the distinct (category, total) pairs with the
     range scan (the position among distinct values *is* the dense rank) and
     joins the rank back null-safely; a hot total (e.g. the many customers
-    with none) is split by AQE's skew-join handling.  ``"auto"`` measures the
-    largest category and uses the window only while it fits one task."""
+    with none) is split by AQE's skew-join handling.  The categorised frame is written
+    once, as both the numbering and the join read it."""
     if metric == "sum":
         s = F.sum(F.coalesce(F.col(amount), F.lit(0)))
         total = sql_int(s, "bigint") if _is_fractional(repayments, amount) else s.cast("bigint")
@@ -85,12 +86,11 @@ def rank_in_category(corrected: DataFrame, repayments: DataFrame, key: str = "Cu
     categorized = (with_age_category(corrected, age_col)
                    .join(totals, key, "left")
                    .withColumn("_tot", F.coalesce(F.col("_tot"), F.lit(0).cast("bigint"))))
-    if method == "auto":
-        method = "window" if window_fits(categorized, ["AgeCategory"]) else "scan"
     if method == "window":  # the direct form
         w = Window.partitionBy("AgeCategory").orderBy(F.col("_tot").desc_nulls_last())
         ranked = categorized.withColumn("Rank", F.dense_rank().over(w).cast("bigint"))
     elif method == "scan":
+        categorized = freeze(categorized, "categories")
         distinct = categorized.select("AgeCategory", "_tot").distinct()
         ranks = _position(distinct, ["AgeCategory"], [("_tot", False)], method, "Rank")
         ranks = ranks.select(F.col("AgeCategory").alias("_c"), F.col("_tot").alias("_t"),

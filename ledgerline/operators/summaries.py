@@ -146,13 +146,12 @@ def normalised_counts(customers: DataFrame, loans: DataFrame, key: str = "Custom
 
 
 def wide_extract(customers: DataFrame, credit: DataFrame, loans: DataFrame,
-                 key: str = "CustomerID", join_method: str = "auto") -> DataFrame:
+                 key: str = "CustomerID", join_method: str = "split") -> DataFrame:
     """The ``financing`` extract: customers LEFT JOIN credit LEFT JOIN loans,
     with every field cleaned through ``TRY_CAST(TRIM(x))``.  Customers without
     credit or loans keep one row with NULLs; duplicate keys fan out.  The LEFT
-    joins are :func:`~ledgerline.operators.joins.left_join`, which switches to
-    a skew-splittable form when one customer holds a large share of the loans
-    (``join_method="split"`` forces it)."""
+    joins are :func:`~ledgerline.operators.joins.left_join`, which Spark can
+    split where one customer holds a large share of the loans."""
     c = customers.select(key, "Income")
     cr = credit.select(key, "CreditScore")
     lo = loans.select(key, "LoanAmount", "LoanTerm", "InterestRate", "ApprovalStatus")

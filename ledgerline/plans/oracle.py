@@ -144,23 +144,25 @@ def age_case(x: str) -> str:
 
 def calendar_sql(facts: str, spine: str, period_expr: str, spine_id: str, spine_name: str,
                  hours: tuple | None, ts_expr: str = "RepaymentDate") -> tuple[list[str], str]:
-    """CTEs ``cell_totals`` (facts summed per entity and period) and
-    ``timeline`` (every entity row x every period, zero-filled)."""
-    keep = f"WHERE hour({ts_expr}) >= {hours[0]} AND hour({ts_expr}) <= {hours[1]}" if hours else ""
-    spine_name_tbl = spine.split(' AS ')[0]
+    """CTE ``timeline``: per entity a map from period to its (count, sum), read once for every
+    period of the spine, 0 where the map has none."""
+    table = spine.split(' AS ')[0]
+    within = f"hour({ts_expr}) BETWEEN {hours[0]} AND {hours[1]}" if hours else "true"
     extra = [
         spine,
-        f"""cell_totals AS (
-    SELECT CustomerID, {period_expr.format(ts=ts_expr)} AS period, COUNT(*) AS n,
-           SUM({try_double('Amount')}) AS amount
-    FROM {facts} {keep}
-    GROUP BY CustomerID, period)""",
+        f"""entity_maps AS (
+    SELECT id, map_from_entries(list((period, cell))) AS cells
+    FROM (SELECT CustomerID AS id, {period_expr.format(ts=ts_expr)} AS period,
+                 {{'n': count(*), 'amount': sum({try_double('Amount')})}} AS cell
+          FROM {facts} WHERE {within} GROUP BY ALL)
+    WHERE period IS NOT NULL GROUP BY id)""",
         f"""timeline AS (
-    SELECT g.CustomerID, g.{spine_name},
-           COALESCE(t.n, 0) AS NumberOfRepayments,
-           CAST(COALESCE(t.amount, 0) AS DOUBLE) AS AmountTotal
-    FROM (SELECT e.CustomerID, p.* FROM customers e, {spine_name_tbl} p) g
-    LEFT JOIN cell_totals t ON t.CustomerID = g.CustomerID AND t.period = g.{spine_id})"""]
+    SELECT CustomerID, step.name AS {spine_name},
+           coalesce(cells[step.id].n, 0) AS NumberOfRepayments,
+           coalesce(cells[step.id].amount, 0)::DOUBLE AS AmountTotal
+    FROM (SELECT CustomerID, cells,
+                 unnest((SELECT list({{'id': {spine_id}, 'name': {spine_name}}}) FROM {table})) AS step
+          FROM customers LEFT JOIN entity_maps ON id = CustomerID))"""]
     return extra, f"SELECT CustomerID, {spine_name}, NumberOfRepayments, AmountTotal FROM timeline"
 
 

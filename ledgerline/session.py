@@ -81,6 +81,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if configured.startswith("file:") and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is a machine-local folder; "
+                               "name one that all executors share")
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
@@ -104,4 +107,21 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/ledgerline-{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _frozen.append(path)
     return spark.read.parquet(path)
+
+
+_frozen: list[str] = []
+
+
+def release_frozen(spark: SparkSession) -> int:
+    """Delete the folders that :func:`freeze` wrote, and return how many there were.
+
+    To be called when results that read them have been written; a DataFrame that
+    still reads a frozen folder fails afterwards."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    count = 0
+    while _frozen:
+        path = jvm.org.apache.hadoop.fs.Path(_frozen.pop())
+        count += bool(path.getFileSystem(conf).delete(path, True))
+    return count

@@ -47,8 +47,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    n = F.broadcast(table(spark, sf_dir, "nation"))
-    r = F.broadcast(table(spark, sf_dir, "region"))
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
     key = F.col("c_custkey")
     age = F.when(key % 50 == 0, F.lit(None).cast("int")).otherwise(
         (F.lit(15) + (key * 7) % 60).cast("int"))
@@ -123,14 +123,13 @@ def _loan_terms(loan_id, user, block) -> list:
             _annuity(amount).alias("ScheduledRepayment")]
 
 
-def loan_months(spark: SparkSession, sf_dir: str, method: str = "auto") -> DataFrame:
+def loan_months(spark: SparkSession, sf_dir: str, method: str = "scan") -> DataFrame:
     """Each user's events in (ts, event_id) order, cut into consecutive
     24-month loans: LoanID, Month (1..24), ActualRepayment.  Every event is
     used; a loan has at most 24 rows however many events one user has, so
     per-loan state stays bounded.  The numbering is
-    :func:`~ledgerline.operators.positions.position`: a plain window while
-    every user is small, the range-partitioned scan when one user holds more
-    rows than one task should sort."""
+    :func:`~ledgerline.operators.positions.position`, a range-partitioned scan
+    that a hot user does not unbalance."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     pos = position(e, ["user_id"], ["ts", "event_id"], pos_col="pos", method=method)
     user = F.col("user_id")
@@ -167,7 +166,7 @@ def scheduled_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocks.select(*_loan_terms(user * F.lit(LOAN_SHIFT) + block, user, block))
 
 
-def scheduled_and_actual(spark: SparkSession, sf_dir: str, method: str = "auto",
+def scheduled_and_actual(spark: SparkSession, sf_dir: str, method: str = "scan",
                          ) -> tuple[DataFrame, DataFrame]:
     """The two inputs of the loan model: scheduled (one row per loan) and
     actual (one row per loan-month)."""
@@ -178,8 +177,8 @@ def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> list[s
     """Register the role views as temporary views (``customers``, ``loans``,
     ``credit``, ``repayments``, ``monthly_repayments``, ``months``,
     ``scheduled``, ``actual``) so the lending questions can also be asked in
-    SQL through ``spark.sql``.  Views are lazy -- only the loan numbering's
-    group-size probe runs at registration.  Returns the registered names."""
+    SQL through ``spark.sql``.  Views are lazy -- only the loan numbering
+    is written at registration.  Returns the registered names."""
     from ledgerline.functions.time import month_periods
 
     scheduled, actual = scheduled_and_actual(spark, sf_dir)

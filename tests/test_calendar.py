@@ -92,3 +92,23 @@ def test_months_table_as_spine(spark):
     ents = spark.createDataFrame([(1,)], "CustomerID int")
     facts = _facts(spark, [(1, dt.datetime(2024, 3, 1, 9), 5, "UTC")])
     assert sorted(rows(cal.dense_calendar(ents, facts, months))) == sorted(rows(cal.dense_calendar(ents, facts)))
+
+
+def test_pivot_cell_beyond_integer_range(spark):
+    tl = spark.createDataFrame([(1, "January", 2, 3.0e9)],
+                               "CustomerID int, MonthName string, NumberOfRepayments bigint, AmountTotal double")
+    for method in ("conditional", "pivot"):
+        got = cal.pivot_calendar(tl, method=method).select("January_Repayments", "January_Total").first()
+        assert tuple(got) == (2, 3_000_000_000)
+
+
+def test_period_table_of_any_length(spark):
+    ents = spark.createDataFrame([(1,), (2,), (2,)], "CustomerID int")
+    facts = spark.createDataFrame([(1, "2023-01-05 10:00:00", 5), (1, "2023-01-05 11:00:00", None), (2, "2023-03-01 10:00:00", 7)],
+                                  "CustomerID int, RepaymentDate string, Amount int").selectExpr(
+        "CustomerID", "cast(RepaymentDate AS timestamp) AS RepaymentDate", "Amount")
+    spine = spark.range(1, 1501).selectExpr("cast(id AS int) AS id", "cast(id AS string) AS name")
+    got = rows(cal.dense_calendar(ents, facts, spine))
+    assert len(got) == 3 * 1500
+    assert [r for r in got if r[2]] == [r for r in got if r[1] in ("1", "3") and (r[0], r[1]) in ((1, "1"), (2, "3"))]
+    assert sorted(r for r in got if r[2]) == [(1, "1", 2, 5.0), (2, "3", 1, 7.0), (2, "3", 1, 7.0)]

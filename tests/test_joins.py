@@ -9,23 +9,19 @@ def test_left_join_matches_builtin_left_join(spark):
     right = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7), (None, 9)],
                                   "k int, r int")
     want = left.join(right, "k", "left")
-    for method in ("split", "plain", "auto"):
+    for method in ("split", "plain"):
         got = left_join(left, right, "k", method)
         assert got.columns == want.columns
         assert sorted(rows(got), key=repr) == sorted(rows(want), key=repr)
         assert len(rows(got)) == 2 * 50 + 1 + 1 + 1
 
 
-def test_left_join_auto_switches_on_a_hot_key(spark):
+def test_left_join_default_can_be_split(spark):
     import contextlib
     import io
     left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, l string")
     right = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 0)], "k int, r int")
-    spark.conf.set("spark.ledgerline.join.maxKeyRows", "10")
-    try:
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            left_join(left, right, "k").explain()
-        assert "LeftAnti" in buf.getvalue()
-    finally:
-        spark.conf.unset("spark.ledgerline.join.maxKeyRows")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        left_join(left, right, "k").explain()
+    assert "LeftAnti" in buf.getvalue()

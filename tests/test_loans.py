@@ -146,11 +146,55 @@ def test_sample_scheduled_file(spark):
     assert tuple(got) == (1000, 64950000.0, 2997112.72)
 
 
-def test_auto_method_picks_fold_for_term_bounded_loans(spark):
-    sched, act = _frames(spark, [(1, 1200.0, 100.0, [700.0, 600.0, 100.0])])
-    a = rows(ln.loan_balances(sched, act, method="auto").orderBy("Month"))
-    f = rows(ln.loan_balances(sched, act, method="fold").orderBy("Month"))
-    assert a == f
+def _sequential(amount, months, rate=ln.MONTHLY_RATE):
+    """Balances by a plain loop; months in order, a missing payment ends at 0."""
+    out, b = [], float(amount)
+    for _, paid in sorted(months, key=lambda m: (m[0] is None, m[0] or 0, m[1] is None, m[1] or 0)):
+        interest = b * rate
+        new = b + interest - paid if paid is not None else 0.0
+        end = max(0.0, new)
+        out.append((round(b, 2), round(end, 2)))
+        b = end
+    return out
+
+
+@pytest.mark.parametrize("months", [
+    [(1, 100.0), (2, None), (3, 50.0)], [(1, None), (2, 100.0)], [(1, 100.0), (None, 50.0)],
+    [(2, 10.0), (2, None), (1, 30.0)]])
+def test_fold_matches_a_loop_with_missing_values(spark, months):
+    sched = spark.createDataFrame([(1, 1000.0, 100.0)], "LoanID long, LoanAmount double, ScheduledRepayment double")
+    act = spark.createDataFrame([(1, m, p) for m, p in months], "LoanID long, Month int, ActualRepayment double")
+    got = rows(ln.loan_balances(sched, act), "LoanBalanceStart", "LoanBalanceEnd")
+    assert got == _sequential(1000, months)
+
+
+def test_fold_holds_on_a_long_interest_only_loan(spark):
+    n = 5000
+    interest = 1000.0 * ln.MONTHLY_RATE
+    sched = spark.createDataFrame([(1, 1000.0, interest)], "LoanID long, LoanAmount double, ScheduledRepayment double")
+    act = spark.range(1, n + 1).select(F.lit(1).cast("long").alias("LoanID"), F.col("id").cast("int").alias("Month"),
+                                       F.lit(interest).alias("ActualRepayment"))
+    got = rows(ln.loan_balances(sched, act), "LoanBalanceStart", "LoanBalanceEnd")
+    assert len(got) == n and got == _sequential(1000, [(m, interest) for m in range(1, n + 1)])
+    assert got[-1][1] == pytest.approx(1000.0, abs=0.01)
+
+
+def test_closed_form_refuses_what_it_cannot_answer(spark):
+    sched = spark.createDataFrame([(1, 1000.0, 100.0)], "LoanID long, LoanAmount double, ScheduledRepayment double")
+    missing = spark.createDataFrame([(1, 1, None)], "LoanID long, Month int, ActualRepayment double")
+    long = spark.range(1, 2500).selectExpr("1L AS LoanID", "cast(id AS int) AS Month", "8.0D AS ActualRepayment")
+    for act in (missing, long):
+        with pytest.raises(Exception, match="closed form"):
+            ln.loan_balances(sched, act, method="closed_form").collect()
+
+
+def test_portfolio_cpr_is_finite_for_two_million_loan_months(spark):
+    months = spark.range(0, 2_000_000).selectExpr(
+        "id AS LoanID", "cast(id % 12 + 1 AS int) AS Month", "1000.0D AS LoanBalanceStart", "890.0D AS LoanBalanceEnd",
+        "100.0D AS ScheduledRepayment", "8.0D AS InterestPayment")
+    smm = (110.0 - 92.0) / 1000.0
+    got = ln.prepayment_cpr(months, scope="month").first()[0]
+    assert got == pytest.approx((1 - (1 - smm) ** 12) * 100)
 
 
 def test_extra_columns_survive_the_merge(spark):

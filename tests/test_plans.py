@@ -44,9 +44,13 @@ def _left_joins_on_key(p):
 
 
 def test_left_join_split_form_is_inner_plus_anti(spark):
-    p = q(spark, "wide_extract_split")
+    p = q(spark, "wide_extract")
     assert "LeftAnti" in p and not _left_joins_on_key(p)
-    assert len(_left_joins_on_key(q(spark, "wide_extract"))) == 2   # no hot key: plain joins
+
+
+def test_default_rates_need_no_roll_forward(spark):
+    for name in ("type1_default_rate", "type2_default_rate", "type2_default_rate_year1"):
+        assert "collect_list" not in q(spark, name)
 
 
 def test_pair_counts_aggregate_before_join(spark):
@@ -61,19 +65,13 @@ def test_scan_reads_only_needed_columns(spark):
     assert "p_name" not in p and "p_retailprice" not in p
 
 
-def test_only_fixed_dimensions_are_broadcast_explicitly(spark):
-    from ledgerline.sources import roles
-    p = plan(roles.customers(spark, SF_SMALL))
-    assert p.count("BroadcastExchange") == 2      # nation (25 rows) and region (5 rows)
-
-
 def test_hot_group_is_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         df = spark.range(0, 30000).select(
             F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 97).cast("string"))
             .alias("g"), F.col("id").alias("o"))
-        tagged = ordered_position(df, ["g"], ["o"], freeze=False)
+        tagged = ordered_position(df, ["g"], ["o"])
         from ledgerline.functions.ordering import sort_spec
         laid = df.orderBy(*sort_spec(["g", "o"])).withColumn("pid", F.spark_partition_id())
         spread = laid.filter(F.col("g") == "hot").select("pid").distinct().count()

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -66,26 +67,13 @@ def test_exact_median_with_heavy_repeats(spark):
     for n in (1, 2, 7, 1000, 1001):
         vals = [5.0 if rnd.random() < 0.4 else float(rnd.randint(0, 30)) for _ in range(n)]
         df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double")
-        for method in ("window", "scan"):
-            got = spark.range(1).select(exact_median(df.repartition(4), "x", method)).first()[0]
-            assert got == float(np.median(vals)), (n, method)
+        got = spark.range(1).select(exact_median(df.repartition(4), "x")).first()[0]
+        assert got == float(np.median(vals)), n
 
 
 def test_cumulative_weight_scan_equals_window(spark):
     from ledgerline.operators.positions import cumulative_weight
     df = spark.createDataFrame([(i, (i * 7) % 5 + 1) for i in range(500)], "k int, w int").repartition(6)
-    a = rows(cumulative_weight(df, ["k"], "w", "c", "scan"), "k", "c")
-    b = rows(cumulative_weight(df, ["k"], "w", "c", "window"), "k", "c")
-    assert sorted(a) == sorted(b)
-
-
-def test_unfrozen_positions_equal_frozen(spark):
-    df = spark.createDataFrame([(i % 3, (i * 37) % 101, i) for i in range(600)],
-                               "g int, o int, t int").repartition(5)
-    spark.conf.set("spark.ledgerline.positions.freeze", "false")
-    try:
-        a = rows(ordered_position(df, ["g"], ["o", "t"], "pos"))
-    finally:
-        spark.conf.unset("spark.ledgerline.positions.freeze")
-    b = rows(ordered_position(df, ["g"], ["o", "t"], "pos"))
+    a = rows(cumulative_weight(df, ["k"], "w", "c"), "k", "c")
+    b = rows(df.withColumn("c", F.sum("w").over(Window.orderBy("k"))), "k", "c")
     assert sorted(a) == sorted(b)
