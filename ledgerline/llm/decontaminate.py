@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.text import LOWER, words
+from ledgerline.llm.text import LOWER, slices, words
 from ledgerline.session import freeze
 
 #: Words in a window.
@@ -147,7 +147,7 @@ def scan_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_co
 
         def task(batches, shared=shared):
             windows = Windows([(item, w.split(b" "), whole) for item, w, whole in shared.value], n)
-            for b in batches:
+            for b in slices(batches):
                 earlier = b.column(hits_at).to_pylist()
                 texts = b.column(text_at).cast(pa.binary()).to_pylist()
                 hits = [(old or []) + [{"start": s, "end": e, "item": item}
@@ -178,7 +178,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     hits = scan_hits(pair, items, "text", item_col, item_text_col, n, block_bytes)
 
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             n_words, n_hit, found = [], [], []
             for text, spans in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
                 n_words.append(len(words(text)) if text else 0)
@@ -226,7 +226,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", len
     text_at, length_at = names.index(text_col), names.index(length_col) if length_col in names else None
 
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             spans = b.column(len(names)).to_pylist()
             if not any(spans):
                 yield pa.RecordBatch.from_arrays(b.columns[:-1], b.schema.names[:-1])

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.pretokens import PATTERN, byte_alphabet, load_vocabulary, segments
+from ledgerline.llm.text import slices
 
 #: Tokens in a sequence, segments in a sequence, loss-bearing tokens in a sequence.
 CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 1024
@@ -177,7 +178,7 @@ def pack_documents(df: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                           loss(s, n, firsts[e]), sequence, at) for e, s, n, at in pieces]
                 sequence += 1
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
-        for b in batches:
+        for b in slices(batches):
             for doc, text, prompt in zip(*(c.to_pylist() for c in b.columns)):
                 before = encode(prompt) if prompt else b""
                 doc_ids.append(doc)

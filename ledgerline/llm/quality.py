@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.linear import Rows, fit, fit_scale, sigmoid
-from ledgerline.llm.text import LOWER, text_bytes
+from ledgerline.llm.text import LOWER, slices, text_bytes
 
 #: Most rows that the views are fitted on.
 LABELLED_ROWS, POOL_ROWS = 20_000, 20_000
@@ -142,7 +142,7 @@ class Combined:
 def shaped(rows: DataFrame, text_col: str, lang_col: str, source_col: str, length_col: str) -> DataFrame:
     """``doc_id, y, shape, meta`` of ``rows`` (``doc_id, y`` and the named columns)."""
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             shape = [np.array(text_shape(t)).tobytes() for t in text_bytes(b.column(2))]
             meta = [meta_features(*m) for m in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shape, pa.binary()), pa.array(meta, pa.list_(pa.int32()))],
@@ -164,14 +164,15 @@ def train(docs: DataFrame, labels: DataFrame, label_id_col: str, label_col: str,
     known = (labels.select(F.col(label_id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
              .filter("doc_id is not null and y in (0, 1)").orderBy(order, "doc_id", "y").limit(labelled_rows))
     # at most labelled_rows rows of two numbers: the broadcast is bounded
-    sample = docs.join(F.broadcast(known), "doc_id").orderBy(order, "doc_id", "y", F.xxhash64("text")).limit(labelled_rows)
+    sample = docs.join(F.broadcast(known), "doc_id")
     pool = (docs.withColumn("y", F.lit(None).cast("int")).filter("doc_id is not null")
             .join(labels.select(F.col(label_id_col).cast("bigint").alias("doc_id")), "doc_id", "left_anti")
             .select("doc_id").orderBy(order, "doc_id").limit(pool_rows).distinct())
     pool = docs.join(F.broadcast(pool), "doc_id").withColumn("y", F.lit(None).cast("int"))
-    pool = pool.orderBy(order, "doc_id", F.xxhash64("text")).limit(pool_rows)
+    # measured where the texts are; the limits (repeated ids) then see a few numbers a row
     cols = ("text", "lang", "source", "length")
-    found = [r for part in (sample, pool) for r in shaped(part, *cols).collect()]
+    found = [r for part, most in ((sample, labelled_rows), (pool, pool_rows))
+             for r in shaped(part, *cols).orderBy(order, "doc_id", "y", F.xxhash64("shape", "meta")).limit(most).collect()]
     found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["y"] is None, r["y"] or 0, bytes(r["shape"])))
     y = [r["y"] for r in found]
     if {0, 1} - set(y):
@@ -208,7 +209,7 @@ def _judge(model: Combined | None, texts: list[bytes], meta: list) -> np.ndarray
 
 def _scored(views: DataFrame, model: Combined | None) -> DataFrame:
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             s = _judge(model, text_bytes(b.column(1)), list(zip(*(b.column(i).to_pylist() for i in (2, 3, 4)))))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(s[:, i]) for i in range(3)), pa.array(s[:, 2] >= 0.5)],
@@ -225,7 +226,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     at = [docs.columns.index(c) for c in (text_col, lang_col, source_col, length_col)]
 
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             meta = list(zip(*(b.column(i).to_pylist() for i in at[1:])))
             yield b.filter(pa.array(_judge(model, text_bytes(b.column(at[0])), meta)[:, 2] >= 0.5))
     return docs.mapInArrow(task, docs.schema)

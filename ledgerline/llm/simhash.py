@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.llm.components import components
-from ledgerline.llm.text import map_texts, space_words, text_bytes
+from ledgerline.llm.text import map_texts, slices, space_words, text_bytes
 from ledgerline.session import freeze
 
 #: Words in a shingle and most differing bits of linked fingerprints.
@@ -171,7 +171,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     fp, tie, row = "__llm_fp", "__llm_tie", "__llm_row"
 
     def add(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = text_bytes(b.column(text_at))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([fingerprint(t, shingle) for t in texts], pa.int64()),

@@ -31,6 +31,13 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batches, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, so that few are Python objects at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
               fn: Callable[[pa.Array, list[bytes]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Run ``fn(ids, texts)`` over Arrow batches of the two columns.  Only these
@@ -39,7 +46,6 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
                      F.col(text_col).cast("string").alias("text"))
 
     def task(batches):
-        for b in batches:
-            if b.num_rows:
-                yield from fn(b.column(0), text_bytes(b.column(1)))
+        for b in slices(batches):
+            yield from fn(b.column(0), text_bytes(b.column(1)))
     return pair.mapInArrow(task, schema)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.linear import Rows, fit, sigmoid
-from ledgerline.llm.text import map_texts, text_bytes, words
+from ledgerline.llm.text import map_texts, slices, text_bytes, words
 
 #: Most labelled rows that the classifier is fitted on.
 SAMPLE_ROWS = 20_000
@@ -109,10 +109,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
               .orderBy(order, "doc_id", "label").limit(sample_rows))
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # the sample has at most sample_rows rows of two numbers: its broadcast is bounded
-    joined = texts.join(F.broadcast(sample), "doc_id").orderBy(order, "doc_id", "label", F.xxhash64("text")).limit(sample_rows)
+    joined = texts.join(F.broadcast(sample), "doc_id")
 
     def task(batches):
-        for b in batches:
+        for b in slices(batches):
             features, swapped = [], []
             for t in text_bytes(b.column(1)):
                 distinct = set(words(t))
@@ -121,7 +121,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
                 swapped.append(text_features((distinct - named) | {SWAPS[w] for w in named}).astype("<i4").tobytes() if named else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(features, pa.binary()), pa.array(swapped, pa.binary())],
                                              ["doc_id", "label", "features", "swapped"])
-    found = joined.mapInArrow(task, "doc_id bigint, label int, features binary, swapped binary").collect()
+    found = (joined.mapInArrow(task, "doc_id bigint, label int, features binary, swapped binary")
+             .orderBy(order, "doc_id", "label", F.xxhash64("features")).limit(sample_rows).collect())
     found.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["features"])))
     number = lambda x: None if x is None else np.frombuffer(bytes(x), "<i4").astype(np.int64)
     return [(r["label"], number(r["features"]), number(r["swapped"])) for r in found]
