@@ -10,9 +10,13 @@ to even, like numpy's ``rint``); integer sums are cast to BIGINT.
 from __future__ import annotations
 
 from ledgerline.functions.categories import AGE_BUCKETS, PROVINCE_SPELLINGS
-from ledgerline.functions.time import MONTH_NAMES
+from ledgerline.functions.time import MONTH_NAMES, ZONE_ALIASES
+from ledgerline.sources.roles import (NO_AMOUNT, NO_PAYMENT, NO_STATUS, PROVINCES_AS_TYPED, UNPAID_USERS,
+                                      ZONES_AS_TYPED)
 
 R = "(0.1::DOUBLE / 12)"
+#: Amount of a loan that was never paid.
+UNPAID = "500.0::DOUBLE + CAST((user_id * 37 + spare * 11) % 50 AS DOUBLE) * 40.0::DOUBLE"
 
 
 def cents(x: str) -> str:
@@ -31,6 +35,12 @@ def try_int(x: str) -> str:
     return f"TRY_CAST({text(x)} AS INTEGER)"
 
 
+def typed(x: str, values: list, of: int, rest: str = "NULL") -> str:
+    """The i-th value where ``x % of`` is i."""
+    arms = " ".join(f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values))
+    return f"CASE {x} % {of} {arms} ELSE {rest} END"
+
+
 ROLE = {
     "customers": """customers AS (
     SELECT c.c_custkey AS CustomerID, c.c_name AS Name, n.n_name AS Surname,
@@ -41,34 +51,52 @@ ROLE = {
     FROM customer c
     LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
     LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)""",
-    "loans": """loans AS (
-    SELECT o_custkey AS CustomerID, CAST(floor(o_totalprice) AS INTEGER) AS LoanAmount,
+    "raw_customers": f"""raw_customers AS (
+    SELECT CustomerID, unnest(CASE WHEN CustomerID % 37 = 0 THEN [Name, Name || ' (copy)'] ELSE [Name] END) AS Name,
+           Surname, Age, CASE WHEN CustomerID % 29 <> 0 THEN Gender END AS Gender,
+           CASE CustomerID % 11 WHEN 0 THEN NULL WHEN 1 THEN '  ' || Income || ' ' WHEN 2 THEN 'n/a'
+                                WHEN 3 THEN Income || '.5' ELSE Income::VARCHAR END AS Income,
+           {typed('CustomerID', PROVINCES_AS_TYPED, 20, 'Region')} AS Region
+    FROM customers)""",
+    "raw_loans": f"""raw_loans AS (
+    SELECT CustomerID, InterestRate, ApprovalStatus,
+           CASE OrderKey % 17 WHEN 0 THEN NULL WHEN 1 THEN ' ' || LoanAmount || ' ' WHEN 2 THEN 'R' || LoanAmount
+                              WHEN 3 THEN LoanAmount || '.25' ELSE LoanAmount::VARCHAR END AS LoanAmount,
+           CASE OrderKey % 13 WHEN 0 THEN LoanTerm || '.5' WHEN 1 THEN ' ' || LoanTerm || '  ' WHEN 2 THEN 'long'
+                              WHEN 3 THEN LoanTerm || '.4' ELSE LoanTerm::VARCHAR END AS LoanTerm
+    FROM keyed_loans)""",
+    "loans": "loans AS (SELECT * EXCLUDE (OrderKey) FROM keyed_loans)",
+    "keyed_loans": f"""keyed_loans AS (
+    SELECT o_orderkey AS OrderKey, o_custkey AS CustomerID, CAST(floor(o_totalprice) AS INTEGER) AS LoanAmount,
            12 * TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS LoanTerm,
            CAST(CAST(400 + (o_orderkey * 37) % 451 AS DOUBLE) / 100.0::DOUBLE AS FLOAT)
                AS InterestRate,
-           CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Rejected'
-                              WHEN 'P' THEN ' rejected' ELSE o_orderstatus END AS ApprovalStatus
+           CASE WHEN o_orderkey % {NO_STATUS} = 0 THEN NULL
+                ELSE CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Rejected'
+                                        WHEN 'P' THEN ' rejected' ELSE o_orderstatus END END AS ApprovalStatus
     FROM orders)""",
     "credit": """credit AS (
     SELECT p_partkey AS CustomerID, p_size AS CreditScore, p_type AS CustomerClass FROM part)""",
-    "repayments": """repayments AS (
-    SELECT event_id AS RepaymentID, ts AS RepaymentDate, CAST(floor(value) AS INTEGER) AS Amount,
+    "repayments": f"""repayments AS (
+    SELECT event_id AS RepaymentID, ts AS RepaymentDate,
+           CASE WHEN event_id % {NO_AMOUNT} <> 0 THEN CAST(floor(value) AS INTEGER) END AS Amount,
            user_id AS CustomerID,
            CASE user_id % 3 WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'Asia/Kolkata'
                             WHEN 2 THEN 'UTC' END AS TimeZone
     FROM events)""",
-    "monthly_repayments": """monthly_repayments AS (
-    SELECT o_orderkey AS RepaymentID, o_orderdate AS RepaymentDate,
-           CAST(floor(o_totalprice) AS INTEGER) AS Amount, o_custkey AS CustomerID,
-           'UTC' AS TimeZone
+    "monthly_repayments": f"""monthly_repayments AS (
+    SELECT o_orderkey AS RepaymentID, o_orderdate::TIMESTAMP + to_hours(4 + o_orderkey % 20) AS RepaymentDate,
+           CASE WHEN o_orderkey % {NO_AMOUNT} <> 0
+                THEN floor(o_totalprice)::DOUBLE + (1 - o_orderkey % 2) * 0.5::DOUBLE END AS Amount,
+           o_custkey AS CustomerID, {typed('o_custkey', ZONES_AS_TYPED, len(ZONES_AS_TYPED))} AS TimeZone
     FROM orders)""",
     "loan_months": f"""pos_events AS (
-    SELECT user_id, value,
+    SELECT user_id, value, event_id,
            ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos
     FROM events),
 loan_blocks AS (
     SELECT user_id * 4294967296 + (pos - 1) // 24 AS LoanID,
-           CAST((pos - 1) % 24 + 1 AS INTEGER) AS Month, value,
+           CAST((pos - 1) % 24 + 1 AS INTEGER) AS Month, value, event_id,
            500.0::DOUBLE + CAST((user_id * 37 + ((pos - 1) // 24) * 11) % 50 AS DOUBLE)
                * 40.0::DOUBLE AS LoanAmount
     FROM pos_events),
@@ -78,7 +106,8 @@ loan_sched AS (
     FROM loan_blocks),
 loan_months AS (
     SELECT LoanID, Month, LoanAmount, ScheduledRepayment,
-           CASE WHEN value < 3 THEN 0.0::DOUBLE
+           CASE WHEN event_id % {NO_PAYMENT} = 0 THEN NULL
+                WHEN value < 3 THEN 0.0::DOUBLE
                 WHEN value < 6 AND LoanID % 3 = 0 THEN {cents("ScheduledRepayment * 0.5::DOUBLE")}
                 WHEN value > 300 THEN {cents("ScheduledRepayment * 1.5::DOUBLE")}
                 ELSE ScheduledRepayment END AS ActualRepayment
@@ -86,7 +115,12 @@ loan_months AS (
 scheduled AS (
     SELECT LoanID, any_value(LoanAmount) AS LoanAmount,
            any_value(ScheduledRepayment) AS ScheduledRepayment
-    FROM loan_months GROUP BY LoanID),
+    FROM loan_months GROUP BY LoanID
+    UNION ALL
+    SELECT user_id * 4294967296 + spare, ({UNPAID}),
+           {cents(f"({UNPAID}) * ({R} / (1.0::DOUBLE - pow(1.0::DOUBLE + {R}, -24.0::DOUBLE)))")}
+    FROM (SELECT user_id, (count(*) - 1) // 24 + 1 AS spare FROM events
+          WHERE user_id % {UNPAID_USERS} = 0 GROUP BY user_id)),
 actual AS (SELECT LoanID, Month, ActualRepayment FROM loan_months)""",
     "balances": f"""merged AS (
     SELECT a.LoanID, a.Month, a.ActualRepayment, s.LoanAmount, s.ScheduledRepayment,
@@ -114,8 +148,13 @@ balances AS (
 }
 
 
+#: Roles that a role is made from.
+NEEDS = {"raw_customers": ["customers"], "loans": ["keyed_loans"], "raw_loans": ["keyed_loans"]}
+
+
 def with_roles(roles: list[str], body: str, extra: list[str] | None = None) -> str:
-    ctes = [ROLE[r] for r in roles] + list(extra or [])
+    needed = list(dict.fromkeys(x for r in roles for x in (*NEEDS.get(r, ()), r)))
+    ctes = [ROLE[r] for r in needed] + list(extra or [])
     recursive = "RECURSIVE " if "balances" in roles else ""
     return f"WITH {recursive}" + ",\n".join(ctes) + "\n" + body
 
@@ -168,7 +207,9 @@ def calendar_sql(facts: str, spine: str, period_expr: str, spine_id: str, spine_
 
 DAYS = ("days AS (SELECT CAST(range AS INTEGER) AS DayID, CAST(range AS VARCHAR) AS DayOfMonth "
         "FROM range(1, 32))")
-LONDON_TS = "timezone('Europe/London', timezone(TimeZone, RepaymentDate))"
+_REGION = ("CASE upper(trim(TimeZone)) "
+           + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ZONE_ALIASES.items()) + " ELSE TimeZone END")
+LONDON_TS = f"coalesce(timezone('Europe/London', timezone({_REGION}, RepaymentDate)), RepaymentDate)"
 
 
 def sig9(x: str) -> str:
