@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows, sample_csv
 from ledgerline.sources import (
-    SCHEMAS, append_table, create_table_if_absent, load_tables, read_csv_strict, replace_table,
+    SCHEMAS, append_table, create_table_if_absent, load_tables, read_csv_inferred, read_csv_strict,
+    replace_table,
     update_where, write_if_absent,
 )
 from ledgerline.sources import roles
@@ -45,6 +46,37 @@ def test_load_sample_tables(spark):
     assert rows(t["months"].orderBy("MonthID").limit(2)) == [(1, "January"), (2, "February")]
 
 
+LOANS = ("CustomerID,LoanAmount,LoanTerm,InterestRate,ApprovalStatus\r\n" + "".join(
+    f"{i % 30},{1000 + i},{12 * (1 + i % 5)},{4 + i / 16},{'Approved' if i % 3 else ' rejected'}\r\n"
+    for i in range(40)) + "\r\n")
+CREDIT = "CustomerID,CreditScore,CustomerClass\n" + "".join(f"{i},{500 + 5 * i},A+\n" for i in range(35))
+
+
+def test_strict_reader_loads_a_good_file(spark):
+    """CRLF line ends, a blank last line and repeated ids are all fine."""
+    df = read_csv_strict(spark, _csv(LOANS), "loans")
+    assert df.schema == SCHEMAS["loans"]
+    assert df.count() == 40 and df.select("CustomerID").distinct().count() == 30
+    assert df.filter("ApprovalStatus like '%rejected'").count() == 14
+
+
+def test_inferred_reader(spark):
+    df = read_csv_inferred(spark, _csv(CREDIT))
+    assert dict(df.dtypes) == {"CustomerID": "int", "CreditScore": "int", "CustomerClass": "string"}
+    assert df.count() == 35 and df.agg(F.max("CreditScore")).first()[0] == 670
+
+
+def test_load_generated_tables(spark):
+    paths = {"loans": _csv(LOANS), "credit": _csv(CREDIT)}
+    out = tempfile.mkdtemp(prefix="ledgerline-load-")
+    for _ in range(2):  # a re-run replaces, it does not append
+        t = load_tables(spark, paths, out)
+        assert {k: v.count() for k, v in t.items()} == {"loans": 40, "credit": 35}
+        for name, df in t.items():
+            assert df.schema == SCHEMAS[name]
+    assert load_tables(spark, paths)["credit"].count() == 35
+
+
 def test_table_statements(spark):
     name = "ledgerline_financing_test"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -64,6 +96,25 @@ def test_table_statements(spark):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
+def _unpaid(spark):
+    """Loans without payments: one for every so many users."""
+    users = roles.table(spark, SF_SMALL, "events").select("user_id").distinct()
+    return users.filter(F.col("user_id") % roles.UNPAID_USERS == 0).count()
+
+
+def test_raw_views_hold_what_was_typed(spark):
+    raw = roles.raw_customers(spark, SF_SMALL)
+    assert raw.count() > roles.customers(spark, SF_SMALL).count()
+    assert raw.select("CustomerID").distinct().count() == roles.customers(spark, SF_SMALL).count()
+    for condition in ("Income is null", "Income = 'n/a'", "Income like '  %'", "Income like '%.5'",
+                      "Gender is null", "Region is null", "Region = ' lp '"):
+        assert raw.filter(condition).count() > 0, condition
+    loans = roles.raw_loans(spark, SF_SMALL)
+    for condition in ("LoanTerm = 'long'", "LoanTerm like '%.5'", "LoanAmount like 'R%'", "LoanAmount is null",
+                      "ApprovalStatus is null"):
+        assert loans.filter(condition).count() > 0, condition
+
+
 def test_role_views_have_lending_shapes(spark):
     c = roles.customers(spark, SF_SMALL)
     assert c.columns == ["CustomerID", "Name", "Surname", "Age", "Gender", "Income", "Region"]
@@ -73,15 +124,18 @@ def test_role_views_have_lending_shapes(spark):
     events = roles.table(spark, SF_SMALL, "events").count()
     assert act.count() == events                                  # every event is used
     assert act.groupBy("LoanID").count().agg(F.max("count")).first()[0] <= 24
-    assert sched.count() == act.select("LoanID").distinct().count()
+    unpaid = _unpaid(spark)
+    assert unpaid > 0
+    assert sched.count() == act.select("LoanID").distinct().count() + unpaid
+    assert sched.join(act, "LoanID", "left_anti").count() == unpaid
 
 
 def test_scheduled_loans_chunked_expansion(spark, monkeypatch):
     monkeypatch.setattr(roles, "LOAN_CHUNK", 2)
     sched, act = roles.scheduled_and_actual(spark, SF_SMALL)
     ids = act.select("LoanID").distinct()
-    assert sched.count() == ids.count()
-    assert sched.select("LoanID").exceptAll(ids).count() == 0
+    assert ids.exceptAll(sched.select("LoanID")).count() == 0
+    assert sched.select("LoanID").exceptAll(ids).count() == _unpaid(spark)
 
 
 def test_register_views_supports_sql(spark):
