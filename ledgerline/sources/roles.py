@@ -43,7 +43,7 @@ PROVINCES_AS_TYPED = [" lp ", "Limpopo", "mp", "Mpumalanga", "Gauteng ", "gt", "
                       "north west", "EC", " Eastern Cape", "wc", "Western cape", "NC ", "fs", "GP",
                       "EASTERNCAPE", None]            # by CustomerID % 20; the last one keeps its region
 ZONES_AS_TYPED = ["UTC", "EST", " ist ", "SAST", "cet", "BST", None]   # by CustomerID % 7
-NO_AMOUNT, NO_STATUS, NO_PAYMENT = 53, 19, 997    # every so many rows by key
+NO_AMOUNT, NO_STATUS, NO_PAYMENT = 53, 19, 4999    # every so many rows by key
 UNPAID_USERS = 10                # every so many users hold one loan more that was never paid
 ZONES = ["America/New_York", "Asia/Kolkata", "UTC"]   # by user_id % 3
 # -----------------------------------------------------------------------------
