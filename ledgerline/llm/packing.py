@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -34,6 +35,9 @@ CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 1024
 BLOCK_TOKENS = 1_000_000
 #: Examples that the heuristic weighs at once; all others wait behind them.
 WEIGHED = 64
+#: Runs of white space from this length on; tiktoken's pattern fails on about a million characters of it.
+LONG_RUN = 100_000
+LONG_RUNS = regex.compile(rf"(?<!\s)\s{{{LONG_RUN},}}")
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, loss_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
@@ -47,17 +51,29 @@ def little(ids: list[int]) -> bytes:
 def encoder(path: str):
     """``text -> token ids`` (uint32 bytes) for one byte-level BPE file, as the
     tokenizers library gives them; special strings inside texts are single tokens.
-    (Run by tiktoken on the file's own vocabulary, which is several times faster.)"""
+    (Run by tiktoken on the file's own vocabulary, which is several times faster; long
+    runs of white space, which its pattern fails on, are cut out as the pattern would.)"""
     spec = load_vocabulary(path)
     byte_of = {c: b for b, c in enumerate(byte_alphabet())}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["vocab"].items()
              if token not in spec["added"]}
-    encode = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encode, one_piece = encoding.encode_ordinary, encoding._encode_single_piece
     special = {s: little([i]) for s, i in spec["added"].items()}
 
+    def plain_ids(text: str) -> bytes:
+        if len(text) < LONG_RUN:
+            return little(encode(text))
+        out, at = [], 0
+        for m in LONG_RUNS.finditer(text):
+            end = m.end() - (m.end() < len(text))  # the last one belongs to what follows
+            out += [little(encode(text[at:m.start()])), little(one_piece(text[m.start():end]))]
+            at = end
+        return b"".join([*out, little(encode(text[at:]))])
+
     def tokens(text: str) -> bytes:
         return b"".join(x for plain, after in segments(text, special)
-                        for x in (little(encode(plain)), special.get(after, b"")))
+                        for x in (plain_ids(plain), special.get(after, b"")))
     return tokens
 
 

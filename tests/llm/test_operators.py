@@ -221,6 +221,23 @@ def test_packing_round_trip(spark, texts):
         assert total <= 1024 and total.bit_count() == 1
 
 
+def test_ids_of_long_white_space_equal_the_library():
+    tk, encode = Tokenizer.from_file(VOCABULARY), packing.encoder(VOCABULARY)
+    n = packing.LONG_RUN
+    for t in (" " * 1_100_000 + "a", "a" + "\n" * 1_100_000, *(f"a{c * k}{b}" for c in (" ", "\n", " \n", "\u3000") for k in (n // len(c) - 1, n, n + 1) for b in
+              ("", "b", "'s", "\x1c", f".{c * n}1 ", f"<|endoftext|>{c * n}<|endoftext|>x"))):
+        assert encode(t) == np.array(tk.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("stage", [packing.pack_documents, lambda docs, _: corpus_pipeline.packing_stage(docs.sparkSession, docs, SF)])
+def test_packing_of_two_million_spaces(spark, stage):
+    t = " " * 2_000_000
+    got = stage(documents(spark, [t, "a b"]), VOCABULARY).filter("doc_id = 0").orderBy("start").collect()
+    ids = np.array([*Tokenizer.from_file(VOCABULARY).encode(t, add_special_tokens=False).ids, 0], "<u4")
+    assert sum(r.length for r in got) == got[0].doc_tokens == len(ids)
+    assert all(r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes()) for r in got)
+
+
 @pytest.mark.parametrize("limits", [(64, 4, 64), (64, 64, 10), (16, 2, 5)])
 def test_packing_keeps_all_limits(limits):
     rng = random.Random(limits[2])
