@@ -10,17 +10,25 @@ is lost; neighbouring windows mostly share one, so they travel together.
 
 1. Documents are written once as chunks (compressed batches of some MB) to the
    checkpoint folder.
-2. Each chunk sends the hashes of its distinct anchors to the hash's bucket; a bucket
-   answers which of them occur in more than one document (by hash: a superset).
+2. Each chunk sends the hashes of its distinct anchors, and how many distinct stretches
+   lie around each, to the hash's bucket; a bucket answers which of them occur in more
+   than one document (by hash: a superset), and which are *crowded*: their stretches have
+   more than ``PART_WINDOWS`` windows.
 3. Each chunk sends the stretches of text around those anchors, each distinct stretch
    once with its least and largest document id.  The bucket sorts them by 8-byte digits,
    dropping groups of one after every digit: first whole stretches, then the windows of
-   distinct stretches.  It answers with the least document id of every window.
+   distinct stretches.  It answers with the least document id of every window.  Stretches
+   around a crowded anchor are sent as single windows, each distinct one once, to
+   buckets of their own by a hash of the whole window.
 4. Each chunk removes the windows whose least id is below the document's own.
 
-A passage that stands in a third of all documents reaches its buckets once for each
-chunk, not for each document.  A task holds one chunk, or one bucket, whose number grows
-with the text.  Of rows whose ids are equal neither counts as the smaller."""
+A window inside a passage that stands in a third of all documents reaches its bucket once
+for each chunk, not for each document.  Windows that straddle the passage's start or end
+hold bytes of the document too: they differ from document to document, though their
+anchor lies inside the passage.  They crowd it, so the second hash deals them out.  A task
+holds one chunk, or one bucket; the number of buckets grows with the text, that of the
+second kind with the windows sent to them.  Of rows whose ids are equal neither counts as
+the smaller."""
 
 from __future__ import annotations
 
@@ -38,7 +46,7 @@ from ledgerline.session import freeze
 THRESHOLD, ANCHOR = 50, 24
 #: Bytes of text in a chunk (a longer document is a chunk of its own) and for each bucket.
 CHUNK_BYTES, BUCKET_BYTES = 4 * 1024 * 1024, 12 * 1024 * 1024
-#: Windows that a bucket sorts at once.
+#: Windows that a bucket sorts at once; most windows around one anchor that stay together.
 PART_WINDOWS = 500_000
 #: Bytes of text whose anchors are looked for at once.
 BLOCK_BYTES = 512 * 1024
@@ -146,6 +154,19 @@ def equal_groups(eight: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+def window_hashes(eight: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Hash of the ``depth`` bytes at each position of ``at``."""
+    h = np.zeros(len(at), np.uint64)
+    for i, off in enumerate([*range(0, depth - 8, 8), depth - 8]):
+        h ^= h >> np.uint64(31)
+        h *= MIX[i % 4]
+        h += eight[at + off] * MIX[(i + 1) % 4]
+    for i in (3, 1):
+        h ^= h >> np.uint64(32)
+        h *= MIX[i]
+    return h ^ h >> np.uint64(32)
+
+
 def least_by_group(groups: np.ndarray, values: np.ndarray) -> np.ndarray:
     least = np.full(len(groups), NO_ID)
     np.minimum.at(least, groups, values)
@@ -218,6 +239,19 @@ def anchor_hashes(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return h[order][starts], low != high
 
 
+def stretch_counts(chunk: Chunk, hashes: np.ndarray, threshold: int) -> np.ndarray:
+    """How many distinct stretches of the chunk have each of its anchor hashes."""
+    found = chunk.found
+    of = np.searchsorted(hashes, found.hash)
+    counts = np.bincount(of, minlength=len(hashes))
+    runs = np.flatnonzero(counts[of] > 1)
+    distinct: dict[bytes, int] = {}
+    for h, s, e in zip(of[runs].tolist(), found.first[runs].tolist(), (found.last[runs] + threshold).tolist()):
+        distinct[found.data[s:e]] = h  # a stretch determines its anchor
+    several = np.bincount(np.fromiter(distinct.values(), np.int64, len(distinct)), minlength=len(hashes))
+    return np.where(counts > 1, several, counts)
+
+
 def _low40(h: np.ndarray) -> bytes:
     return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -236,51 +270,82 @@ def _by_bucket(buckets: np.ndarray):
             yield int(buckets[s]), s, e
 
 
-def shared_in_bucket(table: pa.Table) -> pa.Table:
-    """Per chunk, which of its hashes occur in another chunk too or in two of its documents."""
+def shared_in_bucket(table: pa.Table, most: int) -> pa.Table:
+    """Per chunk, which of its hashes occur in another chunk too or in two of its documents; which
+    of those have more than ``most`` stretches in all chunks (no bytes, if none), and how many the
+    chunk has of these."""
+    codec = pa.Codec("zstd")
     data = [_from40(x) for x in table["hashes"].to_pylist()]
     many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(d)).astype(bool) for x, d in zip(table["many"].to_pylist(), data)]
     h, flags = np.concatenate(data), np.concatenate(many)
+    count = np.concatenate([np.frombuffer(codec.decompress(x, 4 * len(d)), "<u4") for x, d in zip(table["counts"].to_pylist(), data)])
     order = np.argsort(h, kind="stable")
     s = h[order]
     same = s[1:] == s[:-1]
     found = flags.copy()
     found[order[1:][same]] = True
     found[order[:-1][same]] = True
+    number = np.concatenate([[0], np.cumsum(~same)])
+    full = np.bincount(number, count[order]) > most
+    crowded = np.zeros(len(h), bool)
+    crowded[order[full[number]]] = True
+    crowded &= found
     cuts = np.cumsum([len(d) for d in data])[:-1]
-    masks = np.split(found, cuts)
+    masks, dense = np.split(found, cuts), np.split(crowded, cuts)
+    sums = [int(c[m].sum()) for c, m in zip(np.split(count, cuts), dense)]
     some = [i for i, m in enumerate(masks) if m.any()]
     return pa.table({"chunk": table["chunk"].take(pa.array(some, pa.int64())), "bucket": table["bucket"].take(pa.array(some, pa.int64())),
-                     "mask": pa.array([np.packbits(masks[i]).tobytes() for i in some], pa.binary())},
-                    schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("mask", pa.binary())]))
+                     "mask": pa.array([np.packbits(masks[i]).tobytes() for i in some], pa.binary()),
+                     "crowded": pa.array([np.packbits(dense[i]).tobytes() if dense[i].any() else b"" for i in some], pa.binary()),
+                     "stretches": pa.array([sums[i] for i in some], pa.int64())},
+                    schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("mask", pa.binary()), ("crowded", pa.binary()),
+                                      ("stretches", pa.int64())]))
 
 
 class Stretches:
-    """The distinct stretches of a chunk around shared anchors, in an order that
-    depends on the chunk and its masks alone."""
+    """The distinct stretches of a chunk around shared anchors, those around crowded ones as
+    single windows, in an order that depends on the chunk and its masks alone.
 
-    def __init__(self, chunk: Chunk, masks: dict[int, bytes], buckets: int, threshold: int):
+    ``first``, ``last``, ``doc``: as in ``Anchored``, of each run (each place of a stretch);
+    ``of_run``: number of its stretch; ``start``, ``size``: a place and the bytes of a stretch."""
+
+    def __init__(self, chunk: Chunk, masks: dict[int, tuple[bytes, bytes]], buckets: int, window_buckets: int, threshold: int):
         found = chunk.found
         hashes, _ = anchor_hashes(chunk)
-        shared = np.zeros(len(hashes), bool)
+        shared, crowded = np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
         for b, s, e in _by_bucket(bucket_of(hashes, buckets)):
-            if b in masks:
-                shared[s:e] = np.unpackbits(np.frombuffer(masks[b], np.uint8), count=e - s).astype(bool)
-        self.runs = np.flatnonzero(shared[np.searchsorted(hashes, found.hash)]) if len(hashes) else np.zeros(0, np.int64)
+            for to, mask in zip((shared, crowded), masks.get(b, ())):
+                if mask:
+                    to[s:e] = np.unpackbits(np.frombuffer(mask, np.uint8), count=e - s).astype(bool)
+        of = np.searchsorted(hashes, found.hash)
+        runs = np.flatnonzero((shared & ~crowded)[of])
         known: dict[bytes, int] = {}
         data = found.data
         number = np.array([known.setdefault(data[s:e], len(known)) for s, e in
-                           zip(found.first[self.runs].tolist(), (found.last[self.runs] + threshold).tolist())], np.int64)
-        self.texts = list(known)
-        self.of_run = number
+                           zip(found.first[runs].tolist(), (found.last[runs] + threshold).tolist())], np.int64)
+        first, last, h = found.first[runs], found.last[runs], found.hash[runs]
+        self.bucket = bucket_of(h, buckets)
+        runs = np.flatnonzero(crowded[of])
+        if len(runs):  # equal windows of the chunk are one; they are told apart by digits
+            n = found.last[runs] - found.first[runs] + 1
+            at = np.repeat(found.first[runs] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            eight = eight_bytes(data)
+            _, own = np.unique(equal_groups(eight, at, threshold), return_inverse=True)
+            hash_ = window_hashes(eight, at, threshold)
+            number = np.concatenate([number, len(known) + own])
+            first, last, h = np.concatenate([first, at]), np.concatenate([last, at]), np.concatenate([h, hash_])
+            self.bucket = np.concatenate([self.bucket, buckets + bucket_of(hash_, window_buckets)])
+        self.first, self.last, self.of_run = first, last, number
+        self.doc = np.searchsorted(found.starts, first, "right") - 1
         if not len(number):
-            self.bucket = self.low = self.high = np.zeros(0, np.int64)
+            self.low = self.high = self.start = self.size = np.zeros(0, np.int64)
             self.part = np.zeros(0, np.uint8)
             return
         order = np.argsort(number, kind="stable")
-        starts, self.low, self.high = _extremes(order, number, chunk.ids[found.doc[self.runs]])
-        hashes = found.hash[self.runs][order][starts]
-        self.bucket, self.part = bucket_of(hashes, buckets), hashes.astype(np.uint8)
+        starts, self.low, self.high = _extremes(order, number, chunk.ids[self.doc])
+        one = order[starts]
+        self.start, self.size = first[one], last[one] + threshold - first[one]
+        self.bucket, self.part = self.bucket[one], h[one].astype(np.uint8)
 
     def by_bucket(self):
         """(bucket, numbers of its stretches)."""
@@ -370,7 +435,7 @@ def covered(chunk: Chunk, stretches: Stretches, answers: dict[int, bytes], thres
     found = chunk.found
     change = np.zeros(len(found.data) + 1, np.int64)
     order = np.argsort(stretches.of_run, kind="stable")
-    runs_from = np.searchsorted(stretches.of_run[order], np.arange(len(stretches.texts) + 1))
+    runs_from = np.searchsorted(stretches.of_run[order], np.arange(len(stretches.start) + 1))
     for b, members in stretches.by_bucket():
         if b not in answers:
             continue
@@ -379,16 +444,15 @@ def covered(chunk: Chunk, stretches: Stretches, answers: dict[int, bytes], thres
         n = runs_from[stretch + 1] - runs_from[stretch]
         k = np.repeat(np.arange(len(a)), n)
         run = order[runs_from[stretch][k] + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        r = stretches.runs[run]
-        goes = chunk.ids[found.doc[r]] > a["least"][k]
-        r, k = r[goes], k[goes]
-        np.add.at(change, found.first[r] + a["first"][k], 1)
-        np.add.at(change, found.first[r] + a["last"][k] + threshold, -1)
+        goes = chunk.ids[stretches.doc[run]] > a["least"][k]
+        run, k = run[goes], k[goes]
+        np.add.at(change, stretches.first[run] + a["first"][k], 1)
+        np.add.at(change, stretches.first[run] + a["last"][k] + threshold, -1)
     return np.cumsum(change[:-1]) > 0
 
 
 def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_bytes: int, bucket_bytes: int,
-           schema: StructType, finish) -> DataFrame:
+           part_windows: int, schema: StructType, finish) -> DataFrame:
     """Steps 1 to 4; ``finish(chunk, gone)`` makes the batch that a chunk returns."""
     if threshold < 16:
         raise ValueError("windows shorter than 16 bytes are not supported")
@@ -397,37 +461,46 @@ def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_byte
     chunks = freeze(make_chunks(df, text_col, chunk_bytes), "chunks")
     total = chunks.agg(F.sum("size")).first()[0] or 0
     buckets = max(64, -(-total // bucket_bytes))
+    most_windows = threshold - anchor + 1  # of a stretch
 
     def opened(rows):
         return Chunk(rows, id_at, text_at, threshold, anchor)
 
     def send_hashes(batches):
+        codec = pa.Codec("zstd")
         for b in batches:
             for chunk, rows in one_by_one(b):
-                hashes, many = anchor_hashes(opened(rows))
-                out = [(k, chunk, _low40(hashes[s:e]), np.packbits(many[s:e]).tobytes())
+                c = opened(rows)
+                hashes, many = anchor_hashes(c)
+                counts = stretch_counts(c, hashes, threshold).astype("<u4")
+                out = [(k, chunk, _low40(hashes[s:e]), np.packbits(many[s:e]).tobytes(), codec.compress(counts[s:e].tobytes(), asbytes=True))
                        for k, s, e in _by_bucket(bucket_of(hashes, buckets))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    ["bucket", "chunk", "hashes", "many"])
+                    [pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int32(), pa.int64(), *[pa.binary()] * 3))],
+                    ["bucket", "chunk", "hashes", "many", "counts"])
     masks = freeze(chunks.select("chunk", "rows")
-                   .mapInArrow(send_hashes, "bucket int, chunk bigint, hashes binary, many binary")
-                   .groupBy("bucket").applyInArrow(shared_in_bucket, "chunk bigint, bucket int, mask binary"), "masks")
+                   .mapInArrow(send_hashes, "bucket int, chunk bigint, hashes binary, many binary, counts binary")
+                   .groupBy("bucket").applyInArrow(lambda t: shared_in_bucket(t, part_windows // most_windows),
+                                                   "chunk bigint, bucket int, mask binary, crowded binary, stretches bigint"), "masks")
+    crowd = masks.agg(F.sum("stretches")).first()[0] or 0
+    window_buckets = max(1, -(-crowd * most_windows * threshold // bucket_bytes))
     # an answer holds at most what its chunk sent, so these lists are as bounded as the chunk
-    by_chunk = masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
+    by_chunk = masks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "mask", "crowded")).alias("masks"))
 
-    def as_dict(entries, value):
-        return {x["bucket"]: x[value] for x in entries or ()}
+    def stretches_of(chunk, entries):
+        masks = {x["bucket"]: (x["mask"], x["crowded"]) for x in entries or ()}
+        return Stretches(chunk, masks, buckets, window_buckets, threshold)
 
     def send_stretches(batches):
         codec = pa.Codec("zstd")
         for b in batches:
             for chunk, rows, entries in one_by_one(b):
-                s = Stretches(opened(rows), as_dict(entries, "mask"), buckets, threshold)
+                c = opened(rows)
+                s, data = stretches_of(c, entries), c.found.data
                 out = []
                 for k, members in s.by_bucket():
-                    texts = [s.texts[i] for i in members.tolist()]
-                    out.append((k, chunk, np.array([len(t) for t in texts], "<u2").tobytes(), codec.compress(b"".join(texts), asbytes=True),
+                    texts = [data[i:i + n] for i, n in zip(s.start[members].tolist(), s.size[members].tolist())]
+                    out.append((k, chunk, s.size[members].astype("<u2").tobytes(), codec.compress(b"".join(texts), asbytes=True),
                                 s.low[members].astype("<i8").tobytes(), s.high[members].astype("<i8").tobytes(),
                                 s.part[members].tobytes()))
                 yield pa.RecordBatch.from_arrays(
@@ -443,7 +516,7 @@ def _dedup(df: DataFrame, id_col: str, text_col: str, threshold: int, chunk_byte
         for b in batches:
             for rows, entries, said in one_by_one(b):
                 chunk = opened(rows)
-                gone = (covered(chunk, Stretches(chunk, as_dict(entries, "mask"), buckets, threshold), as_dict(said, "answer"), threshold)
+                gone = (covered(chunk, stretches_of(chunk, entries), {x["bucket"]: x["answer"] for x in said}, threshold)
                         if said else np.zeros(len(chunk.found.data), bool))
                 yield finish(chunk, gone)
     return (chunks.select("chunk", "rows").join(by_chunk.join(to_chunk, "chunk"), "chunk", "left")
@@ -456,7 +529,7 @@ def spans_of(gone: np.ndarray) -> np.ndarray:
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD,
-                   chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                   chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, part_windows: int = PART_WINDOWS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row.
 
     Each byte goes that is covered by a ``threshold``-byte string which also starts in a
@@ -476,11 +549,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.RecordBatch.from_arrays(
             [chunk.batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    return _dedup(pair, "doc_id", "text", threshold, chunk_bytes, bucket_bytes, schema, finish)
+    return _dedup(pair, "doc_id", "text", threshold, chunk_bytes, bucket_bytes, part_windows, schema, finish)
 
 
 def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars",
-                threshold: int = THRESHOLD, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                threshold: int = THRESHOLD, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES,
+                part_windows: int = PART_WINDOWS) -> DataFrame:
     """``df``, its columns unchanged, with repeated passages cut out of the texts.
 
     Parts of a character that a cut leaves behind go with it.  Rows of which nothing is
@@ -506,4 +580,4 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 lengths[i] = len(texts[i].decode())
             columns[length_at] = pa.array(lengths, b.schema.field(length_at).type)
         return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
-    return _dedup(df, id_col, text_col, threshold, chunk_bytes, bucket_bytes, df.schema, finish)
+    return _dedup(df, id_col, text_col, threshold, chunk_bytes, bucket_bytes, part_windows, df.schema, finish)

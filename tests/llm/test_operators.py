@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -125,6 +126,49 @@ def test_suffix_dedup_equals_brute_force(spark, texts):
     assert cut.columns == documents(spark, []).columns and all(r.text is None or r.n_chars == len(r.text) for r in cut.collect())
 
 
+def around_one_passage(rng, n):
+    """Texts of their own before and after a common passage; some of the texts are shared by a few."""
+    passage = sentence(rng, 25)
+    own = [f"{rng.getrandbits(400):x}" for _ in range(n)]
+    return [f"{own[i]} {passage} {rng.choice(own[:i + 1])}" for i in range(n)]
+
+
+@pytest.mark.parametrize("part_windows", [1, 200, 3000])
+def test_suffix_dedup_with_crowded_anchors_equals_brute_force(spark, texts, part_windows):
+    own = [*texts, *around_one_passage(random.Random(9), 150), "ab" * 200, "ab" * 300, "x" * 50]
+    order = [*range(len(own) - 3), 5, 5, 5]
+    random.Random(1).shuffle(order)
+    got = suffix_dedup.remove_repeats(documents(spark, own, order), chunk_bytes=9000, bucket_bytes=20_000, part_windows=part_windows)
+    assert sorted((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got.collect()) == brute_repeats(
+        [(i, (t or "").encode()) for i, t in zip(order, own)])
+
+
+def test_windows_around_one_anchor_are_dealt_out():
+    own, n, buckets, limit = around_one_passage(random.Random(9), 1200), 50, 8, 1500
+    chunks = [suffix_dedup.Chunk(suffix_dedup._pack(pa.record_batch([pa.array(range(at, at + 400)), pa.array(own[at:at + 400])], ["doc_id", "text"])), 0, 1, n, 24)
+              for at in range(0, 1200, 400)]
+    sent, masks = {}, [{}, {}, {}]
+    for c, chunk in enumerate(chunks):
+        h, many = suffix_dedup.anchor_hashes(chunk)
+        counts = suffix_dedup.stretch_counts(chunk, h, n).astype("<u4")
+        for b, s, e in suffix_dedup._by_bucket(suffix_dedup.bucket_of(h, buckets)):
+            sent.setdefault(b, []).append((b, c, suffix_dedup._low40(h[s:e]), np.packbits(many[s:e]).tobytes(), pa.Codec("zstd").compress(counts[s:e].tobytes(), asbytes=True)))
+
+    def largest(most):
+        for rows in sent.values():
+            for r in suffix_dedup.shared_in_bucket(pa.table(dict(zip(["bucket", "chunk", "hashes", "many", "counts"], zip(*rows))), schema=pa.schema(
+                    [("bucket", pa.int32()), ("chunk", pa.int64()), *((c, pa.binary()) for c in ("hashes", "many", "counts"))])), most).to_pylist():
+                masks[r["chunk"]][r["bucket"]] = r["mask"], r["crowded"]
+        group = {}
+        for chunk, m in zip(chunks, masks):
+            s = suffix_dedup.Stretches(chunk, m, buckets, 100, n)
+            for b, p, size in zip(s.bucket.tolist(), s.part.tolist(), s.size.tolist()):
+                group[b, p] = group.get((b, p), 0) + size - n + 1
+        return max(group.values())
+    assert largest(10**9) > 3 * limit  # all that is around one anchor together
+    assert largest(limit // 27) <= limit
+
+
 def test_rows_without_id_come_last_in_suffix_dedup(spark):
     t = "y" * 60
     got = suffix_dedup.remove_repeats(documents(spark, [t, t, t], [7, None, 7])).collect()
