@@ -5,8 +5,8 @@ loss-bearing tokens.  Whole sequences' worth of an example is cut off first; wha
 remains is placed by the dot-product heuristic: into the open sequence, of the
 examples that fit, the one whose demand vector has the largest dot product with
 the free capacity.  A gap that no example fits is filled with the head of one, so
-padding arises at most in a block's last sequence, which is split into
-sequences of power-of-two length instead.
+only a block's last sequence and those that the segment or loss limit closes stay short;
+they are split into sequences of power-of-two length, and no sequence needs padding.
 
 Blocks of examples (``BLOCK_TOKENS``) are packed one by one inside a task, in one
 pass over the input without a shuffle; a hot source or copies make no
@@ -82,8 +82,8 @@ def pack(examples: list[tuple[int, int]], capacity: int = CAPACITY, max_segments
     """Sequences of (example, start, length, offset) for ``(tokens, first
     loss-bearing token)`` examples: an example's tokens from that one on bear loss.
 
-    Every token lies in exactly one piece and every sequence keeps all three
-    limits."""
+    Every token lies in exactly one piece, every sequence keeps all three limits and holds
+    ``capacity`` tokens or a power of two."""
     if not (capacity > 0 and max_segments > 0 and max_loss > 0):
         raise ValueError("limits must be positive")
     sequences: list[list[tuple[int, int, int, int]]] = []
@@ -132,7 +132,7 @@ def pack(examples: list[tuple[int, int]], capacity: int = CAPACITY, max_segments
             sequence.append((e, s, length, capacity - int(free[0])))
             free -= (length, 1, loss(s, length, examples[e][1]))
         sequences.append(sequence)
-    return sequences[:-1] + in_powers(sequences[-1], capacity) if sequences else []
+    return [part for sequence in sequences for part in in_powers(sequence, capacity)]
 
 
 def most(start: int, first: int, tokens: int, max_loss: int) -> int:

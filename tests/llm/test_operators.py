@@ -295,6 +295,16 @@ def test_packing_keeps_all_limits(limits):
     assert seen == [n for n, _ in examples]
 
 
+@pytest.mark.parametrize("examples", [[(6, 0)] * 3000, [(2000, 0)] * 500 + [(6, 0)] * 5000, [(3, 0), (900, 0), (5, 1)] * 1000])
+@pytest.mark.parametrize("max_loss", [1024, 100])
+def test_no_sequence_of_many_short_texts_is_padded(examples, max_loss):
+    sequences = packing.pack(examples, max_loss=max_loss)
+    totals = [sum(p[2] for p in s) for s in sequences]
+    assert all(n <= 1024 and n.bit_count() == 1 for n in totals) and sum(totals) == sum(n for n, _ in examples)
+    assert all(len(s) <= 64 and sum(packing.loss(b, n, examples[e][1]) for e, b, n, _ in s) <= max_loss for s in sequences)
+    assert all([p[3] for p in s] == [0, *np.cumsum([p[2] for p in s])[:-1]] for s in sequences)
+
+
 def test_nearest_recall_and_exclusions(spark):
     rng = np.random.default_rng(6)
     x = np.concatenate([rng.normal(size=(600, 8)), np.tile(rng.normal(size=8), (300, 1))])
