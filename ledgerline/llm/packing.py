@@ -2,11 +2,12 @@
 
 Examples are placed under simultaneous limits on tokens, segments and
 loss-bearing tokens.  Whole sequences' worth of an example is cut off first; what
-remains is placed by the dot-product heuristic: into the open sequence, of the
-examples that fit, the one whose demand vector has the largest dot product with
-the free capacity.  A gap that no example fits is filled with the head of one, so
-only a block's last sequence and those that the segment or loss limit closes stay short;
-they are split into sequences of power-of-two length, and no sequence needs padding.
+remains is placed by the dot-product heuristic: into the open sequence, of all
+examples of the block that fit, the one whose demand vector has the largest dot
+product with the free capacity.  A gap that no example fits is filled with the head
+of one, so only a block's last sequence and those that the segment or loss limit
+closes stay short; they are split into sequences of power-of-two length, and no
+sequence needs padding.
 
 Blocks of examples (``BLOCK_TOKENS``) are packed one by one inside a task, in one
 pass over the input without a shuffle; a hot source or copies make no
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -33,8 +35,6 @@ from ledgerline.llm.text import slices
 CAPACITY, MAX_SEGMENTS, MAX_LOSS = 1024, 64, 1024
 #: Tokens that a block gathers before it is packed.
 BLOCK_TOKENS = 1_000_000
-#: Examples that the heuristic weighs at once; all others wait behind them.
-WEIGHED = 64
 #: Runs of white space from this length on; tiktoken's pattern fails on about a million characters of it.
 LONG_RUN = 100_000
 LONG_RUNS = regex.compile(rf"(?<!\s)\s{{{LONG_RUN},}}")
@@ -96,45 +96,51 @@ def pack(examples: list[tuple[int, int]], capacity: int = CAPACITY, max_segments
             start += length
         if start < tokens:
             rest.append((e, start))
-    demand = np.array([(examples[e][0] - s, 1, examples[e][0] - max(s, examples[e][1])) for e, s in rest], np.int64)
-    demand = demand.reshape(-1, 3)
-    order = np.argsort(-demand[:, 0], kind="stable")
+    # examples of one demand (tokens, loss) are alike: each distinct demand is weighed once
+    alike: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for e, s in reversed(rest):
+        alike.setdefault(demand(s, *examples[e]), []).append((e, s))
+    keys = sorted(alike)
+    waiting = [alike[k] for k in keys]
+    need, bears = np.array(keys, np.int64).reshape(-1, 2).T
     limits = np.array([capacity, max_segments, max_loss], np.int64)
-    relative = 1.0 / limits
-    waiting, head = order[:WEIGHED].copy(), WEIGHED
-    while len(waiting):
+    while keys:
         free, sequence = limits.copy(), []
-        while len(waiting) and free[0] and free[1]:
-            there = demand[waiting]
-            fits = (there <= free).all(1)
+        while keys and free[0] and free[1]:
+            fits = (need <= free[0]) & (bears <= free[2])
             if fits.any():
-                # dot product of relative demand and relative free capacity; ties: the first
-                at = int(np.argmax(np.where(fits, there @ (free * relative * relative), -1.0)))
-                i = waiting[at]
-                e, s = rest[i]
-                length = int(demand[i, 0])
-                if head < len(order):
-                    waiting[at] = order[head]
-                    head += 1
-                else:
-                    waiting = np.delete(waiting, at)
+                # dot product of relative demand and relative free capacity; ties: the largest
+                w = free / limits / limits
+                score = np.where(fits, need * w[0] + w[1] + bears * w[2], -1.0)
             else:  # no example fits whole: the head of the one that fills the gap best
-                lengths = [most(rest[i][1], examples[rest[i][0]][1], int(free[0]), int(free[2])) for i in waiting]
-                lengths = [min(n, int(demand[i, 0])) for n, i in zip(lengths, waiting)]
-                at = int(np.argmax(lengths))
-                length, i = lengths[at], waiting[at]
-                if not length:
-                    break
-                e, s = rest[i]
-                rest[i] = (e, s + length)
-                demand[i, 0] -= length
-                demand[i, 2] = examples[e][0] - max(s + length, examples[e][1])
+                score = np.minimum(free[0], need - bears + free[2])
+            at = len(keys) - 1 - int(np.argmax(score[::-1]))
+            length = int(need[at] if fits[at] else score[at])
+            if not length:
+                break
+            e, s = waiting[at].pop()
+            if not waiting[at]:
+                del keys[at], waiting[at]
+                need, bears = np.delete(need, at), np.delete(bears, at)
             sequence.append((e, s, length, capacity - int(free[0])))
             free -= (length, 1, loss(s, length, examples[e][1]))
+            if s + length < examples[e][0]:
+                left = demand(s + length, *examples[e])
+                at = bisect_left(keys, left)
+                if at == len(keys) or keys[at] != left:
+                    keys.insert(at, left)
+                    waiting.insert(at, [])
+                    need, bears = np.insert(need, at, left[0]), np.insert(bears, at, left[1])
+                waiting[at].append((e, s + length))
         sequences.append(sequence)
     return [part for sequence in sequences for part in in_powers(sequence, capacity)]
 
 
+def demand(start: int, tokens: int, first: int) -> tuple[int, int]:
+    """(tokens, loss tokens) of an example from ``start`` on."""
+    return tokens - start, tokens - max(start, first)
+
+
 def most(start: int, first: int, tokens: int, max_loss: int) -> int:
     """Longest piece from ``start`` with at most so many tokens and loss tokens."""
     return min(tokens, max(0, first - start) + max_loss)

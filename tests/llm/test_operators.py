@@ -305,6 +305,14 @@ def test_no_sequence_of_many_short_texts_is_padded(examples, max_loss):
     assert all([p[3] for p in s] == [0, *np.cumsum([p[2] for p in s])[:-1]] for s in sequences)
 
 
+def test_short_examples_fill_the_gaps_of_large_ones():
+    sequences = packing.pack([(1000, 0)] * 200 + [(24, 0)] * 200)
+    assert [[p[2] for p in s] for s in sequences] == [[1000, 24]] * 200
+    # the loss limit decides: an example without loss joins one that uses it up
+    sequences = packing.pack([(500, 0)] * 100 + [(524, 524)] * 100, max_loss=500)
+    assert [sorted(p[2] for p in s) for s in sequences] == [[500, 524]] * 100
+
+
 def test_nearest_recall_and_exclusions(spark):
     rng = np.random.default_rng(6)
     x = np.concatenate([rng.normal(size=(600, 8)), np.tile(rng.normal(size=8), (300, 1))])
