@@ -5,7 +5,9 @@
 * Every vector is indexed.  It joins the list of its nearest centroid and, near a boundary,
   those of up to ``COPIES - 1`` more (a centroid much nearer to one already taken than to the
   vector is passed over).
-* A query reads the lists whose centroid is at most ``ratio`` times as far as the nearest.
+* A query reads the lists whose centroid is at most ``ratio`` times as far as the nearest;
+  it walks the graph for them, wider until a centroid beyond that is found.  Of up to
+  ``4 * WIDTH`` centroids, and for a query that needs more than that many, all are scanned.
   The ratio is the smallest that finds ``TARGET`` of the true neighbours inside the sample,
   so it follows the data: few lists where clusters are clear, many where they aren't.
 * Distances are computed in double precision on the original vectors.
@@ -145,6 +147,25 @@ class CentroidGraph:
         rows, at = np.nonzero(take)
         return rows, ids[rows, at]
 
+    def lists_to_read(self, x: np.ndarray, ratio: float, floor: float, size: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of the lists that each query reads: those within ``ratio``, and the nearest
+        until they hold ``enough`` vectors (``size``: vectors of each list)."""
+        out, left = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], np.arange(len(x))
+        for width in (WIDTH, 4 * WIDTH, len(self.c)):
+            d, ids = self.search(x[left], width)
+            held = np.where(np.isfinite(d), size[ids], 0)
+            near = (d <= ratio * np.maximum(d[:, :1], floor)) | (np.cumsum(held, 1) - held < enough)
+            near &= np.isfinite(d)
+            # the last one found is too far, so all others are; or there are no others
+            done = (~near[:, -1] & np.isfinite(d[:, -1])) | (width >= len(self.c))
+            rows, where = np.nonzero(near & done[:, None])
+            out.append((left[rows], ids[rows, where]))
+            left = left[~done]
+            if not len(left):
+                break
+        rows, lists = (np.concatenate(c) for c in zip(*out))
+        return rows, lists
+
 
 def fit_ratio(x: np.ndarray, graph: CentroidGraph, k: int) -> tuple[float, float]:
     """(ratio, floor): the smallest ratio that finds ``TARGET`` of the ``k`` nearest inside
@@ -230,11 +251,10 @@ def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
             if b.num_rows:
                 vectors = _matrix(b.column(1), dim)
                 for at in range(0, len(vectors), 1024):
-                    d, ids = shared.value.search(vectors[at:at + 1024], len(shared.value.c))
-                    before = np.cumsum(size[ids], 1) - size[ids]  # enough lists for k + 1 points at least
-                    rows, where = np.nonzero((d <= ratio * np.maximum(d[:, :1], floor)) | (before < COPIES * (k + 1)))
+                    # enough lists for k + 1 points at least
+                    rows, of = shared.value.lists_to_read(vectors[at:at + 1024], ratio, floor, size, COPIES * (k + 1))
                     take = pa.array(rows + at)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[rows, where], pa.int32()), b.column(0).take(take), b.column(1).take(take)],
+                    yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), b.column(0).take(take), b.column(1).take(take)],
                                                      ["list", "qid", "q"])
     queries = points.join(asked.select("pid").distinct(), "pid").select("pid", "v")
     probes = freeze(queries.mapInArrow(choose_lists, "list int, qid bigint, q array<double>"), "probes")

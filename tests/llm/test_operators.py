@@ -334,6 +334,28 @@ def test_nearest_recall_and_exclusions(spark):
     assert ann.nearest(df.limit(0)).collect() == [] and len(ann.nearest(df.filter("vec_id < 3")).collect()) == 2
 
 
+def test_queries_walk_the_graph_of_many_lists(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = (rng.normal(size=(60, 8)) * 6)[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, 8))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id bigint, embedding array<double>")
+    hits = 0
+    for r in ann.nearest(df, list_rows=10).groupBy("query_id").agg(F.collect_list("vec_id").alias("found")).collect():
+        d = ((x - x[r.query_id]) ** 2).sum(1)
+        d[r.query_id] = np.inf
+        hits += len(set(np.argsort(d)[:10].tolist()) & set(r.found))
+    assert hits / 400 >= 0.9
+    # the lists chosen are those of a scan, which few lists need not
+    graph = ann.CentroidGraph(x[:400])
+    size, q, ratio, floor = np.full(400, 10), x[400:900], 1.2, 0.5
+    d = np.sqrt(ann.squared(q, graph.c))
+    rank = np.argsort(np.argsort(d, axis=1), axis=1)
+    want = set(zip(*np.nonzero((d <= ratio * np.maximum(d.min(1)[:, None], floor)) | (rank * 10 < 44))))
+    monkeypatch.setattr(ann, "squared", None)  # no scan
+    rows, lists = graph.lists_to_read(q, ratio, floor, size, 44)
+    got = list(zip(rows, lists))
+    assert len(got) == len(set(got)) and len(want & set(got)) >= 0.97 * len(want) and len(set(got) - want) <= 0.03 * len(want)
+
+
 def labelled(spark, table):
     return spark.read.parquet(f"{SF.replace('0.001', '0.01')}/{table}.parquet")
 
