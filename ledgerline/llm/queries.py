@@ -9,10 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import ann, decontaminate, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
+from ledgerline.llm import alignment, ann, decontaminate, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
 from ledgerline.session import ensure_checkpoint_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: (verdict, host, path)
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
              ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -95,6 +96,12 @@ def op10_toxicity(table):
     return toxicity.score_toxicity(table("documents"), table("labels"))
 
 
+@query
+def op11_tokenizer_alignment(table):
+    """Links between two tokenizers' ids in every document."""
+    return alignment.align_tokenizers(table("documents"), VOCABULARY, PIECES)[0]
+
+
 ORACLE["op2_url_rules"] = """
 WITH parts AS (
   SELECT page_id, url, strpos(url, '://') AS mark, substr(url, strpos(url, '://') + 3) AS rest FROM pages),

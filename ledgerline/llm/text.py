@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,18 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, schema: str,
         for b in slices(batches):
             yield from fn(b.column(0), text_bytes(b.column(1)))
     return pair.mapInArrow(task, schema)
+
+
+def blocks(batches, size: int = 1 << 20, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """As :func:`slices`, each part of at most so many rows and, unless it is one row, so many
+    bytes in its last column (binary)."""
+    for b in batches:
+        lengths = pc.fill_null(pc.binary_length(b.column(b.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        at, held = 0, 0
+        for i, n in enumerate(lengths.tolist()):
+            if i > at and (held + n > size or i - at >= rows):
+                yield b.slice(at, i - at)
+                at, held = i, 0
+            held += n
+        if at < b.num_rows:
+            yield b.slice(at, b.num_rows - at)
