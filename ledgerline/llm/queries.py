@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import alignment, ann, decontaminate, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
+from ledgerline.llm import alignment, ann, decontaminate, filter_audit, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
 from ledgerline.session import ensure_checkpoint_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -102,6 +102,12 @@ def op11_tokenizer_alignment(table):
     return alignment.align_tokenizers(table("documents"), VOCABULARY, PIECES)[0]
 
 
+@query
+def op12_filter_audit(table):
+    """Removals of five filters under all their orders."""
+    return filter_audit.filter_audit(table("documents"), table("labels"))
+
+
 ORACLE["op2_url_rules"] = """
 WITH parts AS (
   SELECT page_id, url, strpos(url, '://') AS mark, substr(url, strpos(url, '://') + 3) AS rest FROM pages),
@@ -142,3 +148,40 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLE["op12_filter_audit"] = r"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM texts),
+firsts AS (SELECT text, min(doc_id) AS least FROM texts GROUP BY text),
+judged AS (
+  SELECT part,
+         list_filter([CASE WHEN len(words) < 200 THEN 'A' END,
+                      CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+                      CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' END,
+                      CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+                      CASE WHEN cut.doc_id > least THEN 'E' END], lambda f : f IS NOT NULL) AS names,
+         coalesce(cut.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+         coalesce(cut.doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+  FROM cut JOIN firsts USING (text)),
+groups AS (SELECT part, names, count(*) AS docs, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+           FROM judged GROUP BY part, names),
+letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+           FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT filter_order, step::INTEGER AS step, substr(filter_order, step::INTEGER, 1) AS f FROM orders, range(1, 6) AS r(step)),
+ended AS (SELECT filter_order, groups.*, list_min(list_transform(names, lambda f : strpos(filter_order, f))) AS gone
+          FROM groups, orders),
+counted AS (
+  SELECT part, filter_order, step, any_value(f) AS f,
+         sum(docs) FILTER (WHERE gone IS NULL OR gone > step) AS kept, sum(docs) FILTER (WHERE gone = step) AS removed,
+         sum(docs) FILTER (WHERE gone < step AND list_contains(names, f)) AS redundant,
+         sum(docs) FILTER (WHERE names = [f]) AS unique_fails,
+         sum(good) FILTER (WHERE gone = step) AS good_lost, sum(toxic) FILTER (WHERE gone = step) AS toxic_lost
+  FROM ended JOIN steps USING (filter_order) GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM counted
+"""
