@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import alignment, ann, decontaminate, filter_audit, licenses, packing, quality, simhash, suffix_dedup, token_counts, toxicity, url_rules
+from ledgerline.llm import alignment, ann, decontaminate, filter_audit, licenses, packing, quality, simhash, suffix_dedup, token_counts, token_store, toxicity, url_rules
 from ledgerline.session import ensure_checkpoint_dir
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -108,6 +108,14 @@ def op12_filter_audit(table):
     return filter_audit.filter_audit(table("documents"), table("labels"))
 
 
+@query
+def op13_token_store(table):
+    """Every document's ids, written to binary files and read back."""
+    docs = table("documents")
+    stored = token_store.read_tokens(docs.sparkSession, token_store.write_tokens(docs, VOCABULARY, end_id=2))
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 ORACLE["op2_url_rules"] = """
 WITH parts AS (
   SELECT page_id, url, strpos(url, '://') AS mark, substr(url, strpos(url, '://') + 3) AS rest FROM pages),

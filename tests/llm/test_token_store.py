@@ -1,0 +1,111 @@
+"""Operator 13: exact round trips against the tokenizers library."""
+
+import glob
+import os
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.errors import PythonException
+from tokenizers import Tokenizer
+
+from ledgerline.llm import queries
+from ledgerline.llm.library_ids import LibraryIds
+from ledgerline.llm.token_store import FileReader, fetch_documents, read_tokens, train, write_tokens
+from tests.llm.test_operators import SF, VOCABULARY, documents, texts  # noqa: F401
+
+ODD = ["a<|endoftext|> b", "x   \n y", " lead", "trail ", "two  spaces", "    z", "'s 'll don't", "１２Ⅷ漢字\U0001f600", "a\n\n b \tc", "\n", " "]
+
+
+def library(own):
+    t = Tokenizer.from_file(VOCABULARY)
+    return [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in own]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_ids_equal_the_library(texts):
+    own = [t or "" for t in texts] + ODD
+    encode = LibraryIds(VOCABULARY, remembered=40)
+    for _ in range(2):  # the second time from what it remembers
+        got = [np.frombuffer(x, "<u2").tolist() for x in encode(own)]
+        assert got == [x[:-1] for x in library(own)]
+
+
+def test_store_gives_back_every_id_in_order(spark, texts, tmp_path):
+    own = [*texts, *ODD, *ODD]
+    ids = [97 * i % 1009 - 300 for i in range(len(own))]
+    path = write_tokens(documents(spark, own, ids), VOCABULARY, f"file:{tmp_path}/store", file_bytes=300)
+    rows = [tuple(r) for r in read_tokens(spark, path).collect()]
+    start = 0
+    assert len(rows) == len(own) and len(glob.glob(f"{tmp_path}/store/ids-*")) > 5
+    for (i, x), row in zip(sorted(zip(ids, library(own))), sorted(rows, key=lambda r: r[1])):
+        assert (row[0], row[1], row[2]) == (i, start, len(x)) and np.frombuffer(row[3], "<u4").tolist() == x
+        start += len(x)
+
+
+def test_store_keeps_repeated_and_missing_ids(spark, tmp_path):
+    own = ["same", "same", "other words", "none", None, "last"]
+    path = write_tokens(documents(spark, own, [5, 5, 5, None, None, 9]), VOCABULARY, f"{tmp_path}/store")
+    rows = sorted(map(tuple, read_tokens(spark, path).collect()), key=lambda r: r[1])
+    assert [r[0] for r in rows] == [5, 5, 5, 9, None, None]
+    assert [r[1] for r in rows] == np.cumsum([0, *(r[2] for r in rows)])[:-1].tolist()
+    assert sorted(np.frombuffer(r[3], "<u4").tolist() for r in rows) == sorted(library(own))
+
+
+def test_short_documents_are_read_alone(spark, tmp_path, texts):
+    path = write_tokens(documents(spark, texts), VOCABULARY, f"{tmp_path}/store", file_bytes=3000)
+    wanted = [3, 17, 30, 10_000]
+    got = {r.doc_id: (r.n_tokens, r.ids) for r in fetch_documents(spark, path, wanted).collect()}
+    assert got == {i: (len(x), x) for i, x in enumerate(library(texts)) if i in wanted}
+
+
+def test_store_of_an_empty_table(spark, tmp_path):
+    path = write_tokens(documents(spark, ["x"]).limit(0), VOCABULARY, f"{tmp_path}/store")
+    assert read_tokens(spark, path).count() == 0 and fetch_documents(spark, path, [1]).count() == 0
+
+
+def test_files_of_lost_attempts_are_not_read(spark, tmp_path):
+    path = write_tokens(documents(spark, ["one", "two"]), VOCABULARY, f"{tmp_path}/store")
+    name = os.path.basename(glob.glob(f"{tmp_path}/store/ids-*")[0])
+    whole = open(f"{tmp_path}/store/{name}", "rb").read()
+    open(f"{tmp_path}/store/ids-000000-0000-lost.bin", "wb").write(whole[:-9])
+    assert read_tokens(spark, path).count() == 2
+    for at in (20, 40):  # in the footer, in the index
+        open(f"{tmp_path}/store/{name}", "wb").write(whole[:-at] + b"x" + whole[1 - at:])
+        with pytest.raises(ValueError, match="not a whole file"):
+            FileReader(path, name)
+    with pytest.raises(PythonException):
+        read_tokens(spark, path).collect()
+
+
+def test_another_dictionary_is_refused(spark, tmp_path):
+    path = write_tokens(documents(spark, ["one", "two"]), VOCABULARY, f"{tmp_path}/store")
+    file = glob.glob(f"{tmp_path}/store/dictionary-*")[0]
+    open(file, "ab").write(b"x")
+    with pytest.raises(PythonException, match="hash"):
+        read_tokens(spark, path).collect()
+
+
+def test_dictionary_makes_short_documents_smaller(spark, tmp_path):
+    import random
+
+    import zstandard
+    rng = random.Random(1)
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "theta", "iota", "kappa", "lambda"]
+    arrays = LibraryIds(VOCABULARY)([" ".join(rng.choice(words) for _ in range(40)) for _ in range(2000)])
+    shared = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(train(arrays[:1000])))
+    alone = zstandard.ZstdCompressor()
+    assert sum(len(shared.compress(a)) for a in arrays[1000:]) < 0.8 * sum(len(alone.compress(a)) for a in arrays[1000:])
+    assert len(train([])) == 8 and train([b"abcdefgh" * 2]) == b"abcdefgh" * 2
+
+
+def test_registered_store_equals_the_library(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    want, start = [], 0
+    for r, x in zip(table, library([r.text for r in table])):
+        want.append((r.doc_id, start, len(x), crc(x)))
+        start += len(x)
+    assert sorted(map(tuple, queries.QUERIES["op13_token_store"](spark, SF).collect())) == want
