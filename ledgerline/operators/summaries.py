@@ -13,6 +13,7 @@ from ledgerline.sources.schemas import FINANCING
 from ledgerline.sources.sinks import (
     append_table, create_table_if_absent, replace_table, update_where,
 )
+from ledgerline.sources.versions import StoredTable
 
 
 def _cols(df: DataFrame, cols) -> list[str]:
@@ -104,6 +105,13 @@ def conditional_update(credit: DataFrame, low: int = 600, high: int = 650,
     return category_counts(updated, col)
 
 
+def stored_update(table: StoredTable, low: int = 600, high: int = 650, score: str = "CreditScore",
+                  col: str = "CustomerClass", value: str = "C") -> DataFrame:
+    """:func:`conditional_update` on a stored table: the update is written to it, then its
+    classes are counted."""
+    return category_counts(table.update(col, value, F.col(score).between(low, high)), col)
+
+
 def joined_group_mean(credit: DataFrame, customers: DataFrame, key: str = "CustomerID",
                       group: str = "CustomerClass", value: str = "Income",
                       name: str = "AverageIncome") -> DataFrame:

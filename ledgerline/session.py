@@ -104,13 +104,18 @@ def freeze(df: DataFrame, label: str = "frozen") -> DataFrame:
     files instead of recomputing a possibly different layout.  Parquet keeps
     the copy columnar, so later passes read only the columns they need."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/ledgerline-{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, label)
     df.write.mode("error").parquet(path)
-    _frozen.append(path)
     return spark.read.parquet(path)
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new name under the checkpoint folder; :func:`release_frozen` deletes what is written there."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-{label}-{uuid.uuid4().hex}"
+    _frozen.append(path)
+    return path
+
+
 _frozen: list[str] = []
 
 
