@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ledgerline.functions.casts import clip, half_even
 from ledgerline.operators.positions import exact_median
+from ledgerline.operators.recurrence import running_balance
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
 FOLD_BLOCK = 64                  # months that the fold gathers before it sets them aside
@@ -43,7 +44,7 @@ def _step_fields(merged: DataFrame, key: str) -> list[str]:
 
 
 def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY_RATE,
-                  key: str = "LoanID", method: str = "fold") -> DataFrame:
+                  key: str = "LoanID", method: str = "prefix") -> DataFrame:
     """Month-by-month balances of every loan that has actual repayments.
 
     With B0 = LoanAmount, each month in ``Month`` order (NULLs last): interest = B*r,
@@ -53,9 +54,12 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
     whole roll-forward (interest accrues on the unrounded balance).  Ties on
     ``Month`` are broken by the paid amount.
 
-    ``method="fold"`` (default, at every history length): ``collect_list`` of the
-    loan's months, sorted, folded with ``aggregate`` -- the same floating-point
-    steps as a sequential loop.  Rows are gathered in blocks of ``FOLD_BLOCK``,
+    ``method="prefix"`` (default, at every history length):
+    :func:`~ledgerline.operators.recurrence.running_balance`, a parallel prefix over
+    range-sorted months; no task holds a loan as a whole.
+    ``method="fold"``: ``collect_list`` of the loan's months, sorted, folded with
+    ``aggregate`` -- the same floating-point steps as a sequential loop, one row per
+    loan; the check of the prefix.  Rows are gathered in blocks of ``FOLD_BLOCK``,
     so a long history is not copied once a month.
     ``method="closed_form"``: running sums and minima over a window
     (Lindley's reflection formula), a check of the fold on short, complete
@@ -66,7 +70,9 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
     (LoanAmount, ScheduledRepayment, ...), LoanBalanceStart, LoanBalanceEnd,
     InterestPayment."""
     merged = natural_join(actual, scheduled)
-    if method == "fold":
+    if method == "prefix":
+        rows = _prefix(merged, rate, key)
+    elif method == "fold":
         rows = _fold(merged, rate, key)
     elif method == "closed_form":
         rows = _closed_form(merged, rate, key)
@@ -79,6 +85,15 @@ def loan_balances(scheduled: DataFrame, actual: DataFrame, rate: float = MONTHLY
         half_even(F.col("_int"), 2).alias("InterestPayment"))
 
 
+def _prefix(merged: DataFrame, rate: float, key: str) -> DataFrame:
+    months = merged.select(key, *_step_fields(merged, key)).withColumn("_paid", F.col("ActualRepayment").cast("double"))
+    rows = running_balance(months, key, _ORDER_FIELDS, "LoanAmount", "_paid", rate)
+    interest = F.col("_start") * F.lit(rate)
+    new = (F.col("_start") + interest) - F.col("_paid")
+    end = F.when((new > 0) & ~F.isnan(new), new).otherwise(F.lit(0.0))
+    return rows.select("*", interest.alias("_int"), end.alias("_end"))
+
+
 def _bind(value, body):
     """``body(value)`` with the value computed once."""
     return F.transform(F.array(value), body)[0]
