@@ -1,0 +1,121 @@
+"""Walks over range-sorted layouts: leads over the edges of ranges and groups, dense ranks, hot groups."""
+
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from ledgerline.operators import ranking as rk
+from ledgerline.operators.ranges import begins, count_values, cyclic_lead, dense_rank, look_ahead, since
+
+
+def lead(data, k):
+    """(group, place) -> value k places on, round the group; from (group, place, value) rows."""
+    groups = {}
+    for g, o, v in sorted(data, key=lambda r: (r[0], r[1])):
+        groups.setdefault(g, []).append((o, v))
+    return {(g, o): own[(i + k) % len(own)][1] for g, own in groups.items() for i, (o, _) in enumerate(own)}
+
+
+@pytest.fixture
+def many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.fixture(scope="module")
+def data():
+    rng = random.Random(2)
+    # group 'hot' has most rows; others have one row, two, or some
+    sizes = {"hot": 700, "one": 1, "two": 2, "a": 40, "b": 97, "z": 3}
+    return [(g, o, rng.choice([None, *range(50)])) for g, n in sizes.items() for o in rng.sample(range(10_000), n)]
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 3, 5, 39, 97, 98, 250, 699, 700, 701, 5000, -1, -2, -60, -701])
+def test_lead_equals_brute_force_for_any_k(many_ranges, data, k):
+    df = many_ranges.createDataFrame(data, "g string, o int, v int").repartition(5)
+    got = {(r.g, r.o): r.w for r in cyclic_lead(df, "g", ["o"], "v", k, "w").collect()}
+    assert got == lead(data, k)
+
+
+def test_lead_beyond_what_a_walk_holds(many_ranges, data, monkeypatch):
+    monkeypatch.setattr("ledgerline.operators.ranges.LOOK_AHEAD", 4)
+    df = many_ranges.createDataFrame(data, "g string, o int, v int")
+    for k in (3, 4, 5, 60, -7):
+        assert {(r.g, r.o): r.w for r in cyclic_lead(df, "g", ["o"], "v", k, "w").collect()} == lead(data, k)
+
+
+def test_lead_descending_with_nulls_in_the_order(many_ranges):
+    data = [("g", 3, "c"), ("g", None, "n"), ("g", 1, "a"), ("g", 2, "b"), (None, 1, "x")]
+    df = many_ranges.createDataFrame(data, "g string, o int, v string")
+    forward = {r.v: r.w for r in cyclic_lead(df, "g", [("o", False)], "v", 1, "w").collect()}
+    assert forward == {"c": "b", "b": "a", "a": "n", "n": "c"}
+    backward = {r.v: r.w for r in cyclic_lead(df, "g", [("o", False)], "v", -1, "w").collect()}
+    assert backward == {w: v for v, w in forward.items()}
+    assert cyclic_lead(df.limit(0), "g", ["o"], "v", 2, "w").count() == 0
+
+
+def test_only_edge_rows_are_shuffled_after_the_sort(many_ranges, data):
+    """Rows that look elsewhere: at most k a range and group."""
+    df = many_ranges.createDataFrame(data, "g string, o int, v int").repartition(5)
+    out = cyclic_lead(df, "g", ["o"], "v", 2, "w")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and plan.count("Union") == 1
+    # the large branch of the union is a filter and a projection of the layout, without join, sort or exchange
+    branch = plan.split("Union")[1].split("Join")[0]
+    assert "Filter" in branch and "Window" not in branch and "Sort" not in branch
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_walks_do_not_depend_on_batches(seed):
+    rng = random.Random(seed)
+    data = sorted((rng.choice("abc"), rng.randrange(6)) for _ in range(rng.randrange(1, 60)))
+    k = rng.randrange(0, 8)
+
+    def batches(cuts):
+        return [pa.RecordBatch.from_pydict({"g": pa.array([r[0] for r in data[i:j]], pa.string()), "v": pa.array([r[1] for r in data[i:j]], pa.int64())})
+                for i, j in zip(cuts, cuts[1:])]
+    whole, cut = [0, len(data)], sorted({0, len(data), *(rng.randrange(len(data) + 1) for _ in range(6))})
+    for walk in (lambda b: look_ahead(b, "g", "v", k, ["g", "v"]), lambda b: count_values(b, "g", "v", ["g", "v"])):
+        one, many = ([r for b in walk(batches(c)) for r in b.to_pylist()] for c in (whole, cut))
+        assert one == many
+    for i, r in enumerate(r for b in look_ahead(batches(cut), "g", "v", k, ["g", "v"]) for r in b.to_pylist()):
+        inside = i + k < len(data) and data[i + k][0] == data[i][0]
+        assert (r["_found"], r["_value"]) == (inside, data[i + k][1] if inside else None)
+        assert r["_i"] == i - [x[0] for x in data].index(data[i][0])
+
+
+def test_beginnings_of_null_and_nan():
+    nan = float("nan")
+    column = pa.array([None, None, 1.0, nan, nan, 0.0, -0.0, None])
+    assert begins(column, None).tolist() == [True, False, True, True, False, True, False, True]
+    assert begins(column, pa.array([None], pa.float64())).tolist()[0] is False
+    assert since(begins(column, None), 0).tolist() == [0, 1, 0, 0, 1, 0, 1, 0]
+
+
+def test_dense_rank_over_the_edges_of_ranges(many_ranges):
+    rng = random.Random(6)
+    data = [("hot", rng.choice([0, 0, 0, *range(30)])) for _ in range(900)] + [(g, rng.randrange(4)) for g in ["a", "b", None] for _ in range(20)]
+    data += [("a", None), ("a", None), ("same", 5), ("same", 5)] + [("all", 7)] * 300
+    df = many_ranges.createDataFrame([(i, *r) for i, r in enumerate(data)], "i int, g string, v int").repartition(6)
+    got = {r.i: r.rank for r in dense_rank(df, "g", "v", "rank").collect()}
+    for i, (g, v) in enumerate(data):
+        larger = {w for h, w in data if h == g and w is not None and (v is None or w > v)}
+        assert got[i] == len(larger) + 1
+    assert dense_rank(df.limit(0), "g", "v", "rank").count() == 0
+
+
+def test_defaults_equal_the_other_methods(many_ranges):
+    rng = random.Random(8)
+    customers = many_ranges.createDataFrame([(i // 2, rng.randrange(90), rng.choice(["F", "F", "F", "M", None])) for i in range(400)],
+                                            "CustomerID int, Age int, Gender string").dropDuplicates()
+    for k in (2, -3):
+        halo, scan = (sorted(rows(rk.cyclic_shift(customers, k=k, order=("CustomerID", "Age"), method=m)), key=str) for m in ("halo", "scan"))
+        assert halo == scan
+    repayments = many_ranges.createDataFrame([(rng.randrange(220), rng.choice([None, 5, 10])) for _ in range(500)], "CustomerID int, Amount int")
+    corrected = rk.cyclic_shift(customers).filter(F.col("CustomerID") % 2 == 0)
+    walk, window = (sorted(rows(rk.rank_in_category(corrected, repayments, method=m)), key=str) for m in ("walk", "window"))
+    assert walk == window
