@@ -12,7 +12,7 @@ id pair's count is the number of documents that hold it linked.
   by pair.  The sums go back to the chunks that asked for them (a join that Spark can split), and each
   chunk adds up its documents' links.
 
-Texts are encoded once; what later steps need (distinct ids and pairs of each document) is written to the
+Texts are encoded once, word by word where that is exact; what later steps need (distinct ids and pairs of each document) is written to the
 checkpoint folder.  The driver sees vectors as long as vocabulary A, never pairs or documents.
 
 Odd rows: NULL and empty texts, and texts whose token bytes don't join to space + text under either
@@ -34,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.pretokens import byte_alphabet
+from ledgerline.llm.library_ids import REMEMBERED, STRUNG, Recent
+from ledgerline.llm.pretokens import AMBIGUOUS, byte_alphabet
 from ledgerline.llm.text import blocks, text_bytes
 from ledgerline.session import freeze
 
@@ -48,8 +49,8 @@ SCHEMA = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigin
 
 @lru_cache(maxsize=2)
 def tokenizers_of(path_a: str, path_b: str) -> SimpleNamespace:
-    """Both tokenizers, the bytes of their tokens, and the map from A ids to the B id of the same
-    bytes (-1: none)."""
+    """Both tokenizers, the bytes of their tokens, the map from A ids to the B id of the same
+    bytes (-1: none), and whether no piece of B goes on over a space."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import sentencepiece
     from tokenizers import Tokenizer
@@ -69,58 +70,139 @@ def tokenizers_of(path_a: str, path_b: str) -> SimpleNamespace:
     of_b = [bytes_b(i) for i in range(b.get_piece_size())]
     by_bytes = {x: i for i, x in enumerate(of_b)}  # of several (a byte piece and a letter), the last
     separators = [f"{i}{s}".encode() for n, last in ((len(of_a), "|"), (len(of_b), ";")) for i in range(n) for s in (",", last)]
-    return SimpleNamespace(a=a, b=b, of_a=of_a, of_b=of_b, len_a=np.array([*map(len, of_a)]), len_b=np.array([*map(len, of_b)]),
+    pieces = [b.id_to_piece(i) for i in range(len(of_b))]
+    return SimpleNamespace(a=a, b=b, by_words=not any("▁" in p[1:] and p.strip("▁") for p in pieces), of_a=of_a, of_b=of_b, len_a=np.array([*map(len, of_a)]), len_b=np.array([*map(len, of_b)]),
                            same=np.array([by_bytes.get(x, -1) for x in of_a]), separators=np.array(separators, object))
 
 
-def runs(doc: np.ndarray, n: int) -> np.ndarray:
-    """Where each of ``n`` documents begins in a sorted column of document numbers, and its end."""
-    return np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
+def encode(units: list[str], t: SimpleNamespace) -> tuple[np.ndarray, ...]:
+    """A ids, their number for each text, B ids, their number for each text.  Texts that are empty or don't
+    equal the joined bytes of their tokens have none."""
+    ids_a = [e.ids for e in t.a.encode_batch_fast([" " + x for x in units], add_special_tokens=False)]
+    ids_b = t.b.encode(units, num_threads=1)
+    for i, x in enumerate(units):
+        whole = b" " + x.encode()
+        if not x or b"".join([t.of_a[k] for k in ids_a[i]]) != whole or b"".join([t.of_b[k] for k in ids_b[i]]) != whole:
+            ids_a[i], ids_b[i] = [], []
+    return tuple(x for ids in (ids_a, ids_b) for x in (np.fromiter(chain.from_iterable(ids), np.int64), np.array([*map(len, ids)], np.int64)))
 
 
-def align(texts: list[bytes], t: SimpleNamespace) -> dict[str, pa.Array]:
-    """The columns of ``_DOCS`` behind the id, for a block of texts.  A block is cut as one sequence:
-    the ends of its documents are cuts of both tokenizers."""
-    n = len(texts)
-    plain = [x.decode("utf-8", "replace") for x in texts]
-    ids_a = [e.ids for e in t.a.encode_batch_fast([" " + x for x in plain], add_special_tokens=False)]
-    ids_b = t.b.encode(plain, num_threads=1)
-    for i, x in enumerate(texts):
-        whole = b" " + x
-        if (not x or b"".join([t.of_a[k] for k in ids_a[i]]) != whole or b"".join([t.of_b[k] for k in ids_b[i]]) != whole):
-            ids_a[i], ids_b[i] = [], []
-    n_a, n_b = (np.fromiter(map(len, ids), np.int64, n) for ids in (ids_a, ids_b))
-    a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (ids_a, ids_b))
+def encode_words(words: list[str], t: SimpleNamespace) -> tuple[np.ndarray, ...] | None:
+    """:func:`encode` for words that stand alone between single spaces, strung together to texts of ``STRUNG``
+    words, whose ids are cut where the words end; None where a text differs from its tokens' bytes."""
+    texts = [" ".join(words[i:i + STRUNG]) for i in range(0, len(words), STRUNG)]
+    whole = "".join([" " + x for x in texts]).encode()
+    ends = np.cumsum([len(w.encode()) + 1 for w in words])
+    out: list[np.ndarray] = []
+    for ids, of, sizes in (([e.ids for e in t.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)], t.of_a, t.len_a),
+                           (t.b.encode(texts, num_threads=1), t.of_b, t.len_b)):
+        if b"".join([of[k] for row in ids for k in row]) != whole:
+            return None
+        flat_ids = np.fromiter(chain.from_iterable(ids), np.int64)
+        at = np.cumsum(sizes[flat_ids])
+        stop = np.searchsorted(at, ends)
+        if not np.array_equal(at[stop], ends):
+            return None
+        out += [flat_ids, np.diff(stop + 1, prepend=0)]
+    return tuple(out)
+
+
+def align(units: list[str], t: SimpleNamespace) -> list[tuple | None]:
+    """``n_a, n_b, groups, text of the groups, A ids of mapped links, pairs of the other links`` of each
+    text (ids as int32, pairs as int64 bytes); None where it has no tokens."""
+    alone = [bool(u) and " " not in u and not u[0].isspace() and not u[-1].isspace() for u in units] if t.by_words else [False] * len(units)
+    words, others = ([u for u, x in zip(units, alone) if x is want] for want in (True, False))
+    done = {True: iter(align_ids(encode_words(words, t) or encode(words, t), t) if words else ()),
+            False: iter(align_ids(encode(others, t), t) if others else ())}
+    return [next(done[x]) for x in alone]
+
+
+def align_ids(encoded: tuple[np.ndarray, ...], t: SimpleNamespace) -> list[tuple | None]:
+    """As :func:`align`, from the ids.  The texts are cut as one sequence: their ends are cuts of both tokenizers."""
+    a, n_a, b, n_b = encoded
+    n = len(n_a)
     end_a, end_b = np.cumsum(t.len_a[a]), np.cumsum(t.len_b[b])
-    doc_a, doc_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
+    unit_a = np.repeat(np.arange(n), n_a)
     # every stretch between neighbouring cuts is the overlap of one pair of occurrences: a link
-    cut = np.union1d(end_a, end_b)
+    cut = np.sort(np.concatenate([end_a, end_b]), kind="stable")  # two sorted runs
+    cut = cut[np.diff(cut, prepend=0) > 0]
     ia, ib = np.searchsorted(end_a, cut), np.searchsorted(end_b, cut)
     shared = (end_a[ia] == cut) & (end_b[ib] == cut)
-    doc, ends = doc_a[ia], cut[shared]
-    n_links, n_groups = np.bincount(doc, minlength=n), np.bincount(doc[shared], minlength=n)
+    unit, ends = unit_a[ia], cut[shared]
+    n_groups = np.bincount(unit[shared], minlength=n).tolist()
     # the groups' text: of each group its A ids, then its B ids
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
-    last_a, last_b = ends[group_a] == end_a, ends[group_b] == end_b
-    codes = np.concatenate([2 * a + last_a, 2 * len(t.of_a) + 2 * b + last_b])
+    codes = np.concatenate([2 * a + (ends[group_a] == end_a), 2 * len(t.of_a) + 2 * b + (ends[group_b] == end_b)])
     written = t.separators[codes[np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")]].tolist()
-    sha, at = [], 0
-    for size in (n_a + n_b).tolist():
-        sha.append(hashlib.sha256(b"".join(written[at:at + size])[:-1]).hexdigest() if size else "")
-        at += size
-    # links of each document: by A id where the ids map to one another, else by pair
+    # links by A id where the ids map to one another, else by pair
     xa, xb = a[ia], b[ib]
     mapped = t.same[xa] == xb
-    own, own_n = np.unique(doc[mapped] * len(t.of_a) + xa[mapped], return_counts=True)
-    pairs = len(t.of_a) * len(t.of_b)
-    odd = ~mapped
-    pair, pair_n = np.unique(doc[odd] * pairs + xa[odd] * len(t.of_b) + xb[odd], return_counts=True)
-    at_own, at_pair = runs(own // len(t.of_a), n), runs(pair // pairs, n)
+    own, pair = xa[mapped].astype("<i4").tobytes(), (xa * len(t.of_b) + xb)[~mapped].astype("<i8").tobytes()
+    at_own, at_pair = (np.searchsorted(unit[chosen], np.arange(n + 1)).tolist() for chosen in (mapped, ~mapped))
+    out, at = [], 0
+    for i, (x, y) in enumerate(zip(n_a.tolist(), n_b.tolist())):
+        out.append((x, y, n_groups[i], b"".join(written[at:at + x + y])[:-1], own[4 * at_own[i]:4 * at_own[i + 1]],
+                    pair[8 * at_pair[i]:8 * at_pair[i + 1]]) if x else None)
+        at += x + y
+    return out
+
+
+class Aligner:
+    """``texts -> records`` as :func:`align` has them, by the words of a text.
+
+    At a single space both tokenizers begin anew (see ``pretokens``; no piece of B goes on over a space), so a text
+    is the sequence of its words, and words met lately are remembered.  Texts in which spaces follow one another
+    or stand in longer white space, or that hold U+2581, are aligned whole."""
+
+    def __init__(self, t: SimpleNamespace, remembered: int = REMEMBERED):
+        self.t, self.recent = t, Recent(lambda units: align(units, t), remembered)
+
+    def units(self, text: str) -> list[str]:
+        words = text.split(" ")
+        return words if self.t.by_words and "" not in words and "▁" not in text and not AMBIGUOUS.search(text) else [text]
+
+    def __call__(self, texts: list[str]) -> list[list[tuple | None]]:
+        return self.recent([self.units(x) for x in texts])
+
+
+@lru_cache(maxsize=2)
+def aligner(path_a: str, path_b: str) -> Aligner:
+    """One per worker and pair of files."""
+    return Aligner(tokenizers_of(path_a, path_b))
+
+
+def counted(rows: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of each row and how often it has them: where each row's begin, values, counts."""
+    values = np.frombuffer(b"".join(rows), kind).astype(np.int64)
+    size = int(values.max()) + 1 if len(values) else 1
+    row = np.repeat(np.arange(len(rows)), [len(r) // int(kind[-1]) for r in rows])
+    keys, counts = np.unique(row * size + values, return_counts=True)
+    return np.searchsorted(keys, np.arange(len(rows) + 1) * size).astype(np.int32), keys % size, counts
+
+
+def digest(texts: list[bytes], align_units: Aligner) -> dict[str, pa.Array]:
+    """The columns of ``_DOCS`` behind the id."""
+    figures, sha, own, pair = [], [], [], []
+    for x, units in zip(texts, align_units([x.decode("utf-8", "replace") for x in texts])):
+        if not x or None in units:
+            figures.append((0, 0, 0))
+            sha.append("")
+            own.append(b"")
+            pair.append(b"")
+        else:
+            n_a, n_b, n_groups, groups, mapped, odd = zip(*units)
+            figures.append((sum(n_a), sum(n_b), sum(n_groups)))
+            sha.append(hashlib.sha256(b";".join(groups)).hexdigest())
+            own.append(b"".join(mapped))
+            pair.append(b"".join(odd))
+    n_a, n_b, n_groups = (pa.array(c, pa.int64()) for c in zip(*figures))
+    at_own, own_id, own_n = counted(own, "<i4")
+    at_pair, pair_id, pair_n = counted(pair, "<i8")
     lists = pa.ListArray.from_arrays
-    return {"n_a": pa.array(n_a), "n_b": pa.array(n_b), "n_groups": pa.array(n_groups), "n_links": pa.array(n_links),
-            "groups_sha256": pa.array(sha, pa.string()),
-            "own": lists(at_own, pa.array(own % len(t.of_a), pa.int32())), "own_n": lists(at_own, pa.array(own_n, pa.int32())),
-            "pair": lists(at_pair, pa.array(pair % pairs, pa.int64())), "pair_n": lists(at_pair, pa.array(pair_n, pa.int32()))}
+    return {"n_a": n_a, "n_b": n_b, "n_groups": n_groups,
+            "n_links": pa.array([len(x) // 4 + len(y) // 8 for x, y in zip(own, pair)], pa.int64()), "groups_sha256": pa.array(sha, pa.string()),
+            "own": lists(at_own, pa.array(own_id, pa.int32())), "own_n": lists(at_own, pa.array(own_n, pa.int32())),
+            "pair": lists(at_pair, pa.array(pair_id, pa.int64())), "pair_n": lists(at_pair, pa.array(pair_n, pa.int32()))}
 
 
 def flat(column) -> tuple[np.ndarray, np.ndarray]:
@@ -143,10 +225,10 @@ def align_tokenizers(df: DataFrame, vocabulary: str, model: str, id_col: str = "
     held = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"))
 
     def encode(batches):
-        t, chunk, size = tokenizers_of(vocabulary, model), TaskContext.get().partitionId() << 32, 0
+        align_units, chunk, size = aligner(vocabulary, model), TaskContext.get().partitionId() << 32, 0
         for b in blocks(batches):
             texts = text_bytes(b.column(1))
-            columns = align(texts, t)
+            columns = digest(texts, align_units)
             yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk] * len(texts), pa.int64()), "doc_id": b.column(0), **columns})
             size += sum(map(len, texts))
             if size >= chunk_bytes:
@@ -193,7 +275,7 @@ def align_tokenizers(df: DataFrame, vocabulary: str, model: str, id_col: str = "
         p, prow = flat(docs_of["pair"])
         for row, n, count, top in ((row, flat(docs_of["own_n"])[0], counts[a], best[a]),
                                    (prow, flat(docs_of["pair_n"])[0], known[np.searchsorted(pairs, p)], best[p // size_b])):
-            at = runs(row, rows)
+            at = np.searchsorted(row, np.arange(rows + 1))
             for out, values in ((n_best, n * (count == top)), (total, n * count)):
                 sums = np.concatenate([[0], np.cumsum(values)])
                 out += sums[at[1:]] - sums[at[:-1]]

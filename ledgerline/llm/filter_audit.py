@@ -8,8 +8,8 @@ order, or infinite if it is kept.  All counts of the audit are scatters over rem
 Texts are read once, in tasks, down to a digest and a mask; the filter for repeats compares a document with the
 least id that has its digest (SHA-256).  Documents with the same mask are alike under every order, so the
 product's rows are the masks of each part, at most 32 with the number of documents, good and toxic ones as weights.
-A third of all documents in one part, or as copies of one text, is one partly summed row per task for the counts
-and a join side that Spark splits for the repeats.
+A third of all documents in one part, or as copies of one text, is one partly summed row per task for the counts;
+the join that finds each text's first document is by digest and id, so copies are spread by their ids.
 
 Odd rows: NULL text is empty (no words: only the filter for few words fails, and that for repeats); NULL
 lang is the part ''.  A NULL id is no smaller and no larger than any id; rows of one id don't make one
@@ -105,8 +105,10 @@ def filter_audit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     first = docs.groupBy("digest").agg(F.min("doc_id").alias("least"))
     own = labels.groupBy(F.col("doc_id").cast("bigint").alias("labelled")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    repeat = F.when(F.col("doc_id") > F.col("least"), REPEAT).otherwise(0)
-    marked = (docs.join(first, "digest").select("doc_id", "part", F.col("mask").bitwiseOR(repeat).alias("mask"))
+    # by digest and id: copies of one text spread by their ids
+    original = docs.join(first.withColumnRenamed("digest", "text"), (F.col("digest") == F.col("text")) & (F.col("doc_id") == F.col("least")), "left")
+    repeat = F.when(F.col("doc_id").isNotNull() & F.col("least").isNull(), REPEAT).otherwise(0)
+    marked = (original.select("doc_id", "part", F.col("mask").bitwiseOR(repeat).alias("mask"))
               .join(own, F.col("doc_id") == F.col("labelled"), "left"))
     alike = marked.groupBy("part", "mask").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.coalesce("good", F.lit(0))).alias("good"),
                                               F.sum(F.coalesce("toxic", F.lit(0))).alias("toxic"))

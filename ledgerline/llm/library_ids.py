@@ -8,14 +8,44 @@ string, go to the library whole."""
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
 from ledgerline.llm.pretokens import AMBIGUOUS, load_vocabulary
 
-#: Pieces that a worker remembers, and the length from which on it doesn't.
-REMEMBERED, LONGEST = 100_000, 60
+#: Words that each generation of a worker's memory holds, and the length from which on a word isn't kept.
+REMEMBERED, LONGEST = 150_000, 60
+#: New words that go to the library as one text.
+STRUNG = 500
+
+
+class Recent:
+    """Values of the words met lately; those of new words are made many at a time.
+
+    Two generations of at most ``limit`` words: when the young one is full it becomes the old one, so frequent
+    words stay and a worker's memory does not grow with the corpus."""
+
+    def __init__(self, make: Callable[[list[str]], list], limit: int = REMEMBERED, longest: int = LONGEST):
+        self.make, self.limit, self.longest = make, limit, longest
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def __call__(self, rows: list[list[str]]) -> list[list]:
+        """The values of each row's words."""
+        young, old = self.young, self.old
+        missing = {w for row in rows for w in row if w not in young}
+        new = [w for w in missing if w not in old]
+        young.update((w, old[w]) for w in missing if w in old)
+        young.update(zip(new, self.make(new) if new else ()))
+        out = [[young[w] for w in row] for row in rows]
+        for w in new:
+            if len(w) > self.longest:
+                del young[w]
+        if len(young) > self.limit:
+            self.old, self.young = young, {}
+        return out
 
 
 def id_width(path: str) -> int:
@@ -33,9 +63,11 @@ class LibraryIds:
         from tokenizers import Tokenizer
 
         self.library, self.width = Tokenizer.from_file(path), id_width(path)
-        self.added = [*load_vocabulary(path)["added"]]
-        self.known: dict[str, bytes] = {}
-        self.remembered = remembered
+        spec = load_vocabulary(path)
+        self.added = [*spec["added"]]
+        sizes = {i: len(t) for t, i in spec["vocab"].items()} | {i: len(t.encode()) for t, i in spec["added"].items()}
+        self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
+        self.recent = Recent(self.encode, remembered)
 
     def pieces(self, text: str) -> list[str]:
         if AMBIGUOUS.search(text) or any(a in text for a in self.added):
@@ -44,22 +76,32 @@ class LibraryIds:
         return [first, *map(" ".__add__, rest)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        cut = [self.pieces(t) for t in texts]
-        new = {p for parts in cut for p in parts if p not in known}
-        known.update(zip(new, self.encode([*new])))
-        out = [b"".join([known[p] for p in parts]) for parts in cut]
-        if len(known) > self.remembered:
-            known.clear()
-        else:
-            for p in new:
-                if len(p) > LONGEST:
-                    del known[p]
-        return out
+        return [b"".join(ids) for ids in self.recent([self.pieces(t) for t in texts])]
 
     def encode(self, pieces: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(e.ids, kind).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        """Ids of each piece.  Words behind a space are strung together to texts of ``STRUNG`` words, whose ids are
+        cut where the words end; a call to the library for each word costs more than its ids."""
+        out: list[bytes | None] = [None] * len(pieces)
+        words = [i for i, p in enumerate(pieces) if stands_alone(p)]
+        for at in range(0, len(words), STRUNG):
+            own = words[at:at + STRUNG]
+            ids = np.array(self.library.encode("".join([pieces[i] for i in own]), add_special_tokens=False).ids)
+            ends = np.cumsum([len(pieces[i].encode()) for i in own])
+            stop = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            data, start = ids.astype(f"<u{self.width}").tobytes(), 0
+            for i, n in zip(own, (stop * self.width).tolist()):
+                out[i] = data[start:n]
+                start = n
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, e in zip(rest, self.library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
+            out[i] = np.array(e.ids, f"<u{self.width}").tobytes()
+        return out
+
+
+def stands_alone(piece: str) -> bool:
+    """A space and then a word that neither begins nor ends with white space: its tokens are the same wherever
+    such a piece stands behind another."""
+    return len(piece) > 1 and piece[0] == " " and not piece[1].isspace() and not piece[-1].isspace()
 
 
 @lru_cache(maxsize=2)
