@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ledgerline.functions.casts import clip, half_even
-from ledgerline.operators.positions import exact_median
+from ledgerline.operators.exact import exact_sums
 from ledgerline.operators.recurrence import running_balance
+from ledgerline.operators.selection import exact_median
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
 FOLD_BLOCK = 64                  # months that the fold gathers before it sets them aside
@@ -206,7 +207,8 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled", scope: str =
     portfolio's months, and the answer is finite at any size.  Variants of the exploratory drafts:
     ``"gross"`` subtracts the whole scheduled payment; ``"median"`` subtracts
     the global median scheduled principal (taken over all months) and clips
-    SMM to [0, 1]."""
+    SMM to [0, 1].  Sums are :func:`~ledgerline.operators.exact.exact_sums`: the answer is the same to the
+    last bit under any partitioning."""
     if scope not in ("loan_month", "month"):
         raise ValueError(f"unknown scope {scope!r}")
     paid = F.col("LoanBalanceStart") - F.col("LoanBalanceEnd")
@@ -223,24 +225,26 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled", scope: str =
     else:
         raise ValueError(f"unknown variant {variant!r}")
     if scope == "month":
-        by_month = (rows.filter(F.col("LoanBalanceStart") > 0)
-                    .select("Month", excess.alias("_x"), F.col("LoanBalanceStart").alias("_b"))
-                    .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-                    .select("Month", clip("_x", lower=0).alias("_x"), "_b").groupBy("Month")
-                    .agg((F.sum("_x") / F.sum("_b")).alias("_smm")))
+        cells = (rows.filter(F.col("LoanBalanceStart") > 0)
+                 .select("Month", excess.alias("_x"), F.col("LoanBalanceStart").alias("_b"))
+                 .filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+                 .select("Month", clip("_x", lower=0).alias("_x"), "_b"))
+        by_month = (exact_sums(cells, ["Month"], {"_x": F.col("_x"), "_b": F.col("_b")})
+                    .select(F.try_divide("_x", "_b").alias("_smm")))
         if variant == "median":
             by_month = by_month.select(clip("_smm", lower=0, upper=1).alias("_smm"))
-        mean = by_month.agg(F.expm1(F.avg(F.log1p("_smm"))).alias("_mean"))
+        mean = (exact_sums(by_month, [], {"_s": F.log1p("_smm")}, rows="_n")
+                .select(F.expm1(F.try_divide("_s", "_n")).alias("_mean")))
         yearly = (F.lit(1.0) - F.pow(F.lit(1.0) - F.col("_mean"), F.lit(12.0))) * F.lit(100.0)
         return mean.select(F.coalesce(yearly, F.lit(0.0)).alias(name))
-    # each step is its own column so clip() refers to it by name
+    # each step is its own column so clip() refers to it by name; Spark may divide before it filters
     months = (rows.filter(F.col("LoanBalanceStart") > 0)
               .select(excess.alias("_x"), F.col("LoanBalanceStart").alias("_b"))
-              .select((clip("_x", lower=0) / F.col("_b")).alias("_smm")))
+              .select(F.try_divide(clip("_x", lower=0), F.col("_b")).alias("_smm")))
     if variant == "median":
         months = months.select(clip("_smm", lower=0, upper=1).alias("_smm"))
     months = months.filter(F.col("_smm").isNotNull() & ~F.isnan("_smm"))
-    agg = months.agg(F.sum(F.log1p("_smm")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    agg = exact_sums(months, [], {"_s": F.log1p("_smm")}, rows="_n")
     smm_mean = F.expm1(F.col("_s") / F.lit(12.0))
     cpr = (F.lit(1.0) - F.pow(F.lit(1.0) - smm_mean, F.lit(12.0))) * F.lit(100.0)
     return agg.select(F.when(F.col("_n") == 0, F.lit(0.0)).otherwise(cpr).alias(name))
@@ -255,7 +259,8 @@ def expected_loss(balances: DataFrame, key: str = "LoanID", year_months: int = 1
     scheduled payment is the loan's first non-missing one; a loan without such
     months is not a default but is counted); the balance is the sum of start
     balances at month ``year_months + 1`` (0.0 when there is none).  One pass
-    per loan, then one global aggregate -- no cross join of scalars."""
+    per loan, then one global aggregate -- no cross join of scalars.  The balances are added
+    exactly; a loan's own payments, a year's rows that are only compared with its schedule, are a plain sum."""
     in_year = F.col("Month") <= year_months
     per_loan = balances.groupBy(key).agg(
         F.min_by(F.col("ScheduledRepayment"),
@@ -266,7 +271,8 @@ def expected_loss(balances: DataFrame, key: str = "LoanID", year_months: int = 1
     sy = F.col("_sched") * F.lit(12)
     ay = F.when(F.col("_has_year"), F.coalesce(F.col("_paid"), F.lit(0.0)))
     flag = _yearly_default(sy, ay)
-    summary = per_loan.agg(F.avg(flag.cast("int")).alias("_pd"),
-                           F.coalesce(F.sum("_next"), F.lit(0.0)).alias("_bal"))
+    # the flags are summed as whole numbers beside the balances
+    summary = exact_sums(per_loan, [], {"_d": flag.cast("double"), "_bal": F.col("_next")}, rows="_n")
+    pd = F.col("_d") / F.nullif(F.col("_n"), F.lit(0))
     return summary.select(
-        (F.col("_pd") * F.col("_bal") * F.lit(1.0 - recovery_rate)).alias(name))
+        (pd * F.coalesce("_bal", F.lit(0.0)) * F.lit(1.0 - recovery_rate)).alias(name))

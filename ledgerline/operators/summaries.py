@@ -154,7 +154,7 @@ def normalised_counts(customers: DataFrame, loans: DataFrame, key: str = "Custom
 
 
 def wide_extract(customers: DataFrame, credit: DataFrame, loans: DataFrame,
-                 key: str = "CustomerID", join_method: str = "split") -> DataFrame:
+                 key: str = "CustomerID", join_method: str = "salted") -> DataFrame:
     """The ``financing`` extract: customers LEFT JOIN credit LEFT JOIN loans,
     with every field cleaned through ``TRY_CAST(TRIM(x))``.  Customers without
     credit or loans keep one row with NULLs; duplicate keys fan out.  The LEFT

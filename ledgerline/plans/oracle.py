@@ -90,6 +90,10 @@ ROLE = {
                 THEN floor(o_totalprice)::DOUBLE + (1 - o_orderkey % 2) * 0.5::DOUBLE END AS Amount,
            o_custkey AS CustomerID, {typed('o_custkey', ZONES_AS_TYPED, len(ZONES_AS_TYPED))} AS TimeZone
     FROM orders)""",
+    "night_repayments": f"""night_repayments AS (
+    SELECT o_orderkey AS RepaymentID, o_orderdate::TIMESTAMP + to_hours(o_orderkey % 4) + to_minutes(o_orderkey % 60) AS RepaymentDate,
+           o_custkey AS CustomerID, {typed('o_custkey', ZONES_AS_TYPED, len(ZONES_AS_TYPED))} AS TimeZone
+    FROM orders)""",
     "loan_months": f"""pos_events AS (
     SELECT user_id, value, event_id,
            ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos
@@ -210,6 +214,12 @@ DAYS = ("days AS (SELECT CAST(range AS INTEGER) AS DayID, CAST(range AS VARCHAR)
 _REGION = ("CASE upper(trim(TimeZone)) "
            + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ZONE_ALIASES.items()) + " ELSE TimeZone END")
 LONDON_TS = f"coalesce(timezone('Europe/London', timezone({_REGION}, RepaymentDate)), RepaymentDate)"
+#: ``told``: night repayments with the instant that this engine takes, and whether the hour is skipped or repeated:
+#: a skipped time isn't the instant's own wall-clock time, a repeated one is also that of an hour before.
+TOLD = f"""told AS (
+    SELECT *, CASE WHEN timezone(region, instant) <> RepaymentDate THEN 'skipped'
+                   WHEN timezone(region, instant - INTERVAL 1 HOUR) = RepaymentDate THEN 'repeated' END AS ClockChange
+    FROM (SELECT *, {_REGION} AS region, timezone({_REGION}, RepaymentDate) AS instant FROM night_repayments))"""
 
 
 def sig9(x: str) -> str:

@@ -159,12 +159,26 @@ def monthly_repayments(spark: SparkSession, sf_dir: str) -> DataFrame:
     when = (F.col("o_orderdate").cast("timestamp_ntz")
             + F.make_dt_interval(F.lit(0), (F.lit(4) + key % 20).cast("int")))
     amount = F.floor("o_totalprice").cast("double") + F.when(key % 2 == 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    return o.select(
+        key.alias("RepaymentID"), when.alias("RepaymentDate"),
+        F.when(key % NO_AMOUNT != 0, amount).alias("Amount"), user.alias("CustomerID"), _typed_zone(user).alias("TimeZone"))
+
+
+def night_repayments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repayments in the first four hours of the day (orders), so that some fall into hours that a
+    clock change skips or repeats; zones as typed in."""
+    o = table(spark, sf_dir, "orders")
+    key, user = F.col("o_orderkey"), F.col("o_custkey")
+    when = (F.col("o_orderdate").cast("timestamp_ntz")
+            + F.make_dt_interval(F.lit(0), (key % 4).cast("int"), (key % 60).cast("int")))
+    return o.select(key.alias("RepaymentID"), when.alias("RepaymentDate"), user.alias("CustomerID"), _typed_zone(user).alias("TimeZone"))
+
+
+def _typed_zone(user) -> F.Column:
     zone = F.lit(None).cast("string")
     for i, name in enumerate(ZONES_AS_TYPED):
         zone = F.when(user % len(ZONES_AS_TYPED) == i, F.lit(name).cast("string")).otherwise(zone)
-    return o.select(
-        key.alias("RepaymentID"), when.alias("RepaymentDate"),
-        F.when(key % NO_AMOUNT != 0, amount).alias("Amount"), user.alias("CustomerID"), zone.alias("TimeZone"))
+    return zone
 
 
 def _annuity(amount) -> F.Column:

@@ -43,9 +43,19 @@ def _left_joins_on_key(p):
     return [ln for ln in p.splitlines() if "LeftOuter" in ln and "[CustomerID" in ln]
 
 
-def test_left_join_split_form_is_inner_plus_anti(spark):
+def test_left_joins_read_each_side_once_and_carry_a_salt(spark):
     p = q(spark, "wide_extract")
-    assert "LeftAnti" in p and not _left_joins_on_key(p)
+    assert "LeftAnti" not in p and "Union" not in p
+    assert len(_left_joins_on_key(p)) >= 2 and all("_salt" in ln for ln in _left_joins_on_key(p))
+
+
+def test_median_needs_no_range_exchange(spark):
+    from ledgerline.operators.selection import exact_median
+    df = spark.range(100).select((F.col("id") * 1.5).alias("x"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        spark.range(1).select(exact_median(df, "x")).explain()
+    assert "Exchange" not in buf.getvalue()
 
 
 def test_default_rates_need_no_roll_forward(spark):

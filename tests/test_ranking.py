@@ -62,7 +62,7 @@ def test_ordered_position_without_group(spark):
 
 def test_exact_median_with_heavy_repeats(spark):
     import numpy as np
-    from ledgerline.operators.positions import exact_median
+    from ledgerline.operators.selection import exact_median
     rnd = random.Random(9)
     for n in (1, 2, 7, 1000, 1001):
         vals = [5.0 if rnd.random() < 0.4 else float(rnd.randint(0, 30)) for _ in range(n)]

@@ -1,0 +1,97 @@
+"""Order statistics by selection, and sums that don't depend on the partitioning."""
+
+import math
+import random
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ledgerline.operators.exact import exact_sums, rounded_total
+from ledgerline.operators.selection import exact_median, order_statistics, ordered_bits, value_of
+
+
+def test_numbers_order_as_the_doubles():
+    values = [float("-inf"), -1e308, -2.5, -5e-324, 0.0, 5e-324, 1.0, np.nextafter(1.0, 2.0), 1e308, float("inf")]
+    numbers = ordered_bits(np.array(values)).tolist()
+    assert numbers == sorted(set(numbers))
+    assert [value_of(n) for n in numbers] == values
+    assert ordered_bits(np.array([-0.0])) == ordered_bits(np.array([0.0]))
+
+
+def test_statistics_of_close_values_and_both_signs(spark):
+    rnd = random.Random(3)
+    values = [1.0 + i * 2.0 ** -52 for i in range(40)] + [-rnd.random() * 10 ** rnd.randint(-300, 300) for _ in range(500)]
+    values += [0.0, -0.0, float("inf"), float("-inf")] + [7.25] * 250
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double").repartition(7)
+    ranks = [1, 2, 250, 400, 501, 503, 510, 545, 600, len(values)]
+    assert order_statistics(df, "x", lambda n: ranks if n == len(values) else []) == [sorted(values)[r - 1] for r in ranks]
+
+
+def test_median_of_no_one_and_two_values(spark):
+    for values, want in (([], None), ([None, float("nan")], None), ([-0.0], 0.0), ([3.0, -1.0], 1.0), ([5.0] * 10, 5.0)):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert spark.range(1).select(exact_median(df, "x")).first()[0] == want
+
+
+def nearest(values):
+    return float(sum(map(Fraction, values)))
+
+
+def test_sums_are_the_nearest_double_under_any_partitioning(spark):
+    rnd = random.Random(5)
+    values = [rnd.uniform(-1, 1) * 10 ** rnd.randint(-30, 30) for _ in range(3000)] + [1e300, -1e300, 5e-324, 0.1, -0.0]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "g int, x double")
+    want = {g: nearest(values[g::3]) for g in range(3)}
+    seen = set()
+    for parts in (1, 5, 16):
+        got = {r.g: (r.s, r.n) for r in exact_sums(df.repartition(parts), ["g"], {"s": F.col("x")}, rows="n").collect()}
+        assert {g: s for g, (s, _) in got.items()} == want
+        seen.add(tuple(sorted(got.items())))
+        assert exact_sums(df.repartition(parts), [], {"s": F.col("x")}).first().s == nearest(values)
+    assert len(seen) == 1
+
+
+def test_sums_of_odd_values(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = {"null": [None, None], "some": [None, 2.5], "nan": [nan, 1.0], "inf": [inf, 1.0], "minus": [-inf, 1.0], "both": [inf, -inf],
+             "tiny": [5e-324] * 3, "big": [1e308, 1e308], "cancel": [1e308, 1e308, -1e308], "zero": [0.0, -0.0]}
+    df = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k string, x double")
+    out = exact_sums(df, ["k"], {"s": F.col("x"), "twice": F.col("x") * 2}, rows="n")
+    got = {r.k: r for r in out.collect()}
+    assert got["null"].s is None and got["null"].n == 2 and got["some"].s == 2.5 and got["some"].twice == 5.0
+    assert math.isnan(got["nan"].s) and math.isnan(got["both"].s)
+    assert got["inf"].s == inf and got["minus"].s == -inf and got["big"].s == inf
+    assert got["tiny"].s == 1.5e-323 and got["cancel"].s == 1e308 and got["zero"].s == 0.0
+    empty = exact_sums(df.limit(0), [], {"s": F.col("x")}, rows="n").first()
+    assert empty.s is None and empty.n == 0
+    assert exact_sums(df.limit(0), ["k"], {"s": F.col("x")}).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(-1100, 970), st.integers(-2 ** 60, 2 ** 60)), min_size=1, max_size=20))
+def test_rounding_once(terms):
+    exact = sum((Fraction(m) * Fraction(2) ** p for p, m in terms), Fraction(0))
+    try:
+        want = float(exact)
+    except OverflowError:
+        want = math.copysign(float("inf"), exact)
+    assert rounded_total(*zip(*terms)) == want
+
+
+def test_rates_are_equal_to_the_last_bit_under_any_partitioning(spark):
+    from ledgerline.operators import loans as ln
+    rnd = random.Random(11)
+    rows = [(i // 24, i % 24 + 1, rnd.uniform(0, 90), 1000.0, 88.1, rnd.uniform(1, 1000), rnd.uniform(0, 900), rnd.uniform(0, 9))
+            for i in range(2400)]
+    b = spark.createDataFrame(rows, "LoanID int, Month int, ActualRepayment double, LoanAmount double, ScheduledRepayment double, "
+                                    "LoanBalanceStart double, LoanBalanceEnd double, InterestPayment double")
+    for f in (lambda x: ln.prepayment_cpr(x, scope="month"), lambda x: ln.prepayment_cpr(x, scope="month", variant="median"),
+              lambda x: ln.expected_loss(x)):
+        answers = {f(b.repartition(n)).first()[0] for n in (1, 3, 11)}
+        assert len(answers) == 1 and answers != {None}
+    total = nearest([r[5] for r in rows if r[1] == 13])
+    assert ln.expected_loss(b).first()[0] == pytest.approx(total * 0.2, rel=1e-12)
