@@ -54,8 +54,12 @@ def exact_sums(df: DataFrame, by: list[str], values: dict[str, Column], rows: st
     def total(powers: pd.Series, multiples: pd.Series) -> pd.Series:
         return pd.Series([rounded_total(p, m) for p, m in zip(powers, multiples)], dtype="float64")
 
-    # outer: the arrays are never empty, and Spark adds no filter that has every value computed twice
-    cells = df.select(*by, F.posexplode_outer(F.array(*[c.cast("double") for c in values.values()])).alias("_ei", "_ex"))
+    doubles = [c.cast("double") for c in values.values()]
+    if len(doubles) == 1:
+        cells = df.select(*by, F.lit(0).alias("_ei"), doubles[0].alias("_ex"))
+    else:
+        # outer: the arrays are never empty, and Spark adds no filter that has every value computed twice
+        cells = df.select(*by, F.posexplode_outer(F.array(*doubles)).alias("_ei", "_ex"))
     cells = cells.withColumn("_ep", _power(F.col("_ex")))
     bins = (cells.select(*by, "_ei", "_ep", _multiple(F.col("_ex"), F.col("_ep")).alias("_em"))
             .groupBy(*by, "_ei", "_ep").agg(F.coalesce(F.sum("_em"), F.lit(0)).cast("decimal(38,0)").alias("_em"), F.count(F.lit(1)).alias("_er")))

@@ -17,6 +17,7 @@ from ledgerline.functions.casts import clip, half_even
 from ledgerline.operators.exact import exact_sums
 from ledgerline.operators.recurrence import running_balance
 from ledgerline.operators.selection import exact_median
+from ledgerline.session import freeze
 
 MONTHLY_RATE = 0.1 / 12          # fixed value: 10 % a year, compounded monthly
 FOLD_BLOCK = 64                  # months that the fold gathers before it sets them aside
@@ -218,9 +219,11 @@ def prepayment_cpr(balances: DataFrame, variant: str = "scheduled", scope: str =
     elif variant == "gross":
         excess = paid - F.col("ScheduledRepayment")
     elif variant == "median":
-        med = exact_median(balances.select(
+        # read twice: by the selection and by the sums
+        rows = freeze(balances.select("Month", "LoanBalanceStart", "LoanBalanceEnd", "ScheduledRepayment", "InterestPayment"), "months")
+        med = exact_median(rows.select(
             (F.col("ScheduledRepayment") - F.col("InterestPayment")).alias("_sp")), "_sp")
-        rows = balances.withColumn("_med", med)       # the scalar is bound once
+        rows = rows.withColumn("_med", med)       # the scalar is bound once
         excess = paid - F.col("_med")
     else:
         raise ValueError(f"unknown variant {variant!r}")
