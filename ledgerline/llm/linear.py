@@ -28,11 +28,13 @@ def sigmoid(z):
 
 
 def fit(rows: Rows, labels: np.ndarray, weights: np.ndarray | None = None, l2: float = 1.0,
-        swaps: tuple[Rows, Rows] | None = None, swap_penalty: float = 0.0, steps: int = 300) -> tuple[np.ndarray, float]:
+        swaps: tuple[Rows, Rows] | None = None, swap_penalty: float = 0.0, steps: int = 300,
+        start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
     """(weights, bias) that minimise the mean log loss, ``l2`` / 2n times the squared
     weights and ``swap_penalty`` times the mean squared change of the score (log-odds)
-    between the two rows of each pair of ``swaps``.  Full-batch Adam: deterministic."""
-    w, bias, n = np.zeros(rows.width), 0.0, max(1, rows.n)
+    between the two rows of each pair of ``swaps``.  Full-batch Adam from ``start`` (zeros):
+    deterministic."""
+    (w, bias), n = (np.zeros(rows.width), 0.0) if start is None else start, max(1, rows.n)
     share = np.ones(rows.n) if weights is None else weights
     share = share / max(share.sum(), 1e-12)
     m, v = np.zeros(rows.width + 1), np.zeros(rows.width + 1)
@@ -57,13 +59,19 @@ def fit_scale(scores: np.ndarray, labels: np.ndarray) -> np.ndarray:
     (1, .., 0)."""
     x = np.column_stack([scores, np.ones(len(scores))])
     prior = np.append(np.ones(x.shape[1] - 1), 0.0)
+
+    def loss(c):
+        z = x @ c
+        return float((np.logaddexp(0.0, z) - labels * z).sum() + 0.5 * ((c - prior) ** 2).sum())
     c = prior.copy()
     for _ in range(50):
         p = sigmoid(x @ c)
         grad = x.T @ (p - labels) + (c - prior)
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.eye(x.shape[1])
-        step = np.linalg.solve(hess, grad)
-        c -= np.clip(step, -2, 2)
+        step, now, size = np.linalg.solve(hess, grad), loss(c), 1.0
+        while loss(c - size * step) > now and size > 1e-6:  # never uphill
+            size /= 2
+        c -= size * step
         if np.abs(step).max() < 1e-9:
             break
     return c

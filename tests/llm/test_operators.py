@@ -371,6 +371,58 @@ def test_quality_and_toxicity_on_held_out_rows(spark):
     assert np.mean([r.predicted == r.toxic for r in rows]) >= 0.9
 
 
+def test_both_views_pass_on_labels_and_every_round_adds(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    crc = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    views = quality._views(docs, "doc_id", "text", "lang", "source", "n_chars")
+    model, rows = quality.train(views, labels.filter(crc != 0), "doc_id", "quality", 20_000, 50, 3)
+    tally = {(turn, giver): sum(n for t, g, _, n in model.counts if (t, g) == (turn, giver)) for turn in range(3) for giver in (0, 1)}
+    assert all(0 < n <= 100 for n in tally.values())
+    assert {label for _, g, label, _ in model.counts if g == 0} == {0, 1}
+    assert rows.count() == docs.count()
+    held = quality.score_quality(docs, labels.filter(crc != 0)).join(labels.filter(crc == 0), "doc_id").toPandas()
+    y = held.quality.to_numpy()
+    loss = {c: -np.mean(np.log(np.where(y == 1, held[c], 1 - held[c]))) for c in ("text_score", "meta_score", "score")}
+    assert loss["score"] <= 1.1 * min(loss["text_score"], loss["meta_score"])
+
+
+def test_cut_of_a_view_equals_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        z, y = rng.integers(-6, 7, 60).astype(float), rng.integers(0, 2, 60)
+        y = np.where(rng.random(60) < 0.7, z > 0, y).astype(int)
+        for label in (0, 1):
+            beyond = {c: (z >= c if label else z <= c) for c in set(z)}
+            fits = [c for c, at in beyond.items() if at.sum() >= 10 and (y[at] == label).mean() >= 0.8 and (y[at] == label).mean() > (y == label).mean()]
+            want = (min if label else max)(fits, default=float("inf") if label else -float("inf"))
+            assert quality.sure_cut(z, y, label, 0.8, 10) == want
+
+
+def test_shape_of_a_text_equals_the_definition():
+    for t in (b"", b" \n", b"A", "Ab AB ab. aB\tC#\n\n\u00e9 AB AB".encode(), b"x | y | z\rQQ\x0bab."):
+        w, low = t.split(), t.lower().split()
+        got = dict(zip(quality.TEXT_FEATURES, quality.text_shape(t)))
+        if not w:
+            assert set(got.values()) == {0.0}
+            continue
+        up = lambda c: 65 <= c <= 90
+        assert got["capital starts"] == pytest.approx(np.mean([up(x[0]) for x in w]))
+        assert got["all capitals"] == pytest.approx(np.mean([len(x) > 1 and up(x[0]) and up(x[1]) for x in w]))
+        assert got["sign ends"] == pytest.approx(np.mean([quality.CLASSES[x[-1]] == 115 for x in w]))
+        assert got["distinct words"] == len(set(low)) / len(low) and got["most frequent word"] == max(map(low.count, low)) / len(low)
+
+
+def test_texts_odd_rows_and_clashing_columns_in_co_training(spark, texts):
+    rows = [(i, t, None if i % 3 else "en", None if i % 4 else "s", None if i % 5 else len(t or ""), 0.5, "r", "f", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0], (None, "no id", None, None, None, None, None, None, None)], DOCS)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(0, len(texts), 2)] + [(2, 1, 0), (4, 0, 0), (6, 1, 0), (8, 1, 0), (10, 1, 0), (12, None, 1)],
+                                   "doc_id bigint, quality int, toxic int")
+    got = quality.score_quality(docs, labels).collect()
+    assert len(got) == len(rows) + 2 and all(0 <= r.score <= 1 for r in got)
+    kept = quality.keep_quality(docs, labels)
+    assert kept.schema == docs.schema and kept.count() == sum(r.keep for r in got)
+
+
 def test_swapped_identity_terms_score_alike():
     rng = random.Random(8)
     rows = []
