@@ -4,7 +4,8 @@ One Aho-Corasick automaton finds notice phrases and identifier tags in a single
 pass over each text's words.  Where a tag (``SPDX-License-Identifier``) stands,
 the licence expression that follows it is read from the original text, brought to
 postfix order by a shunting-yard parser (``WITH`` binds tighter than ``AND``,
-``AND`` tighter than ``OR``) and evaluated to a permissiveness.
+``AND`` tighter than ``OR``) and evaluated to a permissiveness.  An operator or operand in
+lower case that isn't a listed identifier is prose and ends the expression.
 
 Map-only over (id, text): no shuffle, no skew.  The phrase list is a parameter
 and is not corpus-sized."""
@@ -36,13 +37,24 @@ TAG = "spdx license identifier"
 OPENNESS = {
     "public-domain": 1.0, "cc0": 1.0, "mit": 0.95, "bsd": 0.95, "apache": 0.9, "cc-by": 0.85, "cc-by-sa": 0.6,
     "mpl": 0.6, "lgpl": 0.5, "gpl": 0.35, "cc-by-nc": 0.2, "cc-by-nd": 0.2, "reserved": 0.0,
+    "artistic": 0.7, "boost": 0.95, "cddl": 0.6, "epl": 0.6, "eupl": 0.45, "gfdl": 0.4, "lppl": 0.7, "ms-pl": 0.7,
+    "ms-rl": 0.55, "odbl": 0.5, "ofl": 0.7, "osl": 0.4, "python": 0.9, "ruby": 0.85, "sspl": 0.2, "vim": 0.8, "zlib": 0.95,
 }
-#: Label of an expression's licence identifier, by its longest fitting beginning.
+#: Label of an expression's licence identifier, by its longest fitting beginning.
 IDENTIFIERS = {
-    "0bsd": "bsd", "agpl": "gpl", "apache": "apache", "bsd": "bsd", "cc-by": "cc-by", "cc-by-nc": "cc-by-nc",
-    "cc-by-nd": "cc-by-nd", "cc-by-sa": "cc-by-sa", "cc0": "cc0", "gpl": "gpl", "isc": "mit", "lgpl": "lgpl",
-    "mit": "mit", "mpl": "mpl", "unlicense": "public-domain",
+    "0bsd": "bsd", "afl": "apache", "agpl": "gpl", "apache": "apache", "artistic": "artistic", "bsd": "bsd",
+    "bsl": "boost", "cc-by": "cc-by", "cc-by-nc": "cc-by-nc", "cc-by-nc-nd": "cc-by-nc", "cc-by-nc-sa": "cc-by-nc",
+    "cc-by-nd": "cc-by-nd", "cc-by-sa": "cc-by-sa", "cc0": "cc0", "cddl": "cddl", "cecill": "gpl",
+    "cecill-b": "bsd", "cecill-c": "lgpl", "cpl": "epl", "ecl": "apache", "epl": "epl", "eupl": "eupl",
+    "gfdl": "gfdl", "gpl": "gpl", "isc": "mit", "lgpl": "lgpl", "lppl": "lppl", "mit": "mit", "mit-0": "mit",
+    "mpl": "mpl", "ms-pl": "ms-pl", "ms-rl": "ms-rl", "ncsa": "mit", "odbl": "odbl", "odc-by": "cc-by",
+    "ofl": "ofl", "openssl": "bsd", "osl": "osl", "pddl": "public-domain", "php": "bsd", "postgresql": "mit",
+    "psf": "python", "python": "python", "ruby": "ruby", "sspl": "sspl", "unicode": "mit",
+    "unlicense": "public-domain", "upl": "mit", "vim": "vim", "w3c": "mit", "wtfpl": "public-domain",
+    "x11": "mit", "zlib": "zlib", "zpl": "bsd",
 }
+#: Words that end every exception that may stand after WITH.
+EXCEPTION_ENDS = ("exception", "addition", "linking", "note", "permission")
 UNKNOWN = 0.5  # openness of an identifier or label that is not listed
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 TAG_TEXT = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[ \t]*[:=]?[ \t]*")
@@ -83,8 +95,15 @@ def to_postfix(tokens: list[str]) -> list[str] | None:
     return out + held[::-1]
 
 
+def in_prose(token: str) -> bool:
+    """Whether an operand can't be told from a word of running text: a lower-case word (or one
+    with a capital first letter) without a digit that is no listed identifier."""
+    return token[1:].islower() and token.isalpha() and identifier_label(token) is None
+
+
 def read_expression(text: str, at: int) -> list[str]:
-    """Tokens of the longest well-formed expression that starts at ``at``."""
+    """Tokens of the longest well-formed expression that starts at ``at``.  The first operand
+    may be any word; after a lower-case operator, or in a group, prose ends the expression."""
     tokens, ends, depth = [], [], 0
     operand = True
     while m := TOKEN.match(text, at):
@@ -92,6 +111,13 @@ def read_expression(text: str, at: int) -> list[str]:
         is_op = t.lower() in PRECEDENCE
         if (t == "(" or not (is_op or t == ")")) != operand or t == ")" and not depth:
             break
+        if operand and t != "(" and tokens:
+            after = next((x for x in reversed(tokens) if x != "("), "")
+            if after.lower() == "with":
+                if not t.lower().startswith("licenseref") and not any(e in t.lower().split("-") for e in EXCEPTION_ENDS):
+                    break
+            elif in_prose(t):
+                break
         depth += (t == "(") - (t == ")")
         operand = is_op or t == "("
         tokens.append(t)
@@ -111,18 +137,19 @@ def identifier_label(token: str) -> str | None:
 
 def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
     """(openness, labels): ``or`` lets the reader choose the freer side, ``and``
-    binds to the stricter, ``with`` (an exception) goes half way towards free."""
+    binds to the stricter, ``with`` (an exception) goes half way towards free.  The label of
+    an identifier that isn't listed is the identifier itself, in lower case."""
     stack: list[tuple[float, set[str]]] = []
     for t in postfix:
         if t in PRECEDENCE:
             (b, right), (a, left) = stack.pop(), stack.pop()
-            if t == "with":
+            if t == "with":  # the exception isn't a licence
                 stack.append(((1 + a) / 2, left))
             else:
                 stack.append(((max if t == "or" else min)(a, b), left | right))
         else:
-            label = identifier_label(t)
-            stack.append((OPENNESS.get(label, UNKNOWN), {label} - {None}))
+            label = identifier_label(t) or t.lower()
+            stack.append((OPENNESS.get(label, UNKNOWN), {label}))
     return stack[0]
 
 
@@ -155,7 +182,7 @@ def scan(data: bytes, base: dict[str, str], notices: dict[str, str]) -> tuple:
             starts.append(word)
             base_labels.add(base[phrase])
         labels.add(base.get(phrase) or notices[phrase])
-    opennesses, expressions = [], []
+    opennesses, expressions, noticed, judged = [], [], set(labels), set()
     if tagged:
         original = data.decode()
         lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in original)
@@ -165,9 +192,10 @@ def scan(data: bytes, base: dict[str, str], notices: dict[str, str]) -> tuple:
                 openness, of = evaluate(postfix)
                 opennesses.append(openness)
                 labels |= of
+                judged |= of
                 expressions.append(" ".join(tokens))
-    if not opennesses:  # an expression that was read says more than the phrases around it
-        opennesses = [OPENNESS.get(x, UNKNOWN) for x in labels]
+    # notices bind beside expressions, but for those that name a licence the expressions judge already
+    opennesses += [OPENNESS.get(x, UNKNOWN) for x in noticed - judged]
     score = 1.0 - min(opennesses) if opennesses else 0.0
     return (len(found_words), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, expressions)
@@ -184,9 +212,10 @@ def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``n_base`` counts the places where a base phrase's words stand one after
     another (overlaps count), ``first_word``/``last_word`` are the smallest and
     largest of their start words (NULL without any).  ``labels`` adds the method's
-    notices and the identifiers of tagged expressions.  ``score`` is how
-    restrictive the strictest expression is, or without one the strictest notice
-    (1 - openness; 0 without a licence).
+    notices and the identifiers of tagged expressions.  ``score`` is how restrictive the
+    strictest of them is (1 - openness; 0 without a licence); a notice of a licence that an
+    expression names is judged within the expression alone.  ``expressions`` are those that
+    were read, in order.
     Malformed expressions are passed over; NULL and empty texts find nothing."""
     base = {" ".join(k.split()): v for k, v in (BASE if base is None else base).items()}
     notices = {" ".join(k.split()): v for k, v in (NOTICES if notices is None else notices).items()}

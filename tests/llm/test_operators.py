@@ -235,6 +235,46 @@ def test_licence_expressions():
     assert licenses.evaluate(licenses.to_postfix("MIT AND GPL-3.0".split())) == (0.35, {"mit", "gpl"})
 
 
+TAGGED = [
+    ("SPDX-License-Identifier: Apache-2.0 and the rest", ["Apache-2.0"], 0.1, "apache"),
+    ("SPDX-License-Identifier: Apache-2.0 or MIT, whichever", ["Apache-2.0 or MIT"], 0.05, "apache,mit"),
+    ("spdx license identifier = MIT\nAll rights reserved", ["MIT"], 1.0, "mit,reserved"),
+    ("SPDX-License-Identifier: (MIT AND EPL-2.0) OR Zlib", ["( MIT AND EPL-2.0 ) OR Zlib"], 0.05, "epl,mit,zlib"),
+    ("SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0", ["GPL-2.0 WITH Classpath-exception-2.0"], 0.325, "gpl"),
+    ("SPDX-License-Identifier: GPL-2.0 with thanks to all", ["GPL-2.0"], 0.65, "gpl"),
+    ("General Public License. SPDX-License-Identifier: MIT OR GPL-3.0", ["MIT OR GPL-3.0"], 0.05, "gpl,mit"),
+    ("SPDX-License-Identifier: LicenseRef-Own AND (MIT", ["LicenseRef-Own"], 0.5, "licenseref-own"),
+    ("SPDX-License-Identifier: ( ) MIT", [], 0.0, ""),
+    ("SPDX-License-Identifier:", [], 0.0, ""),
+    ("SPDX-License-Identifier: MIT. SPDX-License-Identifier: CC0-1.0", ["MIT", "CC0-1.0"], 0.05, "cc0,mit"),
+]
+
+
+def test_tagged_texts_through_the_scan(spark):
+    got = {r.doc_id: r for r in licenses.license_scan(documents(spark, [t for t, *_ in TAGGED])).collect()}
+    for i, (_, expressions, score, labels) in enumerate(TAGGED):
+        assert (got[i].expressions, got[i].labels) == (expressions, labels), TAGGED[i]
+        assert got[i].score == pytest.approx(score), TAGGED[i]
+
+
+def test_expressions_equal_a_recursive_evaluator(spark):
+    rng = random.Random(12)
+    names = {"MIT": 0.95, "GPL-3.0": 0.35, "MPL-2.0": 0.6, "Zlib": 0.95, "CC-BY-4.0": 0.85}
+
+    def grow(depth):
+        if not depth or rng.random() < 0.3:
+            name = rng.choice(list(names))
+            return (f"{name} WITH GCC-exception-3.1", (1 + names[name]) / 2) if rng.random() < 0.2 else (name, names[name])
+        (a, x), (b, y) = grow(depth - 1), grow(depth - 1)
+        op, value = rng.choice([("AND", min(x, y)), ("OR", max(x, y))])
+        return f"({a}) {op} ({b})", value
+    grown = [grow(4) for _ in range(60)]
+    got = {r.doc_id: r for r in licenses.license_scan(documents(spark, [f"x SPDX-License-Identifier: {t}\n" for t, _ in grown])).collect()}
+    for i, (text, value) in enumerate(grown):
+        assert got[i].score == pytest.approx(1 - value) and "".join(got[i].expressions).replace(" ", "") == text.replace(" ", "")
+    assert [licenses.evaluate(licenses.to_postfix(t.split()))[0] for t in ("MIT OR GPL-3.0 AND MPL-2.0", "GPL-3.0 AND MPL-2.0 OR MIT")] == [0.95, 0.95]
+
+
 def test_licence_places_equal_brute_force(spark):
     rng = random.Random(4)
     vocabulary = ["cc", "by", "general", "public", "license", "all", "rights", "reserved", "x", "CC,", "BY.", "nc"]
