@@ -28,11 +28,12 @@ def sigmoid(z):
 
 
 def fit(rows: Rows, labels: np.ndarray, weights: np.ndarray | None = None, l2: float = 1.0,
-        swaps: tuple[Rows, Rows] | None = None, swap_penalty: float = 0.0, steps: int = 300,
+        swaps: tuple[Rows, Rows, np.ndarray] | None = None, swap_penalty: float = 0.0, steps: int = 300,
         start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
     """(weights, bias) that minimise the mean log loss, ``l2`` / 2n times the squared
-    weights and ``swap_penalty`` times the mean squared change of the score (log-odds)
-    between the two rows of each pair of ``swaps``.  Full-batch Adam from ``start`` (zeros):
+    weights and ``swap_penalty`` / n times the squared change of the score (log-odds)
+    between the two rows of each pair of ``swaps`` (rows, rows, how often each pair stands):
+    a pair weighs as much as a labelled row.  Full-batch Adam from ``start`` (zeros):
     deterministic."""
     (w, bias), n = (np.zeros(rows.width), 0.0) if start is None else start, max(1, rows.n)
     share = np.ones(rows.n) if weights is None else weights
@@ -42,8 +43,8 @@ def fit(rows: Rows, labels: np.ndarray, weights: np.ndarray | None = None, l2: f
         error = (sigmoid(rows.dot(w) + bias) - labels) * share
         grad = rows.back(error) + l2 / n * w
         if swaps is not None and swaps[0].n:
-            change = swaps[1].dot(w) - swaps[0].dot(w)
-            grad += 2 * swap_penalty / swaps[0].n * (swaps[1].back(change) - swaps[0].back(change))
+            change = (swaps[1].dot(w) - swaps[0].dot(w)) * swaps[2]
+            grad += 2 * swap_penalty / n * (swaps[1].back(change) - swaps[0].back(change))
         g = np.append(grad, error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         delta = 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-10)
