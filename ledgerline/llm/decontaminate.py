@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.text import LOWER, slices, words
+from ledgerline.llm.text import LOWER, free_name, slices, words
 from ledgerline.session import freeze
 
 #: Words in a window.
@@ -118,10 +118,12 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, n: int, block_byte
 
 def scan_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
               item_text_col: str = "text", n: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with the column ``__llm_hits``: the (first word, end word, item) of
-    every window found.  All other columns stay as they are."""
+    """``docs`` with one more column at the end (``__llm_hits``, or with underscores behind it if
+    there is such a column): the (first word, end word, item) of every window found.  All
+    other columns stay as they are."""
     spark = docs.sparkSession
-    parts = item_blocks(items, item_col, item_text_col, n, block_bytes)
+    # cut once: every block is dealt from the written parts
+    parts = freeze(item_blocks(items, item_col, item_text_col, n, block_bytes), "items")
     total = parts.agg(F.sum("size")).first()[0] or 0
     # one block holds everything up to block_bytes; beyond, parts are dealt by their hash to
     # twice the least number of blocks, and a block that is still too large is dealt further
@@ -137,7 +139,7 @@ def scan_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_co
                     deals.append((count, r["b"]))
                 else:
                     todo.append((count * 8, (count, r["b"])))
-    out = docs.withColumn(HITS, F.lit(None).cast(SPANS))
+    out = docs.withColumn(free_name(docs.columns, HITS), F.lit(None).cast(SPANS))
     names = out.columns
     text_at, hits_at = names.index(text_col), len(names) - 1
     for i, (count, block) in enumerate(deals):

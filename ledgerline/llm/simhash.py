@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerline.llm.components import components
-from ledgerline.llm.text import map_texts, slices, space_words, text_bytes
+from ledgerline.llm.text import free_name, map_texts, slices, space_words, text_bytes
 from ledgerline.session import freeze
 
 #: Words in a shingle and most differing bits of linked fingerprints.
@@ -96,12 +96,13 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     """Edges ``u, v`` between distinct fingerprints ``fp`` whose components are those of
     all pairs at ``distance`` or fewer bits: all such pairs outside crowded entries,
     stars inside them."""
-    own = Window.partitionBy("entry", "rest")
-    index = freeze(_signatures(fps, distance)
-                   .withColumn("n", F.count("*").over(own))
-                   .withColumn("sides", F.count_if("side").over(own))
-                   .filter("n > 1 and (side is null or sides between 1 and n - 1)")
-                   .select("entry", "rest", "side", "fp", "n"), "signatures")
+    # fingerprints are narrow and few tasks hold them; every one makes 66 entries, so they are spread first
+    spread = freeze(fps.repartition(_tasks(fps), "fp"), "spread")
+    entries = _signatures(spread, distance)
+    # counted with map-side partial sums: an entry that a third of all fingerprints share is one row a task
+    sizes = (entries.groupBy("entry", "rest").agg(F.count("*").alias("n"), F.count_if("side").alias("sides"), F.first("side").alias("any"))
+             .filter("n > 1 and (any is null or sides between 1 and n - 1)").select("entry", "rest", "n"))
+    index = freeze(entries.join(sizes, ["entry", "rest"]).select("entry", "rest", "side", "fp", "n"), "signatures")
     near = index.filter(F.col("n") <= bucket)
     gap = near.filter("side is not null")
     a = lambda d: d.select("entry", "rest", F.col("fp").alias("u"))
@@ -115,6 +116,12 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     return pairs.union(_crowded_links(freeze(crowded, "crowded"), distance))
 
 
+def _tasks(fps: DataFrame) -> int:
+    """Tasks that the entries are made in: as many as the session's shuffles have, which
+    grow with the input (``session.cluster_conf``)."""
+    return int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _crowded_links(fps: DataFrame, distance: int) -> DataFrame:
     """Links between fingerprints of crowded entries, without pairs inside a group."""
     if distance == 0:
@@ -168,7 +175,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     stays, and of identical rows one)."""
     names = df.columns
     text_at = names.index(text_col)
-    fp, tie, row = "__llm_fp", "__llm_tie", "__llm_row"
+    fp, tie, row = (free_name(names, c) for c in ("__llm_fp", "__llm_tie", "__llm_row"))
 
     def add(batches):
         for b in slices(batches):
@@ -181,9 +188,13 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = marked.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(fp).alias("fp"))
     of = classes(docs, distance, bucket).select("fp", "root")
     # the row that stays: an aggregate, so no component is gathered in one task
-    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(tie))
+    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(tie).alias("tie"))
     first = marked.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("o"))
-    stays = (first.join(of, "fp").groupBy("root").agg(F.min(F.struct("o", "fp")).alias("w")).select("w.o", "w.fp"))
-    kept = marked.join(stays, (marked[fp] == stays.fp) & order.eqNullSafe(stays.o), "left_semi")
+    stays = (first.join(of, "fp").groupBy("root").agg(F.min(F.struct("o", "fp")).alias("w"))
+             .select(F.struct(F.col("w.fp").alias("fp"), F.col("w.o").alias("o")).alias("__llm_stays")))
+    mine = F.struct(F.col(fp).alias("fp"), order.alias("o"))
+    left = marked.withColumn(row, mine)
+    kept = left.join(stays.withColumnRenamed("__llm_stays", free_name([*left.columns], "__llm_stays")).alias("s"),
+                     F.col(row).eqNullSafe(F.col("s." + free_name([*left.columns], "__llm_stays"))), "left_semi")
     # identical rows (same id and text) are still all there
     return (kept.withColumn(row, F.row_number().over(Window.partitionBy(fp, id_col, tie).orderBy(fp))).filter(F.col(row) == 1).select(*names))

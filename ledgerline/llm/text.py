@@ -27,6 +27,14 @@ def space_words(data: bytes) -> list[bytes]:
     return data.translate(LOWER).split()
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores behind it until no column is called so in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; NULL is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -528,6 +528,19 @@ def test_classifiers_without_labels_and_with_odd_rows(spark, texts):
     assert {r.score for r in toxicity.score_toxicity(docs, none).collect()} == {0.5}
 
 
+def test_columns_named_like_helpers_stay(spark, texts):
+    docs = documents(spark, texts)
+    for c in ("__llm_hits", "__LLM_FP", "__llm_tie", "__llm_row", "__llm_stays"):
+        docs = docs.withColumn(c, F.lit(7))
+    bench = spark.createDataFrame([(1, texts[0])], "item_id bigint, text string")
+    cut, plain = decontaminate.decontaminate(docs, bench), decontaminate.decontaminate(documents(spark, texts), bench)
+    assert cut.columns == docs.columns and {(r.doc_id, r.text) for r in cut.collect()} == {(r.doc_id, r.text) for r in plain.collect()}
+    one, plain = simhash.drop_near_duplicates(docs), simhash.drop_near_duplicates(documents(spark, texts))
+    assert one.columns == docs.columns and {r.doc_id for r in one.collect()} == {r.doc_id for r in plain.collect()}
+    named = docs.withColumn("fp", F.col("doc_id"))
+    assert {r.fp for r in simhash.drop_near_duplicates(named, id_col="fp").collect()} == {r.doc_id for r in plain.collect()}
+
+
 def test_empty_tables_give_empty_results(spark):
     docs = documents(spark, [])
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
