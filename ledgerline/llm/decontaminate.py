@@ -117,10 +117,15 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, n: int, block_byte
 
 
 def scan_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
-              item_text_col: str = "text", n: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+              item_text_col: str = "text", n: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+              finish=None, schema=None) -> DataFrame:
     """``docs`` with one more column at the end (``__llm_hits``, or with underscores behind it if
     there is such a column): the (first word, end word, item) of every window found.  All
-    other columns stay as they are."""
+    other columns stay as they are.
+
+    With ``finish`` such batches go through that function, to rows of ``schema``, in the Python
+    worker that scans the last block: a second map behind the first takes a second worker for
+    every task, which the executor then keeps."""
     spark = docs.sparkSession
     # cut once: every block is dealt from the written parts
     parts = freeze(item_blocks(items, item_col, item_text_col, n, block_bytes), "items")
@@ -157,9 +162,12 @@ def scan_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_co
                         for old, t in zip(earlier, texts)]
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[:hits_at], pa.array(hits, b.schema.field(hits_at).type)], schema=b.schema)
-        out = out.mapInArrow(task, out.schema)
         if i + 1 < len(deals):
-            out = freeze(out, "hits")
+            out = freeze(out.mapInArrow(task, out.schema), "hits")
+        elif finish is None:
+            out = out.mapInArrow(task, out.schema)
+        else:
+            out = out.mapInArrow(lambda batches, scan=task: finish(scan(batches)), schema)
     return out
 
 
@@ -177,7 +185,6 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     have no words; items without words have no windows; an item without an id
     counts as the id ''; rows of one item id count as one item."""
     pair = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hits = scan_hits(pair, items, "text", item_col, item_text_col, n, block_bytes)
 
     def task(batches):
         for b in slices(batches):
@@ -191,7 +198,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                  pa.array(map(len, found), pa.int64()), pa.array(found, pa.list_(pa.string())),
                  pa.array([h > 0 for h in n_hit], pa.bool_())],
                 ["doc_id", "n_words", "n_hit", "n_items", "items", "contaminated"])
-    return hits.mapInArrow(task, REPORT)
+    return scan_hits(pair, items, "text", item_col, item_text_col, n, block_bytes, task, REPORT)
 
 
 def runs(spans: list[dict]) -> list[tuple[int, int]]:
@@ -223,7 +230,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", len
     Documents with at least ``drop_share`` of their words hit go whole; documents
     without a hit, NULL and empty texts included, stay exactly as they are.
     ``length_col``, if it exists, follows the new text."""
-    hits = scan_hits(docs, items, text_col, item_col, item_text_col, n, block_bytes)
     names = docs.columns
     text_at, length_at = names.index(text_col), names.index(length_col) if length_col in names else None
 
@@ -247,7 +253,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", len
             if lengths is not None:
                 columns[length_at] = pa.array(lengths, b.schema.field(length_at).type)
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
-    return hits.mapInArrow(task, docs.schema)
+    return scan_hits(docs, items, text_col, item_col, item_text_col, n, block_bytes, task, docs.schema)
 
 
 def ids_digest(ids) -> str:

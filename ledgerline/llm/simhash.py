@@ -96,8 +96,9 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     """Edges ``u, v`` between distinct fingerprints ``fp`` whose components are those of
     all pairs at ``distance`` or fewer bits: all such pairs outside crowded entries,
     stars inside them."""
-    # fingerprints are narrow and few tasks hold them; every one makes 66 entries, so they are spread first
-    spread = freeze(fps.repartition(_tasks(fps), "fp"), "spread")
+    # fingerprints are narrow and few tasks hold them; every one makes 66 entries, so they are spread behind the
+    # table: a scan packs small files into few tasks again
+    spread = freeze(fps, "distinct").repartition(_tasks(fps), "fp")
     entries = _signatures(spread, distance)
     # counted with map-side partial sums: an entry that a third of all fingerprints share is one row a task
     sizes = (entries.groupBy("entry", "rest").agg(F.count("*").alias("n"), F.count_if("side").alias("sides"), F.first("side").alias("any"))

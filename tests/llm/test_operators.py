@@ -205,6 +205,25 @@ def test_decontaminate_cuts_spans_and_keeps_clean_rows(spark):
     assert got == {0: f"{long}. {long}", 2: long, 3: None, 4: ""}
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 24, 600])
+def test_a_task_of_decontamination_takes_one_python_worker(spark, block_bytes):
+    docs = documents(spark, ["one two three four five six seven eight nine ten eleven", None])
+    bench = spark.createDataFrame([(i, f"{i} two three four five six seven eight nine ten eleven") for i in range(30)], "item_id bigint, text string")
+    for made in (decontaminate.contamination(docs, bench, block_bytes=block_bytes), decontaminate.decontaminate(docs, bench, block_bytes=block_bytes)):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_entries_of_fingerprints_are_made_in_many_tasks(spark):
+    fps = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63),) for i in range(2000)], "fp bigint")
+    signatures, seen = simhash._signatures, []
+    try:
+        simhash._signatures = lambda spread, distance: seen.append(spread.rdd.getNumPartitions()) or signatures(spread, distance)
+        simhash.links(fps).count()
+    finally:
+        simhash._signatures = signatures
+    assert seen == [simhash._tasks(fps)]
+
+
 def test_url_rules_equal_the_definition(spark):
     rng = random.Random(3)
     hosts = ["org", "example.org", "a.example.org", "notexample.org", "b.com", "com", "x.net", "", "EXAMPLE.org", "example.org.", "é.com"]
