@@ -1,9 +1,9 @@
-"""Token ids of the tokenizers library, made once per distinct word.
+"""Token ids of the tokenizers library, made once per distinct word of a block of texts.
 
 A text is cut at single spaces; such a piece has the same ids alone as inside its text (see
-``pretokens``).  Pieces that a worker has met lately are looked up, new ones go to the library, a block of texts at
-a time.  Texts in which a space stands inside a longer run of white space, and texts that hold an added token's
-string, go to the library whole."""
+``pretokens``).  Arrow cuts a block's texts, numbers their distinct words and strings the words' ids together
+again; only the library's calls, one for ``STRUNG`` distinct words, pass through Python.  Texts in which a space
+stands inside a longer run of white space, and texts that hold an added token's string, go to the library whole."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ledgerline.llm.pretokens import AMBIGUOUS, load_vocabulary
 
@@ -19,6 +21,8 @@ from ledgerline.llm.pretokens import AMBIGUOUS, load_vocabulary
 REMEMBERED, LONGEST = 150_000, 60
 #: New words that go to the library as one text.
 STRUNG = 500
+#: White space as Python's ``str.isspace`` has it, which includes all that the pattern's ``\\s`` matches.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 class Recent:
@@ -67,41 +71,64 @@ class LibraryIds:
         self.added = [*spec["added"]]
         sizes = {i: len(t) for t, i in spec["vocab"].items()} | {i: len(t.encode()) for t, i in spec["added"].items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)])
-        self.recent = Recent(self.encode, remembered)
+        #: First words and whole texts met lately.
+        self.starts = Recent(self.alone, remembered)
 
-    def pieces(self, text: str) -> list[str]:
-        if AMBIGUOUS.search(text) or any(a in text for a in self.added):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+    def whole(self, text: str) -> bool:
+        """Whether a text goes to the library as it is."""
+        return bool(AMBIGUOUS.search(text)) or any(a in text for a in self.added)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(ids) for ids in self.recent([self.pieces(t) for t in texts])]
-
-    def encode(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece.  Words behind a space are strung together to texts of ``STRUNG`` words, whose ids are
-        cut where the words end; a call to the library for each word costs more than its ids."""
-        out: list[bytes | None] = [None] * len(pieces)
-        words = [i for i, p in enumerate(pieces) if stands_alone(p)]
-        for at in range(0, len(words), STRUNG):
-            own = words[at:at + STRUNG]
-            ids = np.array(self.library.encode("".join([pieces[i] for i in own]), add_special_tokens=False).ids)
-            ends = np.cumsum([len(pieces[i].encode()) for i in own])
-            stop = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-            data, start = ids.astype(f"<u{self.width}").tobytes(), 0
-            for i, n in zip(own, (stop * self.width).tolist()):
-                out[i] = data[start:n]
-                start = n
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(e.ids, f"<u{self.width}").tobytes()
+        out = [b""] * len(texts)
+        apart = [self.whole(t) for t in texts]
+        for ids_of, at in ((self.known, [i for i, x in enumerate(apart) if x]), (self.cut, [i for i, x in enumerate(apart) if not x])):
+            for i, ids in zip(at, ids_of([texts[i] for i in at]) if at else ()):
+                out[i] = ids
         return out
 
-
-def stands_alone(piece: str) -> bool:
-    """A space and then a word that neither begins nor ends with white space: its tokens are the same wherever
-    such a piece stands behind another."""
-    return len(piece) > 1 and piece[0] == " " and not piece[1].isspace() and not piece[-1].isspace()
+    def known(self, texts: list[str]) -> list[bytes]:
+        return self.starts([texts])[0]
+
+    def alone(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, f"<u{self.width}").tobytes()
+                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def cut(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that may be cut at spaces."""
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        words, number = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # a text's first word has no space before it
+        first, of = np.unique(number[bounds[:-1]], return_inverse=True)
+        starts = self.known(words.take(pa.array(first)).to_pylist())
+        number[bounds[:-1]] = len(words) + of
+        ids = pa.concat_arrays([self.behind_space(words), pa.array(starts, pa.large_binary())]).take(pa.array(number))
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, np.int64, len(ids) + 1, 8 * ids.offset)[bounds].tolist()
+        return [data[a:b].to_pybytes() if b > a else b"" for a, b in zip(at, at[1:])]
+
+    def behind_space(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of each word with a space before it.  Words that begin and end with other signs than white space have
+        the same ids wherever they stand behind one another; they are strung together to texts of ``STRUNG`` words,
+        whose ids are cut where the words end.  A call to the library for each word costs more than its ids."""
+        plain = pc.and_(pc.equal(pc.utf8_trim(words, characters=SPACES), words), pc.not_equal(words, ""))
+        strung = words.filter(plain)
+        sizes = pc.binary_length(strung).to_numpy() + 1
+        cuts = [*range(0, len(strung), STRUNG), len(strung)]
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), strung), pa.scalar(" ", pa.large_string()))
+        data, counts = [], [np.zeros(1, np.int64)]
+        for text, a, b in zip(texts, cuts, cuts[1:]):
+            ids = np.array(self.library.encode_batch_fast([" " + text.as_py()], add_special_tokens=False)[0].ids)
+            stop = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes[a:b])) + 1
+            data.append(ids.astype(f"<u{self.width}").tobytes())
+            counts.append(np.diff(stop, prepend=0))
+        ends = np.cumsum(np.concatenate(counts)) * self.width
+        made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(strung), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(data))])
+        mask = plain.to_numpy(zero_copy_only=False)
+        place = np.where(mask, np.cumsum(mask) - 1, len(strung) + np.cumsum(~mask) - 1)
+        odd = self.alone([" " + w for w in words.filter(pc.invert(plain)).to_pylist()])
+        return pa.concat_arrays([made, pa.array(odd, pa.large_binary())]).take(pa.array(place))
 
 
 @lru_cache(maxsize=2)

@@ -44,6 +44,8 @@ from ledgerline.session import ensure_checkpoint_dir, freeze
 SAMPLE_DOCS, SAMPLE_IDS, SAMPLE_ARRAYS = 4000, 2048, 2000
 DICTIONARY_BYTES, LEVEL = 64 << 10, 3
 FILE_BYTES = 256 << 20
+#: Texts that are encoded at a time, in bytes and rows: a word that they repeat is encoded once.
+BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 10_000
 #: Bytes of frames that a reader takes at a time.
 READ_BYTES = 1 << 20
 MAGIC = b"IDSTORE1"
@@ -149,7 +151,7 @@ def write_tokens(df: DataFrame, vocabulary: str, path: str | None = None, id_col
     def arrays(batches):
         """(ids of the rows, their serialized id arrays)"""
         encode = library_ids(vocabulary)
-        for b in blocks(batches):
+        for b in blocks(batches, BLOCK_BYTES, BLOCK_ROWS):
             yield b.column(0), [x + end for x in encode([t.decode("utf-8", "replace") for t in text_bytes(b.column(1))])]
 
     def sample(batches):

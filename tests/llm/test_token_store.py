@@ -2,6 +2,8 @@
 
 import glob
 import os
+import random
+import sys
 import zlib
 
 import numpy as np
@@ -34,6 +36,28 @@ def test_ids_equal_the_library(texts):
         assert got == [x[:-1] for x in library(own)]
 
 
+def test_python_handles_no_word_by_itself():
+    own = [" ".join(f"word{(i * 40 + j) % 3000}x" for j in range(40)) for i in range(300)]
+    encode, calls = LibraryIds(VOCABULARY), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+    try:
+        got = encode(own)
+    finally:
+        sys.setprofile(None)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [x[:-1] for x in library(own)]
+    assert len(calls) < 2000  # of 3000 distinct words
+
+
+def test_ids_of_random_texts_equal_the_library():
+    rng = random.Random(1)
+    signs = [*[" "] * 6, *"ab'.,s!1\n\t\x1c\x85\xa0\u3000\u2003\u200bé漢\U0001f600", "\r\n", "<|endoftext|>", "word", "'ll", "The"]
+    encode = LibraryIds(VOCABULARY, remembered=50)
+    for _ in range(100):
+        own = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(rng.randrange(1, 60))]
+        assert [np.frombuffer(x, "<u2").tolist() for x in encode(own)] == [x[:-1] for x in library(own)]
+    assert encode([]) == [] and encode([""]) == [b""]
+
+
 def test_store_gives_back_every_id_in_order(spark, texts, tmp_path):
     own = [*texts, *ODD, *ODD]
     ids = [97 * i % 1009 - 300 for i in range(len(own))]
