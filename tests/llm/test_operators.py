@@ -215,13 +215,15 @@ def test_a_task_of_decontamination_takes_one_python_worker(spark, block_bytes):
 
 def test_entries_of_fingerprints_are_made_in_many_tasks(spark):
     fps = spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 63),) for i in range(2000)], "fp bigint")
-    signatures, seen = simhash._signatures, []
+    signatures, seen, tasks = simhash._signatures, [], spark.conf.get("spark.sql.shuffle.partitions")
     try:
+        spark.conf.set("spark.sql.shuffle.partitions", "24")
         simhash._signatures = lambda spread, distance: seen.append(spread.rdd.getNumPartitions()) or signatures(spread, distance)
         simhash.links(fps).count()
     finally:
         simhash._signatures = signatures
-    assert seen == [simhash._tasks(fps)]
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    assert seen == [24]
 
 
 def test_url_rules_equal_the_definition(spark):
