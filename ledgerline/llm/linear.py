@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 
+#: Feature numbers that a product takes at once: its temporary arrays stay small beside the rows.
+BLOCK = 1 << 17
+
 
 class Rows:
     """A 0/1 matrix by rows: the feature numbers of row i are
@@ -11,16 +16,24 @@ class Rows:
 
     def __init__(self, rows: list[np.ndarray], width: int):
         self.width, self.n = width, len(rows)
-        lengths = np.array([len(r) for r in rows], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(lengths)])
-        self.index = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), lengths)
+        self.lengths = np.array([len(r) for r in rows], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.lengths)])
+        self.index = np.concatenate(rows, dtype=np.int32, casting="unsafe") if rows else np.zeros(0, np.int32)
+        cuts = np.searchsorted(self.start, np.arange(0, len(self.index), BLOCK))
+        self.blocks = list(pairwise(np.unique(np.concatenate([[0], cuts, [self.n]])).tolist()))
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.index], self.n)
+        out = np.zeros(self.n)
+        for a, b in self.blocks:
+            row = np.repeat(np.arange(b - a), self.lengths[a:b])
+            out[a:b] = np.bincount(row, weights[self.index[self.start[a]:self.start[b]]], b - a)
+        return out
 
     def back(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.index, values[self.row], self.width)
+        out = np.zeros(self.width)
+        for a, b in self.blocks:
+            np.add.at(out, self.index[self.start[a]:self.start[b]].astype(np.int64), np.repeat(values[a:b], self.lengths[a:b]))
+        return out
 
 
 def sigmoid(z):

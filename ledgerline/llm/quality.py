@@ -12,6 +12,8 @@ calibrated views are combined.
 
 Every unlabelled document is in the pool: it is scored in Spark, from a table of feature
 numbers in the checkpoint folder, and only the rows that are passed on reach the driver.
+Of the labelled sample the driver gets labels, shapes, metadata, the counts of the words and
+runs and each text's numbers among those that are kept; all others stay in Spark.
 Fitting uses at most ``LABELLED_ROWS`` given labels and ``EXCHANGED`` pseudo-labels a view,
 round and class (those with the least hash).  Scoring covers all whole texts."""
 
@@ -22,6 +24,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -273,8 +276,66 @@ def _views(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_co
                        F.col(length_col).cast("bigint").alias("length"))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> list:
-    """(label, shape, content, metadata) of the labelled sample, in a fixed order."""
+class Sample:
+    """The labelled sample, every row at its place in a fixed order.  Labels, shapes and metadata
+    are on the driver, two hundred bytes a row; the words and runs of its texts (``row, y, shape,
+    content`` of ``table``) stay in Spark, which counts them and numbers those that are kept."""
+
+    def __init__(self, table: DataFrame, rows: np.ndarray, labels: list, shapes: np.ndarray, meta: list):
+        self.table, self.labels, self.shapes, self.meta = table, labels, shapes, meta
+        self.at = np.argsort(rows)  # places by ascending row
+        self.rows = rows[self.at]
+
+    def _map(self, fn: Callable, schema: str) -> DataFrame:
+        """``fn`` over iterators of (place, label, shape, content) of the sample's rows in a task."""
+        rows, at = self.rows, self.at
+
+        def task(batches):
+            def members():
+                for b in slices(batches):
+                    own = b.column(0).to_numpy()
+                    found = np.minimum(np.searchsorted(rows, own), len(rows) - 1)
+                    for i in np.flatnonzero(rows[found] == own).tolist():
+                        yield (int(at[found[i]]), b.column(1)[i].as_py(), np.frombuffer(b.column(2)[i].as_py()),
+                               np.frombuffer(b.column(3)[i].as_py(), "<i4"))
+            yield from fn(members())
+        return self.table.select("row", "y", "shape", "content").mapInArrow(task, schema)
+
+    def counts(self) -> np.ndarray:
+        """How many rows of each class hold each word and run.  Rows kept for the cuts and the
+        calibration are not counted."""
+        def count(members):
+            counts = np.zeros((2, 2 << CONTENT_BITS), np.int64)
+            for place, y, _, content in members:
+                if place % 5:
+                    counts[y][content] += 1
+            held = np.flatnonzero(counts.any(0))
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), *(pa.array(c[held]) for c in counts)], ["number", "n0", "n1"])
+        found = self._map(count, "number int, n0 bigint, n1 bigint").groupBy("number").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+        counts = np.zeros((2, 2 << CONTENT_BITS))
+        for y in (0, 1):
+            counts[y][found["number"].to_numpy()] = found[f"n{y}"].to_numpy()
+        return counts
+
+    def text_rows(self, features: Features) -> list:
+        """The text view's feature numbers of every row."""
+        def number(members):
+            for place, _, shape, content in members:
+                yield place, features.text(shape, np.isin(features.kept, content)).astype("<i4").tobytes()
+
+        def batches(members):
+            numbered = number(members)
+            while part := list(islice(numbered, 1000)):
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int32()), pa.array([x[1] for x in part], pa.binary())], ["place", "text_row"])
+        out: list = [None] * len(self.labels)
+        for b in self._map(batches, "place int, text_row binary").toArrow().to_batches():
+            for place, numbers in zip(b.column(0).to_pylist(), b.column(1)):
+                out[place] = np.frombuffer(numbers.as_buffer(), "<i4")
+        return out
+
+
+def _sample(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> Sample:
+    """The labelled sample of ``docs``."""
     order = F.xxhash64("doc_id")
     known = labels.filter("doc_id is not null and y in (0, 1)").orderBy(order, "doc_id", "y").limit(labelled_rows)
 
@@ -289,27 +350,28 @@ def _sample(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> list:
                  pa.array([meta_features(*m) for m in zip(*(b.column(i).to_pylist() for i in (3, 4, 5)))], pa.list_(pa.int32()))],
                 ["doc_id", "y", "shape", "content", "meta"])
     # at most labelled_rows rows of two numbers: the broadcast is bounded; texts are measured where
-    # they are, and the limit (repeated ids) sees numbers alone
-    rows = (docs.join(F.broadcast(known), "doc_id").select("doc_id", "y", "text", "lang", "source", "length")
-            .mapInArrow(task, "doc_id bigint, y int, shape binary, content binary, meta array<int>")
-            .orderBy(order, "doc_id", "y", F.xxhash64("shape", "content", "meta")).limit(labelled_rows).collect())
-    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["y"], bytes(r["shape"])))
-    return [(r["y"], np.frombuffer(bytes(r["shape"])), np.frombuffer(bytes(r["content"]), "<i4"), np.array(r["meta"])) for r in rows]
-
-
-def choose_features(sample: list, keep_z: float = KEEP_Z) -> Features:
+    # they are, and the limit (repeated ids) sees all but the content
+    table = freeze(docs.join(F.broadcast(known), "doc_id").select("doc_id", "y", "text", "lang", "source", "length")
+                   .mapInArrow(task, "doc_id bigint, y int, shape binary, content binary, meta array<int>")
+                   .withColumn("row", F.monotonically_increasing_id()), "sample")
+    found = (table.select("row", "doc_id", "y", "shape", "meta", F.xxhash64("shape", "content", "meta").alias("hash"))
+             .orderBy(order, "doc_id", "y", "hash").limit(labelled_rows).drop("hash").toArrow())
+    ids, y, shapes, meta = (found[c].to_pylist() for c in ("doc_id", "y", "shape", "meta"))
+    at = sorted(range(len(ids)), key=lambda i: (zlib.crc32(str(ids[i]).encode()), ids[i], y[i], shapes[i]))
+    return Sample(table, found["row"].to_numpy()[at], [y[i] for i in at],
+                  np.frombuffer(b"".join(shapes[i] for i in at)).reshape(-1, len(TEXT_FEATURES)), [np.array(meta[i]) for i in at])
+
+
+def choose_features(sample: Sample, keep_z: float = KEEP_Z) -> Features:
     """Cuts at the sample's quantiles; content whose rates differ between the classes."""
-    counts = np.zeros((2, 2 << CONTENT_BITS))
-    for i, (y, _, content, _) in enumerate(sample):
-        if i % 5:  # rows kept for the cuts and the calibration choose nothing
-            counts[y][content] += 1
-    n = np.array([max(1, sum(i % 5 > 0 and r[0] == y for i, r in enumerate(sample))) for y in (0, 1)])
+    counts = sample.counts()
+    n = np.array([max(1, sum(i % 5 > 0 and x == y for i, x in enumerate(sample.labels))) for y in (0, 1)])
     rate = (counts.sum(0) + 1) / (n.sum() + 2)
     z = (counts[1] / n[1] - counts[0] / n[0]) / np.sqrt(rate * (1 - rate) * (1 / n).sum())
     z[counts.sum(0) < 5] = 0
     kept = np.sort(np.argsort(-np.abs(z), kind="stable")[:KEPT])
     kept = kept[np.abs(z[kept]) >= keep_z]
-    return Features(np.quantile(np.array([r[1] for r in sample]), np.arange(1, BINS) / BINS, axis=0).T, kept)
+    return Features(np.quantile(sample.shapes, np.arange(1, BINS) / BINS, axis=0).T, kept)
 
 
 def train(docs: DataFrame, labels: DataFrame, label_id_col: str, label_col: str, labelled_rows: int,
@@ -318,16 +380,16 @@ def train(docs: DataFrame, labels: DataFrame, label_id_col: str, label_col: str,
     rows of both classes."""
     known = labels.select(F.col(label_id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     sample = _sample(docs, known, labelled_rows)
-    if {0, 1} - {r[0] for i, r in enumerate(sample) if i % 5}:
+    if {0, 1} - {y for i, y in enumerate(sample.labels) if i % 5}:
         return None
     features = choose_features(sample)
     rows = freeze(featured(docs, features), "features")
     # narrow rows, one id each: nothing hot is shuffled but NULL ids, which are never labelled
     pool = freeze(rows.filter("doc_id is not null").join(known.select("doc_id").distinct(), "doc_id", "left_anti")
                   .select(F.xxhash64("doc_id", "text_row", "meta_row").alias("key"), "text_row", "meta_row"), "pool")
-    views, scales, joint, counts = co_train([features.text(shape, np.isin(features.kept, content)) for _, shape, content, _ in sample], features.width,
-                                            [m for *_, m in sample], [r[0] for r in sample], pool_offer(pool, rounds, exchanged), rounds)
-    seen = [r[0] for r in sample][::5]
+    views, scales, joint, counts = co_train(sample.text_rows(features), features.width, sample.meta, sample.labels,
+                                            pool_offer(pool, rounds, exchanged), rounds)
+    seen = sample.labels[::5]
     base = float(np.log((sum(seen) + 0.5) / (len(seen) - sum(seen) + 0.5)))
     return Combined(features, views, scales, joint, base, counts), rows
 
